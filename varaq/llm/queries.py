@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varaq.llm.byte_bpe import op6_byte_bpe
 from varaq.llm.minhash import op9_minhash
+from varaq.llm.mixing import op2_mixing
+from varaq.llm.pii import op4_pii
 from varaq.llm.quality import op8_quality
+from varaq.llm.token_count import op5_token_count
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_quality, op9_minhash)}
+    return {f.__name__: f for f in (op2_mixing, op4_pii, op5_token_count, op6_byte_bpe, op8_quality, op9_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
