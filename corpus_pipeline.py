@@ -6,13 +6,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varaq.llm.byte_bpe import tokenise
 from varaq.llm.common import shared_dir
 from varaq.llm.minhash import keep_one_of_each
+from varaq.llm.mixing import in_mixed_order
+from varaq.llm.pii import sanitise
 from varaq.llm.quality import keep_good
 
 STAGES = [
     ("quality", keep_good),
     ("near_duplicates", keep_one_of_each),
+    ("pii", sanitise),
+    ("mixing", in_mixed_order),
+    ("byte_bpe", tokenise),
 ]
 
 #: Learned rules and merges cannot be written in SQL; tests hold run() against a brute-force version.
