@@ -8,8 +8,9 @@
    star, as many as the bucket has members, never all pairs. The centre is the member that shares most buckets.
 4. Candidate edges are confirmed on the full shingle sets.
 5. A star compares only with its centre. Buckets whose members still fall into several components get
-   STAR_ROUNDS - 1 more centres; what remains open after that is compared by signature in bounded blocks, and
-   promising pairs of different components are confirmed on full sets as well. So no link is lost to the stars.
+   STAR_ROUNDS - 1 more centres. What remains open after that is gathered into groups of texts that buckets
+   connect, and each group is compared on full sets in blocks of bounded size; a block gives out no more links
+   than join its components. So no link is lost to the stars.
 
 Two texts at the threshold of 0.85 share no band with probability (1 - 0.85**6)**26 < 5e-6.
 
@@ -39,8 +40,8 @@ SLOTS = ROWS * BANDS
 STAR_ROUNDS = 3
 #: Members of a block when what the stars leave open is compared.
 BLOCK = 384
-#: Signature agreement below which a pair is not confirmed: 0.85 less four standard deviations.
-LEAST_AGREEMENT = int(SLOTS * (0.85 - 4 * (0.85 * 0.15 / SLOTS) ** 0.5))
+#: Texts to confirm that may be broadcast as ids to pick their texts; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 
 _ORDER = np.argsort(np.random.default_rng(20170806).random((SLOTS, SLOTS)), axis=1)
 
@@ -107,33 +108,56 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "hashes"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs u, v whose full sets are similar enough."""
     near = (
         pairs.join(sets.select(F.col("rep").alias("u"), F.col("hashes").alias("hu")), "u")
         .join(sets.select(F.col("rep").alias("v"), F.col("hashes").alias("hv")), "v")
         .withColumn("both", F.size(F.array_intersect("hu", "hv")))
     )
-    return near.where(100 * F.col("both") >= percent * (F.size("hu") + F.size("hv") - F.col("both"))).select("u", "v")
+    return near.where(100 * F.col("both") >= PERCENT * (F.size("hu") + F.size("hv") - F.col("both"))).select("u", "v")
 
 
 def _compare_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one pair of blocks with different components and signatures that agree enough."""
-    sig = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint8).reshape(len(rows), SLOTS)
-    comp, rep, n = (rows[c].to_numpy() for c in ("comp", "rep", "n_shingles"))
-    us, vs = [], []
-    for i in range(len(rows) - 1):
-        alike = (sig[i + 1 :] == sig[i]).sum(axis=1) >= LEAST_AGREEMENT
-        alike &= comp[i + 1 :] != comp[i]
-        alike &= 100 * np.minimum(n[i + 1 :], n[i]) >= PERCENT * np.maximum(n[i + 1 :], n[i])
-        for j in np.flatnonzero(alike) + i + 1:
-            us.append(max(rep[i], rep[j]))
-            vs.append(min(rep[i], rep[j]))
-    return pd.DataFrame({"u": pd.Series(us, dtype="int64"), "v": pd.Series(vs, dtype="int64")})
-
-
-def _similar_size(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    """Links that join the components of a pair of blocks, found on full sets."""
+    sets = [np.asarray(h, dtype=np.int64) for h in rows["hashes"]]
+    comp, rep = rows["comp"].to_numpy(), rows["rep"].to_numpy()
+    m = len(sets)
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=m)
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), size)
+    place = np.cumsum(often > 1) - 1  # shingles of one text alone are never in both
+    shared = (often > 1)[column]
+    owner, column = owner[shared], place[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((m, m), dtype=np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        x, y = np.searchsorted(column, (a, a + 4096))
+        has = np.zeros((m, 4096), dtype=np.float32)
+        has[owner[x:y], column[x:y] - a] = 1
+        both += has @ has.T
+    near = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+    i, j = np.nonzero(np.triu(near & (comp[:, None] != comp[None, :]), 1))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    links = []
+    _, first = np.unique(np.stack([comp[i], comp[j]]), axis=1, return_index=True) if len(i) else (None, [])
+    for k in first:
+        a, b = find(comp[i[k]]), find(comp[j[k]])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            links.append((max(rep[i[k]], rep[j[k]]), min(rep[i[k]], rep[j[k]])))
+    return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+
+
+def _similar_size(a: str, b: str):
+    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
 def _with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -146,7 +170,7 @@ def _with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     stats = materialise(
@@ -164,11 +188,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     popular = rows.groupBy("rep").agg(F.sum("members").alias("score"))
     buckets = materialise(rows.join(popular, "rep"), "buckets")
     discard(rows)
-    members = buckets.select("rep").distinct()
-    sets = materialise(
-        texts.join(members.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "rep bigint, hashes array<bigint>").dropDuplicates(["rep"]),
-        "sets",
-    )
+    members = materialise(buckets.select(F.col("rep").alias("doc_id")).distinct(), "members")
+    few = members.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    chosen = texts.join(F.broadcast(members) if few else members.hint("merge"), "doc_id", "left_semi")
+    sets = materialise(chosen.mapInArrow(_sets, "rep bigint, hashes array<bigint>").dropDuplicates(["rep"]), "sets")
 
     edges, comps, used, open_rows = None, None, None, buckets
     for _ in range(STAR_ROUNDS):
@@ -192,11 +215,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             break
         pairs = (
             rows.join(centre, ["band", "bucket"])
-            .where((F.col("comp") != F.col("ccomp")) & _similar_size("n_shingles", "cn", percent))
+            .where((F.col("comp") != F.col("ccomp")) & _similar_size("n_shingles", "cn"))
             .select(F.greatest("rep", "centre").alias("u"), F.least("rep", "centre").alias("v"))
             .distinct()
         )
-        more = _confirmed(pairs, sets, percent)
+        more = _confirmed(pairs, sets)
         edges = materialise(more if edges is None else edges.union(more), "links")
         comps = components(edges)
         tried = centre.select("band", "bucket", F.array("centre").alias("now"))
@@ -208,19 +231,20 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         open_rows = buckets.join(centre.select("band", "bucket"), ["band", "bucket"], "left_semi")
     if open_rows is not None:
         rows = _with_components(open_rows, comps).join(used, ["band", "bucket"]).where(~F.array_contains("tried", F.col("rep")))
-        several = rows.groupBy("band", "bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("size")).where("least <> most")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        rows = (
-            rows.join(several.select("band", "bucket", "size"), ["band", "bucket"])
-            .withColumn("blocks", blocks)
-            .withColumn("mine", mine)
-            .join(classes.select("rep", "sig"), "rep")
+        several = rows.groupBy("band", "bucket").agg(F.min("rep").alias("hub"), F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+        rows = rows.join(several.select("band", "bucket", "hub"), ["band", "bucket"])
+        groups = components(rows.select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()).withColumnsRenamed({"node": "rep", "component": "group"})
+        sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        spread = (
+            _with_components(groups, comps)
+            .join(sizes, "group")
+            .withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .join(sets, "rep")
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp", "n_shingles", "sig")
+            .select("group", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp", "hashes")
         )
-        pairs = rows.groupBy("band", "bucket", "i", "j").applyInPandas(_compare_block, "u bigint, v bigint").distinct()
-        edges = materialise(edges.union(_confirmed(pairs, sets, percent)), "links")
+        pairs = spread.groupBy("group", "i", "j").applyInPandas(_compare_block, "u bigint, v bigint")
+        edges = materialise(edges.union(pairs.distinct()), "links")
         comps = components(edges)
     discard(sets)
     discard(buckets)
