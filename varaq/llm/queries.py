@@ -7,15 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from varaq.llm.byte_bpe import op6_byte_bpe
+from varaq.llm.compaction import op7_sharding
+from varaq.llm.graph_dedup import op1_graph_dedup
+from varaq.llm.html_extract import op10_html
 from varaq.llm.minhash import op9_minhash
 from varaq.llm.mixing import op2_mixing
 from varaq.llm.pii import op4_pii
 from varaq.llm.quality import op8_quality
 from varaq.llm.token_count import op5_token_count
+from varaq.llm.toxicity import op3_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op4_pii, op5_token_count, op6_byte_bpe, op8_quality, op9_minhash)}
+    operators = (
+        op1_graph_dedup, op2_mixing, op3_toxicity, op4_pii, op5_token_count, op6_byte_bpe, op7_sharding, op8_quality, op9_minhash, op10_html,
+    )
+    return {f.__name__: f for f in operators}
 
 
 def oracle_sql() -> dict[str, str]:
