@@ -164,7 +164,7 @@ def with_spans(docs: DataFrame, text: str = "text", keep: bool = True) -> DataFr
         base = base.select("doc_id", "_row", "_spans", hit.alias("_text"))
     base = materialise(base, "spans")  # row numbers are fixed from here on
     found = base.select("_row", F.col(text).cast("string").alias("_text") if keep else "_text", "_spans").where(F.size("_spans") > 0)
-    around = windows(found)
+    around = materialise(windows(found), "windows")  # also keeps the optimiser from computing it once for each term
     telling = disclosing_terms(around, docs, text)
     used = around.select("_row", "value", F.explode("terms").alias("x")).select("_row", "value", F.col("x.term").alias("term"), F.col("x.start").alias("start"), F.col("x.end").alias("end"))
     more = (
