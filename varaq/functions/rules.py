@@ -48,7 +48,7 @@ def classified(text: Column, avg_size: Column, colored: Column, bold: Column, ba
     score = heading_score(ratio, colored, bold, F.length(text))
     reasons = F.concat_ws(
         "; ",
-        F.when(ratio >= s.size_ratio_weak, F.format_string("size_ratio=%.2f", ratio)),
+        F.when(ratio >= s.size_ratio_weak, F.format_string("size_ratio=%.2f", F.bround(ratio, 2))),
         F.when(colored, "colored_ink"),
         F.when(bold, "bold_font"),
         F.when(F.length(text) > s.long_line, "long_line_penalty"),
@@ -83,7 +83,7 @@ def upload_error(filename: Column, mime: Column, size: Column, limit: int = SETT
 
 def allow_list(csv: Column) -> Column:
     """Positive ids, each once, in order; empty if any item is not one."""
-    items = F.transform(F.split(F.trim(csv), ",", -1), F.trim)
+    items = F.transform(F.split(F.trim(csv), ",", -1), lambda x: F.trim(x))
     ids = F.transform(items, lambda x: F.when(x.rlike(r"\A[+]?[0-9]+\z"), x.try_cast("bigint")))
     good = ~F.exists(ids, lambda x: x.isNull() | (x <= 0))
     return F.when(F.coalesce(good, F.lit(False)), F.array_distinct(ids)).otherwise(F.array().cast("array<bigint>"))
@@ -102,8 +102,12 @@ def within_roots(path: Column, roots: list[str]) -> Column:
     return clean & under
 
 
+def _seconds(c: Column) -> Column:
+    return F.unix_seconds(c.cast("timestamp"))
+
+
 def elapsed_seconds(created: Column, started: Column, completed: Column, now: Column) -> Column:
-    return F.greatest(F.lit(0), F.unix_seconds(F.coalesce(completed, now)) - F.unix_seconds(F.coalesce(started, created)))
+    return F.greatest(F.lit(0), _seconds(F.coalesce(completed, now)) - _seconds(F.coalesce(started, created)))
 
 
 def state_of_stage(stage: Column) -> Column:

@@ -120,7 +120,7 @@ def admitted(arrivals: DataFrame, capacity: int = SETTINGS.queue_capacity) -> Da
 
 
 def timed_out(jobs: DataFrame, now: Column, limit: int = SETTINGS.timeout_seconds) -> DataFrame:
-    return jobs.where(F.col("state").isin(*RUNNING) & (F.unix_seconds(now) - F.unix_seconds("started_at") > limit))
+    return jobs.where(F.col("state").isin(*RUNNING) & (elapsed_seconds(F.col("created_at"), F.col("started_at"), now, now) > limit))
 
 
 def status_text(position: Column, now: Column) -> Column:

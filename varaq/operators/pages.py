@@ -33,7 +33,7 @@ def page_status(texts: DataFrame, ocr: DataFrame, use_ocr: bool = True, engine:
         F.array(
             F.when(short, LOW),
             F.when(short & F.lit(use_ocr and engine and not available), UNAVAILABLE),
-            F.when(better & (F.col("ocr_conf") < SETTINGS.low_confidence), F.concat(F.lit(LOW_CONFIDENCE), F.format_string("%.1f", "ocr_conf"))),
+            F.when(better & (F.col("ocr_conf") < SETTINGS.low_confidence), F.concat(F.lit(LOW_CONFIDENCE), F.format_string("%.1f", F.bround("ocr_conf", 1)))),
             F.when(better, RECOVERED),
             F.when(failed, F.concat(F.lit(FAILED), F.col("ocr_error"))),
         )

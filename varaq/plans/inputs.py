@@ -139,10 +139,10 @@ def toc(spark, sf) -> DataFrame:
     s = read(spark, sf, "supplier").select((F.col("s_nationkey") % 5).alias("k"), F.col("s_nationkey").alias("n"), F.col("s_suppkey").cast("int").alias("s"), F.col("s_name").alias("name"))
     at = lambda df, kind, place: df.select("k", F.expr(place).cast("bigint").alias("line_no"), F.expr(_TOC[kind]).alias("line"))
     lines = (
-        at(r, "chapter", "k * 1000000000")
-        .union(at(n.where("n % 4 = 1"), "wrapped", "k * 1000000000 + (n + 1) * 10000000 - 1"))
-        .union(at(n, "lesson", "k * 1000000000 + (n + 1) * 10000000"))
-        .union(at(s, "subtopic", "k * 1000000000 + (n + 1) * 10000000 + s"))
+        at(r, "chapter", "cast(k as bigint) * 1000000000")
+        .union(at(n.where("n % 4 = 1"), "wrapped", "cast(k as bigint) * 1000000000 + (n + 1) * 10000000 - 1"))
+        .union(at(n, "lesson", "cast(k as bigint) * 1000000000 + (n + 1) * 10000000"))
+        .union(at(s, "subtopic", "cast(k as bigint) * 1000000000 + (n + 1) * 10000000 + s + 1"))
     )
     title = spark.createDataFrame([(0, -1, "فهرست")], "k int, line_no bigint, line string")
     lines = title.union(lines)
@@ -276,7 +276,7 @@ DUCK: dict[str, tuple[tuple[str, ...], str]] = {
         f"select k, cast(k as bigint) * 1000000000, {_TOC['chapter']} from (select r_regionkey as k, r_name as name from region) union all "
         f"select k, cast(k as bigint) * 1000000000 + (n + 1) * 10000000 - 1, {_TOC['wrapped']} from (select n_regionkey as k, n_nationkey as n, n_name as name from nation) where n % 4 = 1 union all "
         f"select k, cast(k as bigint) * 1000000000 + (n + 1) * 10000000, {_TOC['lesson']} from (select n_regionkey as k, n_nationkey as n, n_name as name from nation) union all "
-        f"select k, cast(k as bigint) * 1000000000 + (n + 1) * 10000000 + s, {_TOC['subtopic']} from (select s_nationkey % 5 as k, s_nationkey as n, s_suppkey as s, s_name as name from supplier)) "
+        f"select k, cast(k as bigint) * 1000000000 + (n + 1) * 10000000 + s + 1, {_TOC['subtopic']} from (select s_nationkey % 5 as k, s_nationkey as n, s_suppkey as s, s_name as name from supplier)) "
         "join (values ('a', 99), ('b', 4)) b(book, upto) on k < upto",
     ),
     "label_blocks": (

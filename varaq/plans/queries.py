@@ -45,7 +45,7 @@ _on("q_noise_lines", inputs.documents_fa, "documents_fa", "doc_id", "text", text
 _on("q_clean_text", inputs.documents_fa, "documents_fa", "doc_id", "text", text.clean, d.clean("text"))
 _on("q_encoding_guard", inputs.documents_fa, "documents_fa", "doc_id", "text", text.suspicious, d.has("text", r"\?{2,}"))
 _on("q_fix_first", inputs.toc, "toc", "book, line_no", "line", lambda c: text.fix_first(F.replace(c, F.lit("اول"), F.lit("ا ّول"))), d.fix_first("replace(line, 'اول', 'ا ّول')"))
-_on("q_ordinal", inputs.toc, "toc", "book, line_no", "line", lambda c: text.ordinal(F.split(c, " ")[1]), d.ordinal("split_part(line, ' ', 2)"))
+_on("q_ordinal", inputs.toc, "toc", "book, line_no", "line", lambda c: text.ordinal(F.try_element_at(F.split(c, " "), F.lit(2))), d.ordinal("split_part(line, ' ', 2)"))
 
 
 @register("q_label", f"select book, line_no, nullif({d.label('line', 2)}, '') as kind, {d.ordinal(d.label('line', 3))} as n, length({d.label('line', 1)}) as start, {d.strip(d.label('line', 4))} as rest from toc where {d.ordinal(d.label('line', 3))} is not null", "toc")
@@ -257,7 +257,7 @@ def q_lesson_text(spark, sf):
 
 @register("q_source_refs", "select r.book, r.seq, p.page from ranges r join book_pages p on p.book = r.book and p.page between r.start_page and r.end_page", "ranges", "book_pages")
 def q_source_refs(spark, sf):
-    return lessons.lesson_extracts(_ranges(spark, sf), inputs.book_pages(spark, sf)).select("book", "seq", F.explode("source_pages").cast("int").alias("page"))
+    return lessons.lesson_extracts(_ranges(spark, sf), inputs.book_pages(spark, sf)).select("book", "seq", F.explode(F.col("source_pages").cast("array<int>")).alias("page"))
 
 
 @register(
@@ -399,10 +399,9 @@ def q_retention(spark, sf):
 
 @register("q_admission", "select id, row_number() over (order by created_at, id) <= 10 as admitted from jobs", "jobs")
 def q_admission(spark, sf):
-    return jobs.admitted(inputs.jobs(spark, sf).select("id", "created_at"))
+    return jobs.admitted(inputs.jobs(spark, sf).select("id", "created_at")).drop("created_at")
 
 
-_SECONDS = f"greatest(0, epoch(coalesce(completed_at, {NOW_SQL}))::bigint - epoch(coalesce(started_at, created_at))::bigint)"
 _SECONDS = f"greatest(0, floor(epoch(coalesce(completed_at, {NOW_SQL})))::bigint - floor(epoch(coalesce(started_at, created_at)))::bigint)"
 
 
