@@ -30,7 +30,7 @@ MAX_TOXIC, MAX_OTHER = 2500, 4500
 THRESHOLD = 0.7
 HELD_OUT = 1
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 12, (1, 2, 3)
-EPOCHS, BATCH, RATE, DECAY, SEED = 6, 64, 0.02, 1e-5, 3
+STEPS, BATCH, RATE, DECAY, SEED = 450, 64, 0.02, 1e-5, 3
 #: Sampled rows of a language that calibration needs; with fewer, the threshold over all languages holds.
 LEAST_CALIBRATION = 40
 #: Words whose filter answers a worker remembers.
@@ -138,7 +138,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = SEED) -> Model | None:
     dense = [*model.filters, model.bias, model.out]
     m1, m2, step, o1, o2 = [np.zeros_like(p) for p in dense], [np.zeros_like(p) for p in dense], 0, 0.0, 0.0
     weight = {0: 1.0, 1: float(np.sqrt((y == 0).sum() / max(1, (y == 1).sum())))}
-    for _ in range(EPOCHS):
+    for _ in range(max(1, min(60, round(STEPS * BATCH / len(learn))))):
         for part in np.array_split(rng.permutation(learn), max(1, len(learn) // BATCH)):
             used, inverse = np.unique(np.concatenate([docs[i] for i in part] or [np.empty(0, np.int64)]), return_inverse=True)
             at = np.cumsum([0, *(len(docs[i]) for i in part)])
@@ -204,7 +204,7 @@ def _logits(model: Model, docs: list[np.ndarray], buckets: np.ndarray) -> np.nda
 
 
 def _cut(z: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the thresholds on z with the best F1."""
+    """A threshold on z with the best F1, low in the gap that it lies in: toxic texts vary more than clean ones."""
     order = np.argsort(-z, kind="stable")
     z, y = z[order], y[order]
     hits = np.cumsum(y)
@@ -212,7 +212,7 @@ def _cut(z: np.ndarray, y: np.ndarray) -> float:
     ends = np.append(z[1:] < z[:-1], True)
     f1 = np.where(ends, f1, -1)
     k = int(np.argmax(f1))
-    return float((z[k] + z[k + 1]) / 2) if k + 1 < len(z) else float(z[k]) - 1.0
+    return float(0.15 * z[k] + 0.85 * z[k + 1]) if k + 1 < len(z) else float(z[k]) - 1.0
 
 
 def calibrate(z: np.ndarray, y: np.ndarray, language: np.ndarray) -> np.ndarray:
