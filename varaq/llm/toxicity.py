@@ -29,7 +29,7 @@ from varaq.llm.common import table
 MAX_TOXIC, MAX_OTHER = 2500, 4500
 THRESHOLD = 0.7
 HELD_OUT = 1
-BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 12, (1, 2, 3)
+BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 16, 12, (1, 2, 3)
 STEPS, BATCH, RATE, DECAY, SEED = 450, 64, 0.02, 1e-5, 3
 #: Sampled rows of a language that calibration needs; with fewer, the threshold over all languages holds.
 LEAST_CALIBRATION = 40
@@ -204,7 +204,7 @@ def _logits(model: Model, docs: list[np.ndarray], buckets: np.ndarray) -> np.nda
 
 
 def _cut(z: np.ndarray, y: np.ndarray) -> float:
-    """A threshold on z with the best F1, low in the gap that it lies in: toxic texts vary more than clean ones."""
+    """A threshold on z with the best F1, a third of the way up the gap that it lies in."""
     order = np.argsort(-z, kind="stable")
     z, y = z[order], y[order]
     hits = np.cumsum(y)
@@ -212,7 +212,7 @@ def _cut(z: np.ndarray, y: np.ndarray) -> float:
     ends = np.append(z[1:] < z[:-1], True)
     f1 = np.where(ends, f1, -1)
     k = int(np.argmax(f1))
-    return float(0.15 * z[k] + 0.85 * z[k + 1]) if k + 1 < len(z) else float(z[k]) - 1.0
+    return float((z[k] + 2 * z[k + 1]) / 3) if k + 1 < len(z) else float(z[k]) - 1.0
 
 
 def calibrate(z: np.ndarray, y: np.ndarray, language: np.ndarray) -> np.ndarray:
