@@ -6,7 +6,7 @@ bounded sample of labelled rows that are not held out. The decision threshold is
 sampled rows kept out of the training; the language is told from the text's own function words, never from a
 column. Scores are shifted so that every language's threshold is at THRESHOLD.
 
-Defined results: null and empty texts get the score of a text without words; without labelled rows of both kinds
+Defined results: texts without words, null ones included, score 0; without labelled rows of both kinds
 all scores are 0; rows with a null doc_id are never learned from and count as not held out; repeated labels of a
 document count once, as the lowest; each input row gives one row.
 """
@@ -249,7 +249,9 @@ class Scorer:
         flat, starts = _laid_out(docs, 0)
         z = self.model.logits(self.model.pooled(self.answers, flat, starts))
         z = z + self.model.shift[[language_of(t) for t in tokens]]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
+        score = 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
+        score[[not t for t in tokens]] = 0.0
+        return score
 
 
 _LOADED: list[Scorer] = []
