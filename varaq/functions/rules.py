@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varaq.config import SETTINGS
 from varaq.functions.text import is_blank
@@ -126,7 +127,7 @@ def safe_error(cancelled: Column) -> Column:
     return F.when(cancelled, "پردازش به درخواست کاربر متوقف شد").otherwise("خطای پردازش فایل")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(names: pd.Series) -> pd.Series:
     """Unicode's NFKC, which has no built-in."""
     return names.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
@@ -142,3 +143,27 @@ def safe_pdf_name(name: Column, fallback_id: Column) -> Column:
     safe = F.when(safe == "", default).otherwise(safe)
     stem = F.regexp_replace(safe, r"(?<=.)\.[^.]*\z", "")
     return F.when(is_pdf_path(safe), safe).otherwise(F.concat(stem, F.lit(".pdf")))
+
+
+def missing_languages(required: Column, installed: Column) -> Column:
+    """Of "a+b" the languages that are not installed, sorted."""
+    wanted = F.filter(F.transform(F.split(required, r"\+"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.array_sort(F.array_except(wanted, installed))
+
+
+def encoded_list(values: Column) -> Column:
+    """A list as JSON text, as the job table's files hold it."""
+    return F.to_json(F.coalesce(values, F.array().cast("array<string>")))
+
+
+def decoded_list(text: Column) -> Column:
+    return F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))
+
+
+def encoded_time(time: Column) -> Column:
+    """A time as ISO text in UTC."""
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
+def decoded_time(text: Column) -> Column:
+    return F.to_timestamp(text, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")

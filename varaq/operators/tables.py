@@ -64,3 +64,15 @@ def labelled(tables: DataFrame) -> DataFrame:
             "fill_ratio": F.bround("fill", 2),
         }
     )
+
+
+def words_in_cells(words: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Words with row_no and col_no of the cell that their centre lies in.
+
+    boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom. An equi-join on the page with a condition; a
+    page has few cells.
+    """
+    b = boxes.select("book", "page", "table_no", "row_no", "col_no", *(F.col(c).alias(f"_{c}") for c in ("x0", "top", "x1", "bottom")))
+    x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
+    inside = (x >= F.col("_x0")) & (x < F.col("_x1")) & (y >= F.col("_top")) & (y < F.col("_bottom"))
+    return words.join(b, ["book", "page"]).where(inside).drop("_x0", "_top", "_x1", "_bottom")

@@ -180,6 +180,36 @@ def responses(spark, sf) -> DataFrame:
     return g.select("book", "lesson_order", F.concat(F.lit('{"concepts": ['), "c", F.lit('], "relationships": ['), "e", F.lit("]}")).alias("response"))
 
 
+def cell_boxes(spark, sf) -> DataFrame:
+    """Two by three cells over the top left of each page."""
+    d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"))
+    g = d.select("*", F.lit(1).alias("table_no"), F.explode(F.expr("sequence(1, 2)")).alias("row_no")).select("*", F.explode(F.expr("sequence(1, 3)")).alias("col_no"))
+    return g.select(
+        "book", "page", "table_no", "row_no", "col_no", F.expr("400e0 + col_no * 30").alias("x0"), F.expr("430e0 + col_no * 30").alias("x1"), F.expr("(row_no - 1) * 24e0").alias("top"), F.expr("row_no * 24e0").alias("bottom")
+    )
+
+
+def job_events(spark, sf) -> DataFrame:
+    """Partial updates of jobs, several an id, in the order of seq."""
+    e = read(spark, sf, "events")
+    return e.select(
+        (F.col("event_id") % 701).alias("id"),
+        F.col("event_id").alias("seq"),
+        F.expr("case when event_id % 3 = 0 then null else event_type end").alias("state"),
+        F.expr("case when event_id % 4 = 0 then cast(event_id % 50 as int) end").alias("total_pages"),
+        F.expr("case when event_id % 9 = 2 then concat('e', event_id) end").alias("error_summary"),
+    )
+
+
+def job_files(spark, sf) -> DataFrame:
+    e = read(spark, sf, "events")
+    return e.select(
+        F.expr("concat('j', event_id)").alias("id"),
+        F.expr("case when event_id % 3 = 0 then null else concat('/in/j', event_id, '-book.pdf') end").alias("local_input_path"),
+        F.expr("array(concat('/out/j', event_id, '-a.json'), concat('/out/x', event_id, '.md'), concat('/tmp/j', event_id, '-b'), concat('/out/../j', event_id, '-c'))").alias("output_paths"),
+    )
+
+
 _STATE = (
     "case when event_type = 'signup' then 'queued' when event_type = 'error' then 'failed' when event_type = 'click' then 'completed' "
     "when event_type = 'purchase' then 'cancelled' when event_id % 3 = 0 then 'extracting' when event_id % 3 = 1 then 'received' else 'cancel_requested' end"
@@ -313,6 +343,16 @@ DUCK: dict[str, tuple[tuple[str, ...], str]] = {
         "select concat('b', c_custkey) as book, case c_custkey % 7 when 1 then '' else concat('side ', c_custkey) end as book_title, case c_custkey % 2 when 0 then 'side course' end as course, '11' as grade "
         "from customer where c_custkey % 7 < 4",
     ),
+    "cell_boxes": (
+        (),
+        "select source as book, cast(doc_id + 1 as int) as page, 1 as table_no, row_no, col_no, 400e0 + col_no * 30 as x0, 430e0 + col_no * 30 as x1, (row_no - 1) * 24e0 as top, row_no * 24e0 as bottom "
+        "from documents, (values (1), (2)) r(row_no), (values (1), (2), (3)) c(col_no)",
+    ),
+    "job_events": (
+        (),
+        "select event_id % 701 as id, event_id as seq, case when event_id % 3 = 0 then null else event_type end as state, case when event_id % 4 = 0 then cast(event_id % 50 as int) end as total_pages, "
+        "case when event_id % 9 = 2 then concat('e', event_id) end as error_summary from events",
+    ),
     "captions": ((), f"select conv_id, turn, {CAPTION} as caption from conversations"),
 }
 

@@ -15,7 +15,14 @@ from varaq.plans import inputs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-NOW, NOW_SQL = F.lit("2026-01-01 00:00:00").cast("timestamp"), "timestamp '2026-01-01 00:00:00'"
+NOW_SQL = "timestamp '2026-01-01 00:00:00'"
+
+
+def now() -> Column:
+    """A fixed time, so that results do not change."""
+    return F.expr(NOW_SQL)
+
+
 
 
 def register(name: str, sql: str | None, *needed: str) -> Callable[[Query], Query]:
@@ -382,12 +389,12 @@ def q_active_dup(spark, sf):
 
 @register("q_cancel", f"select id, not {d.IN_TERMINAL} and user_id = 5 as changed, case when {d.IN_TERMINAL} or user_id <> 5 then state when state in ('received', 'validating', 'queued') then 'cancelled' else 'cancel_requested' end as state from jobs", "jobs")
 def q_cancel(spark, sf):
-    return jobs.cancel(inputs.jobs(spark, sf), F.lit(5), NOW).select("id", "changed", "state")
+    return jobs.cancel(inputs.jobs(spark, sf), F.lit(5), now()).select("id", "changed", "state")
 
 
 @register("q_recover", f"select id, case when {d.IN_RUNNING} then 'failed' else state end as state, case when {d.IN_RUNNING} then 'interrupted by bot restart' else error_summary end as error_summary from jobs", "jobs")
 def q_recover(spark, sf):
-    return jobs.recovered(inputs.jobs(spark, sf), NOW).select("id", "state", "error_summary")
+    return jobs.recovered(inputs.jobs(spark, sf), now()).select("id", "state", "error_summary")
 
 
 @register("q_retention", f"select id from jobs where {d.IN_TERMINAL} and completed_at < (select min(ts) + interval 1 hour from events)", "jobs")
@@ -407,7 +414,7 @@ _SECONDS = f"greatest(0, floor(epoch(coalesce(completed_at, {NOW_SQL})))::bigint
 
 @register("q_elapsed", f"select id, {_SECONDS} as seconds from jobs", "jobs")
 def q_elapsed(spark, sf):
-    return inputs.jobs(spark, sf).select("id", rules.elapsed_seconds(F.col("created_at"), F.col("started_at"), F.col("completed_at"), NOW).alias("seconds"))
+    return inputs.jobs(spark, sf).select("id", rules.elapsed_seconds(F.col("created_at"), F.col("started_at"), F.col("completed_at"), now()).alias("seconds"))
 
 
 @register(
@@ -420,7 +427,7 @@ def q_elapsed(spark, sf):
 )
 def q_status_text(spark, sf):
     j = inputs.jobs(spark, sf)
-    return j.join(jobs.queue_positions(j), "id", "left").select("id", jobs.status_text(F.col("position"), NOW).alias("status"))
+    return j.join(jobs.queue_positions(j), "id", "left").select("id", jobs.status_text(F.col("position"), now()).alias("status"))
 
 
 @register("q_completion_text", "select id, concat('✅ پردازش با موفقیت تمام شد.', chr(10), 'فایل: ', filename, chr(10), 'صفحات: ', coalesce(total_pages, 0), chr(10), 'صفحات OCR شده: ', coalesce(ocr_page_count, 0), chr(10), 'خروجی‌ها: ', len(output_paths), chr(10), 'هشدارها: ', len(warnings)) as message from jobs where state = 'completed'", "jobs")
@@ -434,6 +441,142 @@ def q_delivery_plan(spark, sf):
     return inputs.jobs(spark, sf).select("id", plan.alias("p")).select("id", "p.*")
 
 
+@register("q_cell_words", "select book, page, row_no, col_no, string_agg(text, ' ' order by band) as text from (select book, page, row_no, col_no, round_even(top / 3, 0) * 3 as band, string_agg(" + d.fix_glyphs("text") + ", ' ' order by -x0, word_no) as text from (select w.*, b.row_no, b.col_no from words w join cell_boxes b on b.book = w.book and b.page = w.page and (w.x0 + w.x1) / 2 >= b.x0 and (w.x0 + w.x1) / 2 < b.x1 and (w.top + w.bottom) / 2 >= b.top and (w.top + w.bottom) / 2 < b.bottom) group by 1, 2, 3, 4, 5) group by 1, 2, 3, 4", "words", "cell_boxes")
+def q_cell_words(spark, sf):
+    inside = tables.words_in_cells(inputs.words(spark, sf), inputs.cell_boxes(spark, sf))
+    return lines.region_text(inside, ("book", "page", "row_no", "col_no")).withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
+
+
+@register("q_page_blocks", "select book, page, concat(page, '-1') as id, text from page_status where method = 'ocr_tesseract' and text <> ''", "page_status")
+def q_page_blocks(spark, sf):
+    status = _status(spark, sf)
+    none = status.where("method = 'failed'").select("book", "page", F.lit(1).alias("block_index"), F.lit("").alias("id"), F.lit("paragraph").alias("type"), "text")
+    return pages.page_blocks(status, none).select("book", "page", "id", "text")
+
+
+@register("q_current_jobs", "select id, arg_max(state, seq) filter (where state is not null) as state, arg_max(total_pages, seq) filter (where total_pages is not null) as total_pages, arg_max(error_summary, seq) filter (where error_summary is not null) as error_summary from job_events group by 1", "job_events")
+def q_current_jobs(spark, sf):
+    return jobs.current(inputs.job_events(spark, sf))
+
+
+@register("q_queue", "select id, created_at from jobs where state = 'queued'", "jobs")
+def q_queue(spark, sf):
+    return jobs.queued(inputs.jobs(spark, sf)).select("id", "created_at")
+
+
+@register("q_artifacts", "select concat('j', event_id) as id, unnest(case when event_id % 3 = 0 then [concat('/out/j', event_id, '-a.json')] else [concat('/in/j', event_id, '-book.pdf'), concat('/out/j', event_id, '-a.json')] end) as path from events")
+def q_artifacts(spark, sf):
+    return jobs.artifacts(inputs.job_files(spark, sf), ["/in", "/out"])
+
+
+@register("q_timeout", f"select id from jobs where {d.IN_RUNNING} and floor(epoch({NOW_SQL}))::bigint - floor(epoch(coalesce(started_at, created_at)))::bigint > 7200", "jobs")
+def q_timeout(spark, sf):
+    return jobs.timed_out(inputs.jobs(spark, sf), now()).select("id")
+
+
+@register("q_stage_state", "select event_id, case event_id % 9 when 0 then 'extracting' when 1 then 'processing' when 2 then 'processing' when 3 then 'exporting' when 4 then 'exporting' when 5 then 'processing' when 6 then 'exporting' else 'processing' end as state, case when event_id % 2 = 0 then 'پردازش به درخواست کاربر متوقف شد' else 'خطای پردازش فایل' end as message from events")
+def q_stage_state(spark, sf):
+    names = F.array(*(F.lit(k) for k in rules.STAGE_STATE), F.lit("other"), F.lit(None))
+    e = inputs.read(spark, sf, "events")
+    return e.select("event_id", rules.state_of_stage(F.element_at(names, (F.col("event_id") % 9 + 1).cast("int"))).alias("state"), rules.safe_error(F.col("event_id") % 2 == 0).alias("message"))
+
+
+@register("q_codecs", "select id, case when len(output_paths) = 2 then '[\"a.json\",\"b.md\"]' else '[\"a.json\",\"b.md\",\"c\",\"d\",\"e\"]' end as listed, len(output_paths) as n, concat(strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00') as time, true as same from jobs", "jobs")
+def q_codecs(spark, sf):
+    j = inputs.jobs(spark, sf).withColumn("at", F.col("created_at").cast("timestamp"))
+    listed, time = rules.encoded_list(F.col("output_paths")), rules.encoded_time(F.col("at"))
+    return j.select("id", listed.alias("listed"), F.size(rules.decoded_list(listed)).alias("n"), time.alias("time"), (rules.decoded_time(time) == F.col("at")).alias("same"))
+
+
+@register("q_languages", "select c_custkey, case c_custkey % 3 when 0 then '' when 1 then 'fas' else 'ara,eng' end as missing from customer")
+def q_languages(spark, sf):
+    wanted = F.expr("case c_custkey % 3 when 0 then 'eng + fra' when 1 then 'fas+eng' else ' eng+ara+' end")
+    have = F.expr("case c_custkey % 3 when 2 then array('fas') else array('eng', 'fra') end")
+    return inputs.read(spark, sf, "customer").select("c_custkey", F.array_join(rules.missing_languages(wanted, have), ",").alias("missing"))
+
+
+_BOOKS = "select book, concat(book, '.pdf') as filename, case when book = 'src1' then '' else concat('t', book) end as title, null as course, '10' as grade from counts"
+
+
+def _meta(counts):
+    return counts.select("book", F.concat("book", F.lit(".pdf")).alias("filename"), F.expr("case when book = 'src1' then '' else concat('t', book) end").alias("title"), F.lit(None).cast("string").alias("course"), F.lit("10").alias("grade"))
+
+
+_MD_PAGE = "concat('## صفحه ', page, chr(10), chr(10), '_روش استخراج: ', method, '_', chr(10), chr(10), case when warnings <> '' then concat('### هشدارهای استخراج', chr(10), chr(10), '- ', replace(warnings, '|', concat(chr(10), '- ')), chr(10), chr(10)) else '' end, case when text <> '' then concat(text, chr(10), chr(10)) else '> متنی از این صفحه استخراج نشد (حتی با OCR). نیاز به بررسی دستی دارد.' || chr(10) || chr(10) end)"
+
+
+@register(
+    "q_md_document",
+    "select b.book, concat('# ', coalesce(nullif(b.title, ''), b.book), chr(10), chr(10), '- فایل: ', b.filename, chr(10), '- درس: -', chr(10), '- پایه: 10', chr(10), '- تعداد صفحات: ', c.total_pages, chr(10), '- صفحات دارای متن: ', c.with_text, chr(10), "
+    "'- صفحات بدون متن: ', c.without_text, chr(10), '- صفحات نیازمند بازبینی: ', c.to_review, chr(10), chr(10), case when c.without_text > 0 then concat('### هشدارهای کلی سند', chr(10), chr(10), '- ', c.without_text, "
+    f"' page(s) had no extractable text even after OCR fallback and may need manual review.', chr(10), chr(10)) else '' end, '---', chr(10), chr(10), p.body) as markdown from ({_BOOKS}) b join counts c using (book) "
+    f"join (select book, string_agg({_MD_PAGE}, '' order by page) as body from page_status group by 1) p using (book)",
+    "counts",
+    "page_status",
+)
+def q_md_document(spark, sf):
+    status = _status(spark, sf)
+    counts = pages.document_counts(status)
+    none = status.limit(0).select("book", "page", F.lit(1).alias("block_index"), F.lit("").alias("type"), "text", F.lit(None).cast("array<array<string>>").alias("rows"))
+    return render.markdown_documents(_meta(counts), counts, pages.document_warning(counts, True), render.markdown_pages(status, none))
+
+
+@register("q_json_document", "select s.book, cast(s.page as bigint) as page, s.text, s.method, s.needs_review, concat(s.book, '.pdf') as filename, coalesce(b.n, 0) as n_blocks from page_status s left join (select book, page, 1::bigint as n from page_status where method = 'ocr_tesseract' and text <> '') b using (book, page)", "page_status")
+def q_json_document(spark, sf):
+    status = _status(spark, sf)
+    none = status.limit(0).select("book", "page", F.lit(1).alias("block_index"), F.lit("").alias("id"), F.lit("paragraph").alias("type"), "text")
+    made = render.json_documents(_meta(pages.document_counts(status)), status, pages.page_blocks(status, none))
+    shape = "metadata struct<filename: string>, pages array<struct<page_number: bigint, text: string, extraction_method: string, needs_review: boolean, blocks: array<struct<id: string>>>>"
+    read = made.select("book", F.from_json("json", shape).alias("j")).select("book", F.col("j.metadata.filename").alias("filename"), F.explode("j.pages").alias("p"))
+    return read.select("book", F.col("p.page_number").alias("page"), "p.text", F.col("p.extraction_method").alias("method"), "p.needs_review", "filename", F.size("p.blocks").cast("bigint").alias("n_blocks"))
+
+
+@register("q_seed_json", "select o.book, c.page as chapter_page, c.title as chapter, l.\"order\" as lesson, l.title as lesson_title, count(s.seq) as subtopics from (select distinct book from outline) o join outline c on c.book = o.book and c.role = 'chapter' left join outline l on l.book = o.book and l.chapter_seq = c.seq and l.role = 'lesson' left join outline s on s.book = o.book and s.lesson_seq = l.seq and s.role = 'subtopic' group by o.book, c.seq, c.page, c.title, l.seq, l.\"order\", l.title", "outline")
+def q_seed_json(spark, sf):
+    o = _outline(spark, sf)
+    meta = o.select("book").distinct().select("book", F.col("book").alias("title"), F.lit(None).cast("string").alias("course"), F.lit(None).cast("string").alias("grade"))
+    shape = "chapters array<struct<title: string, page: bigint, lessons: array<struct<`order`: int, title: string, subtopics: array<struct<title: string>>>>>>"
+    c = render.seed_documents(o, meta).select("book", F.from_json("json", shape).alias("j")).select("book", F.explode("j.chapters").alias("c"))
+    found = c.select("book", F.col("c.page").alias("chapter_page"), F.col("c.title").alias("chapter"), F.explode_outer("c.lessons").alias("l"))
+    return found.select("book", "chapter_page", "chapter", F.col("l.order").alias("lesson"), F.col("l.title").alias("lesson_title"), F.coalesce(F.size("l.subtopics"), F.lit(0)).cast("bigint").alias("subtopics"))
+
+
+@register("q_graph_json", "select c.book, c.id, c.title, c.confidence, coalesce(e.n, 0) as relationships from concepts c left join (select book, count(*) as n from edges group by 1) e using (book)", "concepts", "edges")
+def q_graph_json(spark, sf):
+    v, e = _concepts(spark, sf), _edges(spark, sf)
+    meta = v.select("book").distinct().select("book", F.col("book").alias("title"), F.lit(None).cast("string").alias("course"), F.lit(None).cast("string").alias("grade"))
+    shape = "concepts array<struct<id: string, title: string, confidence: double>>, relationships array<struct<id: string>>"
+    g = render.graph_documents(v, e, meta).select("book", F.from_json("json", shape).alias("j"))
+    return g.select("book", F.size("j.relationships").cast("bigint").alias("relationships"), F.explode("j.concepts").alias("c")).select("book", "c.id", "c.title", "c.confidence", "relationships")
+
+
+@register(
+    "q_summary_text",
+    "select book, concat('✓ ', book, '.pdf', chr(10), '  عنوان: t', book, chr(10), '  صفحات: ', total_pages, ' (متن‌دار: ', with_text, ', بدون متن: ', without_text, ', نیاز به بازبینی: ', to_review, ')', chr(10), "
+    "case when to_review % 2 = 0 then concat('  ساختار: 2 فصل، ', to_review, ' درس') else '  ساختار: فهرست پیدا/پارس نشد' end, chr(10), '  JSON: j', chr(10), '  Markdown: m', case when to_review % 2 = 0 then concat(chr(10), '  Django seed: s') else '' end, "
+    "chr(10), '  گراف دانش: 3 مفهوم، 1 رابطه -> g', case when without_text > 0 then concat(chr(10), '  هشدارها:', chr(10), '    - w1', chr(10), '    - w2') else '' end) as summary from counts",
+    "counts",
+)
+def q_summary_text(spark, sf):
+    c = pages.document_counts(_status(spark, sf)).withColumn("even", F.col("to_review") % 2 == 0)
+    c = c.withColumns(
+        {
+            "filename": F.concat("book", F.lit(".pdf")), "title": F.concat(F.lit("t"), "book"), "chapters": F.when(F.col("even"), 2).otherwise(0), "lessons": F.col("to_review"), "json_path": F.lit("j"), "markdown_path": F.lit("m"),
+            "seed_path": F.when(F.col("even"), "s"), "graph_path": F.lit("g"), "concepts": F.lit(3), "relationships": F.lit(1), "warnings": F.when(F.col("without_text") > 0, F.array(F.lit("w1"), F.lit("w2"))).otherwise(F.array().cast("array<string>")),
+        }
+    )
+    return c.select("book", render.summary_text().alias("summary"))
+
+
+@register("q_path_rules", "select c_custkey, c_custkey % 2 = 0 as pdf, c_custkey % 3 = 0 as inside, case when c_custkey % 2 = 0 then 'a' else concat('b', c_custkey) end as sidecar from customer")
+def q_path_rules(spark, sf):
+    from varaq.sources import books
+
+    path = F.expr("case c_custkey % 2 when 0 then 'x/a.b.PDF' else concat('b', c_custkey, '.txt') end")
+    where = F.expr("case c_custkey % 3 when 0 then '/out/a' when 1 then '/outer/a' else '/out/../a' end")
+    return inputs.read(spark, sf, "customer").select("c_custkey", rules.is_pdf_path(path).alias("pdf"), rules.within_roots(where, ["/out", "/in/"]).alias("inside"), books.sidecar_stem(path).alias("sidecar"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -25,11 +25,11 @@ def book_files(spark: SparkSession, folder: str, max_bytes: int = SETTINGS.max_f
     """name, path, size, modified, sha256, error of the files in a folder, by name.
 
     The digest is computed where the file is read; content does not leave the executors. Files that cannot be books
-    are rows with an error, not failures.
+    are rows with an error, not failures; Spark's reader leaves out empty files.
     """
     f = spark.read.format("binaryFile").load(folder)
     too_large = F.col("length") > max_bytes
-    wrong = F.when(~is_pdf_path(F.col("path")), "unsupported_type").when(F.col("length") == 0, "empty").when(too_large, "too_large").when(~is_pdf_content(F.col("content")), "not_a_pdf")
+    wrong = F.when(~is_pdf_path(F.col("path")), "unsupported_type").when(too_large, "too_large").when(~is_pdf_content(F.col("content")), "not_a_pdf")
     name = F.regexp_replace("path", r"\A.*/", "")
     return f.select(name.alias("name"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.when(~too_large, F.sha2("content", 256)).alias("sha256"), wrong.alias("error")).orderBy("name")
 
