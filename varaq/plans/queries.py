@@ -317,16 +317,18 @@ def q_md_table(spark, sf):
     return t.select("book", "page", render.markdown_table(F.col("rows")).alias("markdown"))
 
 
-_NO_TABLE_GRID = "case when type = 'heading' then concat('### ', text) else text end"
+_TABLE_SQL = f"concat({d.LINE.replace('(r,', '(rows[1],').replace('len(r)', 'len(rows[1])')}, chr(10), '|', repeat(' --- |', w::bigint), case when len(rows) > 1 then chr(10) else '' end, array_to_string(list_transform(rows[2:], lambda r: {d.LINE}), chr(10)))"
 
 
 @register(
     "q_md_page",
-    f"select book, page, concat('## صفحه ', page, chr(10), chr(10), '_روش استخراج: pdfplumber_positional_', chr(10), chr(10), string_agg(concat({_NO_TABLE_GRID}, chr(10)), chr(10) order by block_index), chr(10), chr(10)) as markdown from blocks where type <> 'table' group by 1, 2",
+    "select book, page, concat('## صفحه ', page, chr(10), chr(10), '_روش استخراج: pdfplumber_positional_', chr(10), chr(10), string_agg(concat(case when type = 'heading' then concat('### ', text) when type = 'table' then m else text end, chr(10)), chr(10) order by block_index), chr(10), chr(10)) as markdown "
+    f"from (select b.*, {_TABLE_SQL} as m from blocks b left join md_rows using (book, page)) group by 1, 2",
     "blocks",
+    "md_rows",
 )
 def q_md_page(spark, sf):
-    b = _blocks(spark, sf).where("type <> 'table'")
+    b = _blocks(spark, sf)
     p = b.select("book", "page").distinct().select("*", F.lit("x").alias("text"), F.lit("pdfplumber_positional").alias("method"), F.array().cast("array<string>").alias("warnings"))
     return render.markdown_pages(p, b)
 
