@@ -27,6 +27,7 @@ def main(args: list[str] | None = None) -> int:
     lib = engine.run(engine.Library(good, words, spark.read.parquet(a.cells), ocr, use_ocr=not a.no_ocr))
     for kind in ("json", "markdown", "seed"):
         write_each(lib[kind], f"{a.out}/{kind}", kind if kind == "markdown" else "json")
+    lib.release()
     totals = batch_totals(asked.selectExpr("error is null as ok")).first()
     print(totals.asDict())
     return int(totals["failed"] > 0)

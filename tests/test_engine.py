@@ -74,6 +74,7 @@ def test_exports(library, tmp_path):
     assert md["b"].startswith("# کتاب\n\n- فایل: b.pdf\n- درس: -\n") and "| r1\\|c1 | r1\\|c2 |\n| --- | --- |" in md["b"] and md["c"].startswith("# c\n")
     write_each(library["markdown"], f"file://{tmp_path}/md", "markdown")
     assert (tmp_path / "md" / "document=b").is_dir()
+    assert library["lines"].is_cached and library["blocks"].is_cached
     assert engine.summary(library).where("book = 'c'").first().chapters == 0
 
 

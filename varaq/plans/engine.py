@@ -13,7 +13,8 @@ from varaq.operators import blocks, graph, lessons, lines, outline, pages, rende
 
 @dataclass
 class Library:
-    """Relations of a run; each stage adds its own."""
+    """Relations of a run; each stage adds its own. Those that several later stages read are persisted (on memory and
+    disk, recomputed where an executor is lost) until release()."""
 
     requests: DataFrame
     words: DataFrame
@@ -25,8 +26,15 @@ class Library:
     def __getitem__(self, name: str) -> DataFrame:
         return self.relations[name]
 
+    def release(self) -> None:
+        for name in SHARED:
+            if name in self.relations:
+                self.relations[name].unpersist()
+
 
 Stage = Callable[[Library], dict[str, DataFrame]]
+#: Relations that more than one stage reads.
+SHARED = ("lines", "pages", "blocks", "outline")
 
 
 class Cancelled(RuntimeError):
@@ -34,7 +42,7 @@ class Cancelled(RuntimeError):
 
 
 def extract_pages(lib: Library) -> dict[str, DataFrame]:
-    styled = lines.classify(lines.lines_of(lib.words))
+    styled = lines.classify(lines.lines_of(lib.words)).persist()
     status = pages.page_status(lines.page_texts(styled), lib.ocr, lib.use_ocr)
     boxes = tables.labelled(tables.accepted(tables.table_stats(lib.cells)))
     return {"lines": styled, "pages": status, "blocks": pages.page_blocks(status, blocks.blocks_of(styled, boxes))}
@@ -84,7 +92,8 @@ def run(lib: Library, stages=STAGES, progress: Callable[[str], None] | None = No
             raise Cancelled(name)
         if progress is not None:
             progress(name)
-        lib.relations.update(stage(lib))
+        for key, made in stage(lib).items():
+            lib.relations[key] = made.persist() if key in SHARED and not made.is_cached else made
     return lib
 
 
