@@ -91,6 +91,10 @@ def test_blocks_of_an_article():
     assert html_extract.text_lines("plain <b>text") == (False, ["plain text"])
     assert html_extract.text_lines("<div>a<div>b</div>c</div><p>d<p>e") == (False, ["a", "b", "c", "d", "e"])
     assert html_extract.text_lines("<article><p>cut &am")[1] == ["cut &am"]
+    shell = '<div class="page has-sidebar"><main><p>in</p><ol class="commentList"><li>no</li></ol></main><section id="relatedPosts"><p>no</p></section></div>'
+    assert html_extract.text_lines(shell) == (True, ["in"])
+    assert html_extract.text_lines('<article>a</article><article class="comment">no</article>') == (True, ["a"])
+    assert html_extract.text_lines("<body><div role=navigation>no</div><p>yes<noscript>no</noscript></p><div style='display: none'>no</div>") == (False, ["yes"])
     assert html_extract.text_lines('<p title="a > b">x</p><p title=">y</p>')[1][0] == "x"
 
 

@@ -53,6 +53,17 @@ def test_quality_learns_a_planted_rule_and_keeps_the_rest(spark):
     assert quality.assess(empty(spark), none).count() == 0
 
 
+def test_quality_stage_keeps_rows_without_an_id(spark, tmp_path):
+    docs = documents(spark)
+    spark.createDataFrame([], "doc_id bigint, quality int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    out = quality.keep_good(spark, docs.withColumn("text", F.when(F.col("doc_id").isNull(), F.repeat(F.lit("many words that differ "), 2)).otherwise(F.col("text"))), f"file://{tmp_path}")
+    assert out.columns == docs.columns
+    good = {k for k, t in enumerate(texts()) if (s := stats(t or ""))[0] >= 20 and 100 * s[4] <= 30 * s[0]}
+    assert {r.doc_id for r in out.collect()} == good
+    long = docs.withColumn("text", F.lit(" ".join(f"w{k}" for k in range(30))))
+    assert quality.keep_good(spark, long, f"file://{tmp_path}").where("doc_id is null").count() == 1
+
+
 def test_quality_conditions_become_ordered_case_expressions():
     c = quality.Condition("symbols_per_char", True, 0.5)
     e = quality.Condition("chars_per_word", False, 2.0)
@@ -170,7 +181,7 @@ def test_sanitise_keeps_rows_columns_and_clashing_names(spark):
     docs = documents(spark)
     out = pii.sanitise(spark, docs, "")
     assert out.columns == docs.columns and out.count() == docs.count()
-    assert all(out.where(F.col(c) != "clash").count() == 0 for c in CLASH[:2])
+    assert all(out.where(F.col(c) != "clash").count() == 0 for c in CLASH)
     assert pii.sanitise(spark, empty(spark), "").count() == 0
 
 
@@ -263,6 +274,7 @@ def test_mix_of_an_empty_table_and_the_stage_order(spark):
     assert mixing.mixed(empty(spark).drop("_slot")).count() == 0
     out = mixing.in_mixed_order(spark, documents(spark), "")
     assert out.columns == documents(spark).columns and out.count() == docs.count()
+    assert all(out.where(F.col(c) != "clash").count() == 0 for c in CLASH)
 
 
 # toxicity

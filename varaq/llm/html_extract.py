@@ -49,10 +49,12 @@ _SKIPPED = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar".split())
-#: Words of class and id names that mark what is not the article.
+#: Words of class and id names that mark what is not the article, unless a word before them says that the element
+#: only stands beside such a thing.
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|gdpr|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notice|pager|pagination|popup|promo|related|replies|reply|respond|share|sharing|sidebar|social|sponsor|sponsored|subscribe|teaser|toolbar|widget)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?<!without-)(?:ads?|advert\w*|banner\w*|breadcrumb\w*|comment\w*|consent\w*|cookie\w*|disqus\w*|footer\w*|gdpr\w*|menu\w*|"
+    r"modal\w*|nav|navbar|navigation|newsletter\w*|notice\w*|pager|pagination|popup\w*|promo\w*|related\w*|replies|reply|respond|shar(?:e|es|ing)|sidebar\w*|social\w*|"
+    r"sponsor\w*|subscribe\w*|teasers?|toolbar|widgets?)(?=$|[\s_-])",
     re.I,
 )
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
@@ -72,7 +74,7 @@ def _unwanted(name: str, tag: str) -> bool:
         return True
     for key, value in _ATTRIBUTE.findall(tag):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("html", "body", "article", "main") and _NAMES.search(value):
+        if key in ("class", "id") and name not in ("html", "body", "main") and _NAMES.search(value):
             return True
         if key == "role" and value.lower() in _ROLES:
             return True

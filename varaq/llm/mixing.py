@@ -87,7 +87,7 @@ def _source(col: Column) -> Column:
 
 
 def mixed(docs: DataFrame, power: float = POWER, block: int = BLOCK) -> DataFrame:
-    """docs with _source, _block (0, 1, ... in its source), _place (in the block), _slot, _release, _deadline and
+    """docs (no columns with these names) with _source, _block (0, 1, ... in its source), _place (in the block), _slot, _release, _deadline and
     _in_mix (before the horizon). The mix is the order by _slot, _place."""
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).cast("int")
     rows = docs.withColumns({"_source": _source(F.col("source")), "_part": part})
@@ -130,4 +130,5 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
 def in_mixed_order(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents in the order of the mix, over the output's files and within each."""
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return mixed(docs).repartitionByRange(parts, "_slot", "_place").sortWithinPartitions("_slot", "_place").select(*docs.columns)
+    packed = docs.select("doc_id", "source", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))  # no name clashes
+    return mixed(packed).repartitionByRange(parts, "_slot", "_place").sortWithinPartitions("_slot", "_place").select("_row.*")

@@ -212,9 +212,10 @@ def op4_pii(spark, sf_dir: str) -> DataFrame:
 def sanitise(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: personal data replaced, disclosing terms generalised or removed; all documents stay."""
     names = docs.columns
-    done = with_spans(docs, keep=True).withColumn("_t", F.col("text").cast("string"))
+    packed = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in names if c != "text")).alias("_doc"))  # no name clashes
+    done = with_spans(packed, keep=True).withColumn("_t", F.col("text").cast("string"))
     done = done.withColumn("_new", F.when(F.size("_all") > 0, sanitised(F.col("_t"), "_all")).otherwise(F.col("_t")))
-    shown = {"text": F.col("_new")}
+    shown = {"text": F.col("_new").cast(docs.schema["text"].dataType)}
     if "n_chars" in names:
-        shown["n_chars"] = F.when(F.size("_all") > 0, F.length("_new")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return done.select(*(shown[c].alias(c) if c in shown else F.col(c) for c in names))
+        shown["n_chars"] = F.when(F.size("_all") > 0, F.length("_new")).otherwise(F.col("_doc.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return done.select(*(shown[c].alias(c) if c in shown else F.col("_doc")[c].alias(c) for c in names))

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varaq.llm.common import window_hashes, word_hashes
 
@@ -93,24 +94,28 @@ def _batch_stats(texts: list[bytes], chars: np.ndarray) -> dict[str, np.ndarray]
     return out
 
 
-def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
-            text = pc.fill_null(batch.column("text"), "")
-            got = _batch_stats(
-                text.cast(pa.large_binary()).to_pylist(),
-                pc.utf8_length(text).to_numpy(zero_copy_only=False),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(got[c]) for c in STATS)],
-                names=["doc_id", *STATS],
-            )
+def _stats(first: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                text = pc.fill_null(batch.column("text"), "")
+                got = _batch_stats(text.cast(pa.large_binary()).to_pylist(), pc.utf8_length(text).to_numpy(zero_copy_only=False))
+                yield pa.RecordBatch.from_arrays([batch.column(first), *(pa.array(got[c]) for c in STATS)], names=[first, *STATS])
+
+    return run
+
+
+def with_text_stats(docs: DataFrame) -> DataFrame:
+    """row (a struct of all columns of docs, whatever their names) and the statistics of its text, in one pass."""
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([packed.schema["row"], *(T.StructField(c, T.LongType()) for c in STATS)])
+    return packed.mapInArrow(_stats("row"), schema)
 
 
 def text_stats(docs: DataFrame) -> DataFrame:
     """doc_id and the statistics of each whole text; one row per input row."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_stats, STATS_SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_stats("doc_id"), STATS_SCHEMA)
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -255,15 +260,15 @@ def verdict(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
+def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
+    """stats with base_failed, rejected_by (number of the rule, 0: none) and kept."""
+    out = with_features(stats).withColumn("base_failed", base_failed()).withColumn("rejected_by", verdict(rules))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("rejected_by") == 0))
+
+
 def assess(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """Statistics, base_failed, rejected_by (number of the rule, 0: none) and kept for each row of docs."""
-    rules = learn(docs, labels, max_labelled)
-    return (
-        with_features(text_stats(docs))
-        .withColumn("base_failed", base_failed())
-        .withColumn("rejected_by", verdict(rules))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("rejected_by") == 0))
-    )
+    """Statistics and verdict for each row of docs."""
+    return judged(text_stats(docs), learn(docs, labels, max_labelled))
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
@@ -274,8 +279,9 @@ def op8_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep, with their own columns."""
+    """Pipeline stage: the documents that the rules keep, with their own columns. Rows are judged where they are
+    read: no join, no shuffle."""
     from varaq.llm.common import table
 
-    good = assess(docs, table(spark, sf_dir, "labels")).where("kept").select("doc_id")
-    return docs.join(good.distinct(), "doc_id", "left_semi").select(*docs.columns)
+    good = judged(with_text_stats(docs), learn(docs, table(spark, sf_dir, "labels"))).where("kept")
+    return good.select("row.*")
