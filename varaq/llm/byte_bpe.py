@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.common import table
+from varaq.llm.common import chunks, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pieces that a worker remembers, and the longest of them in characters.
@@ -31,8 +31,6 @@ REMEMBERED = 400_000
 LONGEST = 64
 #: Longest piece, in bytes, that shares an array with others.
 SIDE_BY_SIDE = 128
-#: Characters of text that are handled at once, unless one text alone is longer.
-CHUNK = 1_000_000
 NONE = np.int64(1) << 62
 
 
@@ -214,16 +212,6 @@ def loaded(rank_file: bytes, pattern: str) -> ByteBpe:
     return _LOADED[key]
 
 
-def chunks(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """Slices of about `limit` characters."""
-    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
-    a = 0
-    while a < batch.num_rows:
-        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
-        yield batch.slice(a, b - a)
-        a = b
-
-
 def read_vocabulary(name: str = VOCABULARY) -> tuple[bytes, str]:
     """The rank file, of fixed size, and the pre-split pattern that belongs to it."""
     import public_tokenizers

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +58,25 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+#: Characters of text that a worker handles at once, unless one text alone is longer.
+CHUNK = 500_000
+
+
+def chunks(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """Slices of about `limit` characters of the column text; Arrow's spare memory goes back after each batch."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+    pa.default_memory_pool().release_unused()
+
+
 class WordHasher(dict):
     """word (bytes) -> 64-bit hash, remembered up to a bound."""
 
-    LIMIT = 400_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh3_64_intdigest

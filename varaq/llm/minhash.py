@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.common import discard, materialise, table, window_hashes, word_hashes
+from varaq.llm.common import chunks, discard, materialise, table, window_hashes, word_hashes
 from varaq.llm.components import components
 
 SHINGLE = 5
@@ -75,8 +75,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from xxhash import xxh3_128_digest
 
     for whole in batches:
-        for at in range(0, whole.num_rows, 2000):
-            batch = whole.slice(at, 2000)
+        for batch in chunks(whole):
             sizes, keys, sigs, bands = [], [], [], []
             for b in pc.fill_null(batch.column("text"), "").cast(pa.large_binary()).to_pylist():
                 s = shingle_set(b)
@@ -102,8 +101,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
+        for batch in chunks(whole):
             sets = [shingle_set(b).view(np.int64) for b in pc.fill_null(batch.column("text"), "").cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "hashes"])
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varaq.llm.common import window_hashes, word_hashes
+from varaq.llm.common import chunks, window_hashes, word_hashes
 
 #: Labelled rows that the rules are learned from, at most (those with the smallest hash of doc_id).
 MAX_LABELLED = 12_000
@@ -97,8 +97,7 @@ def _batch_stats(texts: list[bytes], chars: np.ndarray) -> dict[str, np.ndarray]
 def _stats(first: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for batch in chunks(whole):
                 text = pc.fill_null(batch.column("text"), "")
                 got = _batch_stats(text.cast(pa.large_binary()).to_pylist(), pc.utf8_length(text).to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([batch.column(first), *(pa.array(got[c]) for c in STATS)], names=[first, *STATS])

@@ -22,13 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.byte_bpe import chunks
-from varaq.llm.common import table
+from varaq.llm.common import chunks, table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Pieces whose count a worker remembers, and the longest of them in characters.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 LONGEST = 64
 
 

@@ -22,8 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.byte_bpe import chunks
-from varaq.llm.common import table
+from varaq.llm.common import chunks, table
 
 #: Labelled rows that are learned from, at most: toxic ones, others (those with the smallest hash of doc_id).
 MAX_TOXIC, MAX_OTHER = 2500, 4500
@@ -263,7 +262,7 @@ def _scores(shared):
         if model is not None and (not _LOADED or _LOADED[0].model is not model):
             _LOADED[:] = [Scorer(model)]
         for whole in batches:
-            for batch in chunks(whole, 400_000):
+            for batch in chunks(whole):
                 texts = pc.fill_null(batch.column("text"), "").to_pylist()
                 score = _LOADED[0].score(texts) if model is not None else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64())], names=["doc_id", "held_out", "score"])
