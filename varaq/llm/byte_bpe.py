@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.common import chunks, table
+from varaq.llm.common import chunks, in_small_batches, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pieces that a worker remembers, and the longest of them in characters.
@@ -261,7 +261,7 @@ def _decoder(shared):
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -73,6 +73,19 @@ def chunks(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[pa.RecordBatch
     pa.default_memory_pool().release_unused()
 
 
+#: Rows of an Arrow batch, at most: texts are long, and each batch is held by Spark and by its Python worker.
+BATCH_ROWS = 2000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches bounded (a smaller bound of the session's own stays)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 class WordHasher(dict):
     """word (bytes) -> 64-bit hash, remembered up to a bound."""
 

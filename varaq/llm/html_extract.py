@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from varaq.llm.common import materialise, table
+from varaq.llm.common import in_small_batches, materialise, table
 
 NEIGHBOURS = 16
 SHARE = 0.15
@@ -208,7 +208,7 @@ def _difference(rows: pd.DataFrame) -> pd.DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and n_deleted (lines that differencing deleted) for each row of pages."""
     spark = pages.sparkSession
-    rows = pages.select(
+    rows = in_small_batches(pages).select(
         F.xxhash64("page_id", "url", "html").alias("key"), F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     )
     lines = rows.mapInArrow(_lines, "key bigint, page_id bigint, url string, marked boolean, lines array<string>")

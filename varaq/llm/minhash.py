@@ -15,7 +15,7 @@
 Two texts at the threshold of 0.85 share no band with probability (1 - 0.85**6)**26 < 5e-6.
 
 Defined results: null, empty or blank texts have no shingles, link with nothing and stay; a null doc_id gives a
-null component_id and stays; rows that repeat a doc_id get a row each, and stay or go together.
+null component_id and stays; rows that repeat a doc_id and its text get a row each, and stay or go together.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.common import chunks, discard, materialise, table, window_hashes, word_hashes
+from varaq.llm.common import chunks, discard, in_small_batches, materialise, table, window_hashes, word_hashes
 from varaq.llm.components import components
 
 SHINGLE = 5
@@ -170,7 +170,7 @@ def _with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     stats = materialise(
         texts.mapInArrow(_signatures, "doc_id bigint, n_shingles bigint, set_key binary, sig binary, bands array<bigint>"), "signatures"
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varaq.llm.common import chunks, window_hashes, word_hashes
+from varaq.llm.common import chunks, in_small_batches, window_hashes, word_hashes
 
 #: Labelled rows that the rules are learned from, at most (those with the smallest hash of doc_id).
 MAX_LABELLED = 12_000
@@ -94,9 +94,14 @@ def _batch_stats(texts: list[bytes], chars: np.ndarray) -> dict[str, np.ndarray]
     return out
 
 
-def _stats(first: str):
+def _stats(first: str, within: str | None = None):
+    """Statistics beside the column `first`. The text is the column text, or the field `within` of the first one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            if within is not None:
+                row = whole.column(first)
+                whole = pa.RecordBatch.from_arrays([row, pc.struct_field(row, within).cast(pa.string())], names=[first, "text"])
             for batch in chunks(whole):
                 text = pc.fill_null(batch.column("text"), "")
                 got = _batch_stats(text.cast(pa.large_binary()).to_pylist(), pc.utf8_length(text).to_numpy(zero_copy_only=False))
@@ -107,14 +112,14 @@ def _stats(first: str):
 
 def with_text_stats(docs: DataFrame) -> DataFrame:
     """row (a struct of all columns of docs, whatever their names) and the statistics of its text, in one pass."""
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+    packed = in_small_batches(docs).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     schema = T.StructType([packed.schema["row"], *(T.StructField(c, T.LongType()) for c in STATS)])
-    return packed.mapInArrow(_stats("row"), schema)
+    return packed.mapInArrow(_stats("row", "text"), schema)
 
 
 def text_stats(docs: DataFrame) -> DataFrame:
     """doc_id and the statistics of each whole text; one row per input row."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_stats("doc_id"), STATS_SCHEMA)
+    return in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_stats("doc_id"), STATS_SCHEMA)
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:

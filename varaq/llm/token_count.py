@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.common import chunks, table
+from varaq.llm.common import chunks, in_small_batches, table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -153,7 +153,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
 
     with open(public_tokenizers.path(vocabulary), "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a file of fixed size
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(_counter(shared), "doc_id bigint, n_bytes bigint, n_tokens bigint").withColumn("over_limit", F.col("n_tokens") > limit)
 
 
