@@ -113,20 +113,15 @@ def _side(df: DataFrame, side: str, text: Column, offset: Column, cut_left: Colu
 
 def windows(found: DataFrame) -> DataFrame:
     """_row, value, window (a hash of its text) and terms of each base span. found: _row, _text, _spans."""
-    one = found.where(F.size("_spans") > 0).select("_row", "_text", "_spans", F.explode("_spans").alias("s"))
-    one = one.select(
-        "_row",
-        _key(F.col("s.value"), F.col("s.k")).alias("value"),
-        "_spans",
-        F.col("s.start").alias("a"),
-        F.col("s.end").alias("b"),
-        F.length("_text").alias("n"),
-        F.expr(f"substring(_text, greatest(s.start - {WINDOW}, 0) + 1, least(s.start, {WINDOW}))").alias("before"),
-        F.expr(f"substring(_text, s.end + 1, {WINDOW})").alias("after"),
-    )
+    near = f"filter(_spans, o -> o.end > s.start - {WINDOW} and o.start < s.end + {WINDOW})"
+    cut = f"""transform(_spans, s -> named_struct('s', s, 'near', {near},
+      'before', substring(_text, greatest(s.start - {WINDOW}, 0) + 1, least(s.start, {WINDOW})), 'after', substring(_text, s.end + 1, {WINDOW})))"""
+    # cut before exploding, so that a text with many values is not copied for each of them
+    one = found.where(F.size("_spans") > 0).select("_row", F.length("_text").alias("n"), F.explode(F.expr(cut)).alias("x"))
+    one = one.select("_row", "n", _key(F.col("x.s.value"), F.col("x.s.k")).alias("value"), F.col("x.s.start").alias("a"), F.col("x.s.end").alias("b"), "x.near", "x.before", "x.after")
     one = _side(one, "left_terms", F.col("before"), F.greatest(F.col("a") - WINDOW, F.lit(0)), F.col("a") > WINDOW, F.lit(True))
     one = _side(one, "right_terms", F.col("after"), F.col("b"), F.lit(True), F.col("b") + WINDOW < F.col("n"))
-    free = "filter(concat(left_terms, right_terms), x -> not exists(_spans, s -> s.start < x.end and x.start < s.end))"
+    free = "filter(concat(left_terms, right_terms), x -> not exists(near, s -> s.start < x.end and x.start < s.end))"
     return one.select("_row", "value", F.xxhash64(F.lower("before"), F.lower("after")).alias("window"), F.expr(free).alias("terms"))
 
 
