@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varaq.llm.common import chunks, table
+from varaq.llm.common import chunks, in_small_batches, table
 
 #: Labelled rows that are learned from, at most: toxic ones, others (those with the smallest hash of doc_id).
 MAX_TOXIC, MAX_OTHER = 2500, 4500
@@ -119,11 +119,14 @@ def train(texts: list[str], y: np.ndarray, seed: int = SEED) -> Model | None:
     if len(set(y.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    tokens = [words_of(t) for t in texts]
     number: dict[bytes, int] = {}
-    docs = [np.fromiter((number.setdefault(w, len(number)) for w in t), dtype=np.int64, count=len(t)) for t in tokens]
+    docs, language = [], np.zeros(len(texts), dtype=np.int64)
+    for k, text in enumerate(texts):  # words become numbers text by text, so that they are not held all at once
+        words = words_of(text)
+        docs.append(np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int32, count=len(words)))
+        language[k] = language_of(words)
     buckets = buckets_of(list(number))
-    language = np.array([language_of(t) for t in tokens])
+    del number
     fold = rng.permutation(len(docs)) % 5
     learn, check = np.flatnonzero(fold > 0), np.flatnonzero(fold == 0)
     model = Model(
@@ -139,7 +142,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = SEED) -> Model | None:
     weight = {0: 1.0, 1: float(np.sqrt((y == 0).sum() / max(1, (y == 1).sum())))}
     for _ in range(max(1, min(60, round(STEPS * BATCH / len(learn))))):
         for part in np.array_split(rng.permutation(learn), max(1, len(learn) // BATCH)):
-            used, inverse = np.unique(np.concatenate([docs[i] for i in part] or [np.empty(0, np.int64)]), return_inverse=True)
+            used, inverse = np.unique(np.concatenate([docs[i] for i in part] or [np.empty(0, np.int32)]), return_inverse=True)
             at = np.cumsum([0, *(len(docs[i]) for i in part)])
             flat, starts = _laid_out([inverse[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], len(used))
             e = np.concatenate([model.embedding[buckets[used]].sum(axis=1), np.zeros((1, DIM), dtype=np.float32)])
@@ -292,7 +295,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))  # a few MB whatever the input
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id").cast("bigint")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id").cast("bigint")).alias("held_out"), F.col("text").cast("string").alias("text"))
     out = rows.mapInArrow(_scores(shared), "doc_id bigint, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
