@@ -31,3 +31,22 @@ def test_each_stage_but_the_last_returns_the_columns_of_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf).dtypes == docs.dtypes
+
+
+def test_positions_follow_the_mix(spark, sf):
+    """Each prefix of the result, up to the horizon, holds the target weights; without the mixing stage none does."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = corpus_pipeline.run(spark, sf).orderBy("position").collect()
+    assert [r.position for r in out] == list(range(len(out))) and len(out) > 100
+    kept = docs.where(F.col("doc_id").isin([r.doc_id for r in out]))
+    mix = mixing.mixed(kept).orderBy("_slot", "_place").collect()
+    assert [r.doc_id for r in out] == [r.doc_id for r in mix]
+    assert [r.doc_id for r in out] != [r.doc_id for r in kept.collect()]
+
+
+def test_positions_do_not_depend_on_how_files_are_dealt_to_tasks(spark, tmp_path):
+    path = f"file://{tmp_path}/docs"
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("many words "), (F.col("id") % 90 * F.col("id")).cast("int")).alias("text"))
+    rows.repartitionByRange(12, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    out = byte_bpe.tokenise(spark, spark.read.parquet(path), "").collect()
+    assert [r.doc_id for r in out] != list(range(400)) and all(r.position == r.doc_id for r in out) and len(out) == 400

@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from varaq.llm.common import chunks, in_small_batches, table
 
@@ -237,14 +238,16 @@ def _round_trip(shared):
         for whole in batches:
             for batch in chunks(whole):
                 ids = bpe.encode_batch(pc.fill_null(batch.column("text"), "").to_pylist())
+                more = batch.schema.names[2:]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                         pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]),
+                        *map(batch.column, more),
                     ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more],
                 )
 
     return run
@@ -260,8 +263,8 @@ def _decoder(shared):
     return run
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _texts(docs: DataFrame, *more: str) -> DataFrame:
+    return in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
 def encode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -276,16 +279,30 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decoder(shared), "doc_id bigint, data binary")
 
 
-def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Token count and the digests of ids and decoded bytes, for each row of docs."""
+def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, position: bool = False) -> DataFrame:
+    """Token count and the digests of ids and decoded bytes, for each row of docs; with its position, if asked for."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    return _texts(docs).mapInArrow(_round_trip(shared), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", position bigint" * position
+    return _texts(docs, *["position"] * position).mapInArrow(_round_trip(shared), schema)
 
 
 def op6_byte_bpe(spark, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and position: the place (0, 1, ...) of a row in the files that docs is read from, file after file in
+    the order they were written. Spark deals files to tasks by size, so the order of rows alone says nothing."""
+    at = docs.metadataColumn("_metadata")
+    rows = docs.select("doc_id", "text", at["file_name"].alias("_file"), at["row_index"].alias("_index"))
+    sizes = rows.groupBy("_file").agg((F.max("_index") + 1).alias("_rows"))  # a row for each file
+    number = F.coalesce(F.regexp_extract("_file", "^part-([0-9]+)", 1).try_cast("bigint"), F.lit(-1))
+    earlier = Window.partitionBy().orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(before), "_file").select("doc_id", "text", (F.col("_before") + F.col("_index")).alias("position"))
+
+
 def tokenise(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: each document's tokens, and the digests that prove the round trip."""
-    return round_trip(docs)
+    """Pipeline stage, the last: each document's tokens, the digests that prove the round trip, and its position in the
+    order that the stage before has written (docs as read from Parquet)."""
+    return round_trip(placed(docs), position=True)
