@@ -130,6 +130,22 @@ def test_site_lines_go_and_articles_stay(spark):
     assert html_extract.main_text(df.limit(0)).count() == 0
 
 
+def test_template_goes_where_it_is_most_of_the_page(spark):
+    menu, imprint = "".join(f"<div>menu {k}</div>" for k in range(6)), "".join(f"<div>imprint {k}</div>" for k in range(4))
+    told = [f"told {k}" for k in range(5)]
+    own = {k: [f"story {k} part {j}" for j in range(5)] for k in range(40)} | {40: told, 41: told, 42: [*told[:4], "edited"]}
+    rows = [(k, f"https://h.example.com/{k % 40:03}", menu + "".join(f"<p>{x}</p>" for x in xs) + imprint) for k, xs in own.items()]
+    rows += [(100 + k, f"https://few.example.com/{k}", menu + f"<p>short {k}</p>" + imprint) for k in range(5)]
+    copy = [f"copy {k}" for k in range(10)]
+    rows += [(200 + k, f"https://copies.example.com/{k}", "".join(f"<p>{x}</p>" for x in copy)) for k in range(9)]
+    rows += [(300 + k, f"https://z.example.com/{k}", "".join(f"<p>{x}</p>" for x in [*copy[:9], f"edit {k}"])) for k in range(3)]
+    got = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[k] == "\n".join(xs) for k, xs in own.items())
+    assert all(got[100 + k] == f"short {k}" for k in range(5))
+    assert all(got[200 + k] == "\n".join(copy) for k in range(9))
+    assert all(got[300 + k] == "\n".join([*copy[:9], f"edit {k}"]) for k in range(3))
+
+
 def test_differencing_does_not_depend_on_blocks(spark, monkeypatch):
     rows = [(k, f"https://h.example.com/{k:03}", f"<p>menu</p><p>story {k}</p>" + "<p>often</p>" * (k % 3 == 0)) for k in range(90)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")

@@ -4,7 +4,9 @@
    elements that are no running text: menus, forms, scripts, styles, asides, adverts, notices, comments.
 2. Within a host, pages are put in the order of their URL paths. Each page is paired with the NEIGHBOURS nearest on
    either side and their lines are aligned by longest common subsequence. Lines of the alignment are shared: the
-   site's own text, not the article's. A pair most of whose lines agree is the same article twice and has no say.
+   site's own text, not the article's. A pair most of whose lines agree is either the same article twice or two pages
+   of one template. Lines that TEMPLATE_SHARE of the different neighbours have, and TEMPLATE_PAGES at least, are the
+   template's; if most of the other lines agree as well, it is the same article, and the pair has no say on them.
 3. A line that enough pairs share is deleted: where the page marks no article, SHARE of them and one at least;
    inside a marked article, where articles may quote each other, ARTICLE_SHARE of them and ARTICLE_VOTES at least.
 
@@ -37,6 +39,9 @@ ARTICLE_SHARE = 0.5
 ARTICLE_VOTES = 3
 #: Share of the shorter page's lines from which on two pages are the same article.
 SAME_ARTICLE = 0.6
+#: Share and number of different neighbours from which on a line of theirs is the template's, whatever else they share.
+TEMPLATE_SHARE = 0.5
+TEMPLATE_PAGES = 3
 BLOCK = 256
 
 _BLOCKS = frozenset(
@@ -175,6 +180,17 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
+def _template(page: list[int], around: list[list[int]]) -> set[int]:
+    """Lines of page that many of the pages around have; equal pages count once, those equal to page not at all."""
+    others = {tuple(x) for x in around} - {tuple(page)}
+    least = max(TEMPLATE_PAGES, TEMPLATE_SHARE * len(others))
+    number: dict[int, int] = {}
+    for x in others:
+        for h in set(x):
+            number[h] = number.get(h, 0) + 1
+    return {h for h in page if number.get(h, 0) >= least}
+
+
 def _difference(rows: pd.DataFrame) -> pd.DataFrame:
     """key and the places of deleted lines, for the block's own pages."""
     rows = rows.sort_values("rank", kind="stable")
@@ -188,17 +204,30 @@ def _difference(rows: pd.DataFrame) -> pd.DataFrame:
             often[h] = often.get(h, 0) + 1
     seen = [[h for h in x if often[h] > 1] for x in lines]  # a line that one page has is never shared
     places = [[k for k, h in enumerate(x) if often[h] > 1] for x in lines]
+    template: dict[int, set[int]] = {}
+
+    def vote(i: int, j: int, shared: list[int], alike: bool) -> None:
+        """What the pair says on lines of page i; shared: places in seen[i]."""
+        if alike:
+            if i not in template:
+                template[i] = _template(lines[i], lines[max(0, i - NEIGHBOURS) : i] + lines[i + 1 : i + NEIGHBOURS + 1])
+            site = template[i]
+            rest = [k for k in shared if seen[i][k] not in site]
+            if rest and (not site or len(rest) >= SAME_ARTICLE * min(sum(h not in site for h in lines[x]) for x in (i, j))):
+                shared = [k for k in shared if seen[i][k] in site]
+        for k in shared:
+            votes[i][places[i][k]] += 1
+
     for i in range(n):
         for j in range(i + 1, min(n, i + NEIGHBOURS + 1)):
             pairs[i] += 1
             pairs[j] += 1
             shared = common_lines(seen[i], seen[j])
-            if not shared or (len(shared) > 1 and len(shared) >= SAME_ARTICLE * min(len(lines[i]), len(lines[j]))):
+            if not shared:
                 continue
-            for k in shared:
-                votes[i][places[i][k]] += 1
-            for k in common_lines(seen[j], seen[i]):
-                votes[j][places[j][k]] += 1
+            alike = len(shared) > 1 and len(shared) >= SAME_ARTICLE * min(len(lines[i]), len(lines[j]))
+            vote(i, j, shared, alike)
+            vote(j, i, common_lines(seen[j], seen[i]), alike)
     needed = [max(ARTICLE_VOTES, ARTICLE_SHARE * p) if m else max(1, SHARE * p) for m, p in zip(rows["marked"], pairs, strict=True)]
     out = [(k, np.flatnonzero(v >= x).tolist()) for k, v, x, o in zip(keys, votes, needed, own, strict=True) if o]
     out = [x for x in out if x[1]]
