@@ -177,6 +177,19 @@ def test_terms_that_give_a_value_away_are_added_and_replaced(spark):
     assert clean[100].text == rows[6][1]
 
 
+def test_terms_of_rare_values_are_weighed_by_their_counts(spark):
+    far = "about the matter " * 20  # over 300 code points
+    rows = [(0, f"quorlin {far} solitary.one@x.example.com {far} vastrel, 10.0.0.1 the"), (1, f"zoltun {far} pair@x.example.com"), (2, f"number 2 {far} pair@x.example.com zoltun")]
+    rows += [(10 + k, f"dupli {far} copied@x.example.com same") for k in range(4)]  # copies are one document
+    rows += [(100 + k, f"{far} w{k % 9} number {k} " + "shared " * (k % 200 == 0)) for k in range(2000)] + [(5000, f"shared {far} third@x.example.com")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: {(r.text[s.start : s.end], pii.KINDS[s.k]) for s in r._all if s.k >= pii.BASE_KINDS} for r in pii.with_spans(df).collect()}
+    assert got[0] == {("quorlin", "term"), ("vastrel", "term")}
+    assert got[1] == {("zoltun", "term")} == got[2] and got[5000] == set()
+    assert got[10] == got[13] == {("dupli", "term"), ("same", "term")}
+    assert not any(v for k, v in got.items() if 100 <= k < 5000)
+
+
 def test_sanitise_keeps_rows_columns_and_clashing_names(spark):
     docs = documents(spark)
     out = pii.sanitise(spark, docs, "")

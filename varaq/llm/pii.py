@@ -1,15 +1,15 @@
 """PII by information-theoretic sanitisation (operator 4), in DataFrame and SQL functions only.
 
-Base spans (e-mail, IP, card, phone) are found by patterns and checks. Around each protected value the terms of a
-window are gathered; over all documents, the pointwise mutual information of value and term is divided by the
-value's information content:
+Base spans (e-mail, IP, card, phone) are found by patterns and checks. Over all documents, the pointwise mutual
+information of each protected value with each term of its documents is divided by the value's information content:
 
-    disclosure = log(N * n(value, term) / (n(value) * n(term))) / log(N / n(value))
+    disclosure = log(P(value | term) / P(value)) / log(1 / P(value))
 
-with n(value, term) and n(value) counted in distinct windows, so that copies of a text are no evidence, n(term)
-and N in documents. 1 means that the term alone gives the value away. Terms seen with a value in SUPPORT distinct
-windows are generalised from GENERALISE on and removed from REMOVE on, in the windows of that value. Base spans
-always stay; added spans that touch one are left out.
+in documents; 1 means that the term alone gives the value away. Small counts weigh less, but none is left out:
+P(value | term) is the lower end of its one-sided Wilson interval (CONFIDENCE). Documents in which a value stands in
+the same words on either side (WINDOW) are copies and count as one success. Values that stand in the same documents
+are one entity and are rated together. Terms are generalised from GENERALISE on and removed from REMOVE on, wherever
+they stand in the documents of that value. Base spans always stay; added spans that touch one are left out.
 
 Patterns are written so that each run of characters is read once (possessive, with \\G where a match may begin
 inside a run): same matches as the plain patterns, without their quadratic time on long runs.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from varaq.llm.common import materialise, table
 
@@ -29,13 +30,14 @@ from varaq.llm.common import materialise, table
 KINDS = ("email", "ip", "card", "phone", "term", "cue")
 BASE_KINDS = 4
 REPLACED_BY = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", "")
-#: Code points on each side of a value in which terms are gathered.
+#: Code points on each side of a value that tell copies.
 WINDOW = 160
-SUPPORT = 3
+#: Standard deviations of the lower bound: 95 % on one side.
+CONFIDENCE = 1.645
 GENERALISE = 0.8
 REMOVE = 0.95
-#: Candidate terms that may be broadcast; with more, all terms are counted and joined by shuffle.
-BROADCAST_TERMS = 200_000
+#: Terms in more than this share of the documents are sent to all tasks, as far as they can give no value away.
+FREQUENT = 0.001
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -99,53 +101,59 @@ def _key(value: Column, k: Column) -> Column:
     return F.concat_ws(":", k.cast("string"), F.when(k >= 2, F.regexp_replace(value, "[^0-9]", "")).otherwise(F.lower(value)))
 
 
-def _side(df: DataFrame, side: str, text: Column, offset: Column, cut_left: Column, cut_right: Column) -> DataFrame:
-    """Adds the terms (term, start, end) of one side of a window; a word that the window's edge cuts is left out."""
-    df = df.withColumn("_w", text).withColumn("_o", offset)
-    df = df.withColumn("_f", F.regexp_extract_all(F.col("_w"), F.lit(TERM), F.lit(0))).withColumn("_g", F.split(F.col("_w"), TERM, -1))
-    df = df.withColumn("_b", F.when(F.size("_f") > 0, F.expr(_starts("_f", "_g"))).otherwise(F.array().cast("array<int>")))
-    df = df.withColumns({"_cl": cut_left, "_cr": cut_right})
-    made = "transform(_f, (x, i) -> named_struct('term', lower(x), 'start', _b[i], 'end', _b[i] + length(x)))"
-    whole = f"filter({made}, x -> not (_cl and x.start = 0) and not (_cr and x.end = length(_w)))"
-    moved = f"transform({whole}, x -> named_struct('term', x.term, 'start', x.start + _o, 'end', x.end + _o))"
-    return df.withColumn(side, F.expr(moved)).drop("_w", "_o", "_f", "_g", "_b", "_cl", "_cr")
-
-
 def windows(found: DataFrame) -> DataFrame:
-    """_row, value, window (a hash of its text) and terms of each base span. found: _row, _text, _spans."""
-    near = f"filter(_spans, o -> o.end > s.start - {WINDOW} and o.start < s.end + {WINDOW})"
-    cut = f"""transform(_spans, s -> named_struct('s', s, 'near', {near},
+    """_row, value and window (a hash of the text beside it) of each base span. found: _row, _text, _spans."""
+    cut = f"""transform(_spans, s -> named_struct('s', s,
       'before', substring(_text, greatest(s.start - {WINDOW}, 0) + 1, least(s.start, {WINDOW})), 'after', substring(_text, s.end + 1, {WINDOW})))"""
     # cut before exploding, so that a text with many values is not copied for each of them
-    one = found.where(F.size("_spans") > 0).select("_row", F.length("_text").alias("n"), F.explode(F.expr(cut)).alias("x"))
-    one = one.select("_row", "n", _key(F.col("x.s.value"), F.col("x.s.k")).alias("value"), F.col("x.s.start").alias("a"), F.col("x.s.end").alias("b"), "x.near", "x.before", "x.after")
-    one = _side(one, "left_terms", F.col("before"), F.greatest(F.col("a") - WINDOW, F.lit(0)), F.col("a") > WINDOW, F.lit(True))
-    one = _side(one, "right_terms", F.col("after"), F.col("b"), F.lit(True), F.col("b") + WINDOW < F.col("n"))
-    free = "filter(concat(left_terms, right_terms), x -> not exists(near, s -> s.start < x.end and x.start < s.end))"
-    return one.select("_row", "value", F.xxhash64(F.lower("before"), F.lower("after")).alias("window"), F.expr(free).alias("terms"))
-
-
-def disclosing_terms(
-    around: DataFrame, docs: DataFrame, text: str, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE
-) -> DataFrame:
-    """value, term, disclosure, k: the terms that give a value away, over the whole corpus."""
-    distinct = around.groupBy("value", "window").agg(F.first("terms").alias("terms"))
-    values = distinct.groupBy("value").agg(F.count("*").alias("n_value"))
-    pairs = distinct.select("value", F.explode(F.array_distinct(F.transform("terms", lambda x: x["term"]))).alias("term"))
-    pairs = materialise(pairs.groupBy("value", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support), "pairs")
-    names = pairs.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"))).alias("term"))
-    if names.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
-        words = words.join(F.broadcast(names), "term", "left_semi")  # checked size; else the join below does it
-    terms = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    n = docs.count()
-    rated = pairs.join(values, "value").join(terms, "term")
-    content = F.log2(F.lit(float(max(n, 1))) / F.col("n_value"))
-    pmi = F.log2(F.lit(float(max(n, 1))) * F.col("n_both") / (F.col("n_value") * F.greatest("n_term", "n_both")))
-    rated = rated.withColumn("disclosure", F.when(content > 0, pmi / content))
-    return rated.where(F.col("disclosure") >= generalise).select(
-        "value", "term", "disclosure", F.when(F.col("disclosure") >= remove, KINDS.index("cue")).otherwise(KINDS.index("term")).alias("k")
+    one = found.select("_row", F.explode(F.expr(cut)).alias("x"))
+    return one.select("_row", _key(F.col("x.s.value"), F.col("x.s.k")).alias("value"), F.xxhash64(F.lower("x.before"), F.lower("x.after")).alias("window"))
+
+
+def words(found: DataFrame) -> DataFrame:
+    """_row, term, start, end: each word outside the base spans. found: _row, _text, _spans."""
+    blanked = """aggregate(_spans, named_struct('p', 0, 'out', ''),
+      (a, s) -> named_struct('p', greatest(a.p, s.end), 'out',
+        concat(a.out, substring(_text, a.p + 1, greatest(s.start - a.p, 0)), repeat(' ', greatest(s.end - greatest(s.start, a.p), 0)))),
+      a -> concat(a.out, substring(_text, a.p + 1)))"""
+    df = found.select("_row", F.expr(blanked).alias("_b"))
+    df = df.select("_row", F.regexp_extract_all("_b", F.lit(TERM), F.lit(0)).alias("_f"), F.transform(F.split("_b", TERM, -1), F.length).alias("_g"))
+    df = df.select("_row", F.posexplode(F.expr("transform(_f, (x, i) -> named_struct('term', lower(x), 'gap', _g[i], 'n', length(x)))")).alias("at", "x"))
+    end = F.sum(F.col("x.gap") + F.col("x.n")).over(Window.partitionBy("_row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    return df.select("_row", F.col("x.term").alias("term"), (end - F.col("x.n")).cast("int").alias("start"), end.cast("int").alias("end"))
+
+
+def _lower_bound(hits: Column, of: Column) -> Column:
+    """The lower end of the Wilson interval of hits / of."""
+    p, zz = hits / of, CONFIDENCE**2
+    return (p + zz / (2 * of) - CONFIDENCE * F.sqrt(p * (1 - p) / of + zz / (4 * of * of))) / (1 + zz / of)
+
+
+def disclosing_terms(around: DataFrame, used: DataFrame, docs: DataFrame, text: str, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    """_row, term, k: the terms of each row that give one of its values away, over the whole corpus.
+    around: as of windows(); used: as of words()."""
+    n = float(max(docs.count(), 1))
+    once = materialise(around.groupBy("value", "_row").agg(F.min("window").alias("window")), "values")
+    values = once.groupBy("value").agg(F.count("*").alias("n_docs"), F.count_distinct("window").alias("n_value"), F.bit_xor(F.xxhash64("_row")).alias("rows"))
+    values = values.withColumn("entity", F.xxhash64("rows", "n_docs")).drop("rows")
+    entities = materialise(once.join(values, "value").groupBy("entity", "_row").agg(*(F.min_by(c, "value").alias(c) for c in ("window", "n_docs", "n_value"))), "entities")
+    # P(value | term) is at most n_value / (n_term - n_docs), so that a term in more documents cannot reach the threshold
+    most = F.col("n_docs") + F.col("n_value") * F.pow(n / F.col("n_value"), F.lit(1 - generalise))
+    limit = max(entities.agg(F.max(most)).first()[0] or 0.0, 0.0)
+    spelt = F.array_distinct(F.transform(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), r"[^\p{L}\p{N}]+"), F.lower))
+    terms = materialise(docs.select(F.explode(spelt).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")), "terms")
+    frequent = terms.where(F.col("n_term") > max(limit, FREQUENT * n)).select("term")  # few, by the size of the documents
+    rare = used.select("_row", "term").join(F.broadcast(frequent), "term", "left_anti").distinct()
+    rare = rare.join(terms.where(F.col("n_term") <= limit), "term")
+    pairs = materialise(entities.join(rare, "_row").where(F.col("n_term") <= most).select("entity", "_row", "term", "window", "n_value", "n_term"), "pairs")
+    rated = pairs.groupBy("entity", "term").agg(
+        F.count("*").alias("n_both"), F.count_distinct("window").alias("hits"), F.first("n_value").alias("n_value"), F.first("n_term").alias("n_term")
     )
+    of = F.col("hits") + F.greatest(F.col("n_term") - F.col("n_both"), F.lit(0))
+    content = F.log2(n / F.col("n_value"))
+    rated = rated.withColumn("disclosure", F.when(content > 0, 1 + F.log2(_lower_bound(F.col("hits"), of)) / content)).where(F.col("disclosure") >= generalise)
+    rated = rated.select("entity", "term", F.when(F.col("disclosure") >= remove, KINDS.index("cue")).otherwise(KINDS.index("term")).alias("k"))
+    return pairs.select("entity", "_row", "term").join(rated, ["entity", "term"]).groupBy("_row", "term").agg(F.max("k").alias("k"))
 
 
 def with_spans(docs: DataFrame, text: str = "text", keep: bool = True) -> DataFrame:
@@ -159,18 +167,16 @@ def with_spans(docs: DataFrame, text: str = "text", keep: bool = True) -> DataFr
         base = base.select("doc_id", "_row", "_spans", hit.alias("_text"))
     base = materialise(base, "spans")  # row numbers are fixed from here on
     found = base.select("_row", F.col(text).cast("string").alias("_text") if keep else "_text", "_spans").where(F.size("_spans") > 0)
-    around = materialise(windows(found), "windows")  # also keeps the optimiser from computing it once for each term
-    telling = disclosing_terms(around, docs, text)
-    used = around.select("_row", "value", F.explode("terms").alias("x")).select("_row", "value", F.col("x.term").alias("term"), F.col("x.start").alias("start"), F.col("x.end").alias("end"))
+    around = materialise(windows(found), "windows")
+    used = materialise(words(found), "words")
     more = (
-        used.join(telling.select("value", "term", "k"), ["value", "term"])
-        .groupBy("_row", "start", "end")
-        .agg(F.max("k").alias("k"))
+        used.join(disclosing_terms(around, used, docs, text), ["_row", "term"])
         .groupBy("_row")
         .agg(F.collect_list(F.struct("start", F.col("k").cast("int").alias("k"), "end", F.lit("").alias("value"))).alias("_more"))
-    )  # a row's list is bounded by its windows
+    )  # a row's list is bounded by its text
     out = base.join(more, "_row", "left")
-    spans = F.array_sort(F.concat("_spans", F.coalesce(F.col("_more").cast(f"array<{_SPAN}>"), F.array().cast(f"array<{_SPAN}>"))))
+    free = F.expr("filter(_more, x -> not exists(_spans, s -> s.start <= x.end and x.start <= s.end))")
+    spans = F.array_sort(F.concat("_spans", F.coalesce(free.cast(f"array<{_SPAN}>"), F.array().cast(f"array<{_SPAN}>"))))
     return out.withColumn("_all", spans).drop("_more", "_text")
 
 
