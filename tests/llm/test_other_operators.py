@@ -69,6 +69,15 @@ def test_links_match_brute_force(spark, monkeypatch, part):
     assert graph_dedup.linked(df.limit(0)).count() == 0
 
 
+def test_links_of_a_length_that_the_sample_lacks(spark, monkeypatch):
+    monkeypatch.setattr(graph_dedup, "SAMPLE", 3)
+    rows = vectors()
+    late = [r.vec_id for r in spark.range(10_000, 40_000).withColumnRenamed("id", "vec_id").orderBy(F.desc(F.xxhash64("vec_id"))).limit(3).collect()]
+    rows += [(k, [1.0, 2.0, 3.0 + j / 100]) for j, k in enumerate(late)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in graph_dedup.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")).collect()}
+    assert got == brute(rows) and all(got[k] == (2, min(late)) for k in late)
+
+
 def test_robust_pruning_drops_occluded_neighbours():
     x = graph_dedup.unit([[1, 0.02 * k] for k in range(10)])
     out = graph_dedup.robust_prune(x)

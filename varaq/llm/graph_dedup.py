@@ -156,7 +156,7 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least shard number that rows of a and the row b share."""
-    same = (a[:, :, None] == b[None, None, :]).any(axis=2) & (a >= 0)
+    same = (a[:, :, None] == b[None, None, :]).any(axis=2) & (a != -1)  # -1 pads; lengths that no centre has are below
     return np.where(same, a, np.iinfo(np.int64).max).min(axis=1)
 
 
