@@ -166,31 +166,82 @@ def test_differencing_does_not_depend_on_blocks(spark, monkeypatch):
 # sharding
 
 
-def test_compaction_keeps_every_row_and_versions_are_atomic(spark, tmp_path):
-    docs = documents(spark)
+def same(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_compaction_keeps_every_row_and_every_version(spark, tmp_path):
+    docs = documents(spark).withColumn("_arrival", F.lit("clash"))
     s = compaction.ShardSet(spark, f"file://{tmp_path}/s", target_bytes=64 << 10, smallest_bytes=1 << 10)
-    assert s.version() == 0 and s.read(schema=docs.schema).count() == 0
+    assert s.version() == 0 and s.read().count() == 0
     for k in range(6):
         s.append(docs.where(F.coalesce(F.col("doc_id"), F.lit(0)) % 6 == k))
-    s.append(docs.limit(0))
+    assert s.append(docs.limit(0)) == 6
     assert s.version() == 6 and len(s.runs()) == 6
-    before = sorted(map(str, docs.collect()))
-    assert sorted(map(str, s.read(schema=docs.schema).collect())) == before
-    old = s.version()
-    assert s.compact() > old
-    assert sorted(map(str, s.read(schema=docs.schema).collect())) == before
-    tiers = [s.tier(r) for r in s.runs()]
+    before = {v: same(s.read(v)) for v in range(1, 7)}
+    assert before[6] == same(docs)
+    assert s.compact() > 6
+    assert same(s.read()) == before[6]
+    tiers = [s.tier(r) for r in s.runs() if not s.finished(r)]
     assert all(tiers.count(t) < s.fan_in for t in tiers)
-    assert sum(r.rows for r in s.runs()) == docs.count()
+    assert sum(r.rows for r in s.runs()) == docs.count() == sum(n for _, _, n, _ in s.shards())
+    assert all(same(s.read(v)) == before[v] for v in before)  # merged, and still readable
     with pytest.raises(compaction.CommitConflict):
-        s.commit(old - 1, [])
+        s.commit(3, docs.schema, [])
     assert s.version() == s.compact()
-
-
-def test_many_arrivals_in_one_pass(spark, tmp_path):
-    docs = documents(spark)
-    s = compaction.ShardSet(spark, f"file://{tmp_path}/m", target_bytes=1 << 20, smallest_bytes=1 << 8)
-    assert s.append_many(docs.withColumn("_arrival", F.lit(1)).limit(0), "_arrival") == 0
-    s.append_many(docs.withColumn("_arrival", F.coalesce(F.col("doc_id") % 5, F.lit(0))), "_arrival")
-    assert s.compact() == s.version()
-    assert s.read(schema=docs.schema).count() == docs.count() and empty(spark).count() == 0
+    files = lambda: {str(f.relative_to(tmp_path / "s")) for f in (tmp_path / "s").glob("run-*/*.parquet")}
+    (tmp_path / "s/run-crashed").mkdir()
+    (tmp_path / "s/run-crashed/part-0.parquet").write_bytes(b"half")
+    s.expire(keep=1)
+    assert files() == {f for r in s.runs() for f in r.files} | {"run-crashed/part-0.parquet"} and s.versions() == [s.version()]
+    assert same(s.read()) == before[6]
+    s.expire(keep=1, orphan_seconds=-60)
+    assert files() == {f for r in s.runs() for f in r.files} and same(s.read()) == before[6]
+    assert s.compact(keep=1) == s.version() and empty(spark).count() == 0
+
+
+def test_columns_that_arrive_later_stay(spark, tmp_path):
+    s = compaction.ShardSet(spark, f"file://{tmp_path}/d", smallest_bytes=1 << 20)
+    for k in range(3):
+        s.append(spark.createDataFrame([(k, "x" * 5000)], "doc_id int, text string"))
+    s.append(spark.createDataFrame([(1 << 40, "y", 7)], "doc_id bigint, text string, extra int"))
+    rows = same(s.read())
+    assert len(s.groups(s.runs())) == 1 and s.compact() == 5 and len(s.runs()) == 1
+    assert same(s.read()) == rows and s.read().dtypes == [("doc_id", "bigint"), ("text", "string"), ("extra", "int")]
+    assert {(r.doc_id, r.extra) for r in s.read().collect()} == {(0, None), (1, None), (2, None), (1 << 40, 7)}
+    assert s.read(1).columns == ["doc_id", "text"]
+    for bad in ("doc_id bigint, Text string", "doc_id bigint, text int"):
+        with pytest.raises(ValueError):
+            s.append(spark.createDataFrame([], bad))
+
+
+def test_a_lost_race_keeps_both_writers_rows(spark, tmp_path):
+    one, two = (compaction.ShardSet(spark, f"file://{tmp_path}/r", smallest_bytes=1 << 20) for _ in "ab")
+    for k in range(4):
+        one.append(spark.range(k, k + 1))
+    merge = one._merge
+    one._merge = lambda *a: (merge(*a), two.append(spark.range(100, 101)))[0]  # commits while the merge runs
+    assert one.compact() == 6
+    assert sorted(r.id for r in one.read().collect()) == [0, 1, 2, 3, 100] and len(one.runs()) == 2
+    for k in range(3):
+        two.append(spark.range(k, k + 1))
+    one._merge = lambda *a: (merge(*a), two.compact())[0]  # merges the same runs first
+    one.compact()
+    assert sorted(r.id for r in one.read().collect()) == [0, 0, 1, 1, 2, 2, 3, 100]
+
+
+def test_finished_shards_are_left_alone(spark, tmp_path):
+    s = compaction.ShardSet(spark, f"file://{tmp_path}/f", target_bytes=2000, smallest_bytes=500)
+    big = [compaction.Run(f"r{k}", 2000 * n, ("f",) * n, (2000,) * n, (1,) * n) for k, n in enumerate((1, 1, 4, 16, 1, 64))]
+    assert s.groups(big) == []
+    small = [compaction.Run(f"s{k}", 1900, ("f",) * 4, (475,) * 4, (1,) * 4) for k in range(9)]
+    assert [len(g) for g in s.groups(big + small)] == [4, 4]
+
+
+def test_sharding_query_equals_its_sql(spark, sf):
+    duckdb = pytest.importorskip("duckdb")
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    got = compaction.op7_sharding(spark, sf)
+    want = c.execute(compaction.OP7_SQL).fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
