@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession, what: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
-    The setting is read from the session; only where it is unset (tests, local runs) a folder of this
-    machine is taken.
+    The setting is read from the session. Where it is unset, a local session (tests) takes a folder of this machine;
+    on a cluster that is an error, as executors would not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         base = "file://" + tempfile.gettempdir() + "/varaq-checkpoints"
@@ -40,18 +44,39 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, what)
     df.write.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._varaq_path = path  # for discard()
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what materialise() wrote. Only for frames that no returned plan still reads."""
     path = getattr(df, "_varaq_path", None)
     if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        delete(df.sparkSession, path)
+
+
+#: Folders that materialise() has written inside the open scratch() blocks.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What materialise() writes inside goes when the block ends: for callers that write a result out in it. Outside of
+    one, a returned plan still reads those folders; they stay in spark.checkpoint.dir for its owner to clear."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            delete(spark, path)
 
 
 def text_or_empty(col: str = "text") -> Column:
