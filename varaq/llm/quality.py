@@ -5,7 +5,8 @@ labelled rows (IREP-style: grow by FOIL gain, prune on held-back rows, stop when
 come out as an ordered list of threshold conjunctions, which are applied as Spark conditional expressions.
 
 Defined results: a null or empty text has no words and fails the base rule; without usable labels the list
-is empty and only the base rule decides; repeated labels of a document count once, as the lowest quality;
+is empty and only the base rule decides; repeated labels of a document count once, as the lowest quality, and rows
+that repeat a doc_id are learned from once, by their least statistics;
 labels that are null or not 0/1 are left out; further columns of the input are ignored.
 """
 
@@ -244,7 +245,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     some = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(sample), "doc_id"
     )
-    rows = with_features(text_stats(some)).join(F.broadcast(sample), "doc_id").where(~base_failed())
+    # rows that repeat a labelled doc_id count once (the least statistics), so at most max_labelled come to the driver
+    once = text_stats(some).groupBy("doc_id").agg(F.min(F.struct(*STATS)).alias("s")).select("doc_id", "s.*")
+    rows = with_features(once).join(F.broadcast(sample), "doc_id").where(~base_failed())
     got = rows.select("doc_id", "y", *FEATURES).toPandas().sort_values(["doc_id", *FEATURES], kind="stable")
     if got.empty:
         return []
