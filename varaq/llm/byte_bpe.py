@@ -193,8 +193,9 @@ class ByteBpe:
             needed = {p: known[p] for pieces in split for p in pieces if p in known}
             known.clear()
             known.update(needed)
-        long = {p: known.setdefault(p, ids) if len(p) <= LONGEST else ids for p, ids in now.items()}
-        get = (known | {p: i for p, i in long.items() if len(p) > LONGEST} if any(len(p) > LONGEST for p in new) else known).__getitem__
+        known.update((p, ids) for p, ids in now.items() if len(p) <= LONGEST)
+        long = {p: ids for p, ids in now.items() if len(p) > LONGEST}  # used once, not remembered
+        get = known.__getitem__ if not long else lambda p: long[p] if p in long else known[p]
         return [b"".join(map(get, pieces)) for pieces in split]
 
     def decode(self, ids: bytes) -> bytes:
@@ -232,7 +233,7 @@ def _encoder(shared):
     return run
 
 
-def _round_trip(shared):
+def _round_trip(shared, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(*shared.value)
         for whole in batches:
@@ -246,8 +247,9 @@ def _round_trip(shared):
                         pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                         pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids]),
                         *map(batch.column, more),
+                        *([pa.array(ids, pa.binary())] if with_ids else []),
                     ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *more, *(["ids"] if with_ids else [])],
                 )
 
     return run
@@ -280,10 +282,11 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, position: bool = False) -> DataFrame:
-    """Token count and the digests of ids and decoded bytes, for each row of docs; with its position, if asked for."""
+    """Token count and the digests of ids and decoded bytes, for each row of docs; with its position and its ids, if
+    asked for."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", position bigint" * position
-    return _texts(docs, *["position"] * position).mapInArrow(_round_trip(shared), schema)
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", position bigint, ids binary" * position
+    return _texts(docs, *["position"] * position).mapInArrow(_round_trip(shared, position), schema)
 
 
 def op6_byte_bpe(spark, sf_dir: str) -> DataFrame:
@@ -303,6 +306,6 @@ def placed(docs: DataFrame) -> DataFrame:
 
 
 def tokenise(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: each document's tokens, the digests that prove the round trip, and its position in the
-    order that the stage before has written (docs as read from Parquet)."""
+    """Pipeline stage, the last: each document's tokens (ids, little-endian unsigned 32-bit), the digests that prove
+    the round trip, and its position in the order that the stage before has written (docs as read from Parquet)."""
     return round_trip(placed(docs), position=True)

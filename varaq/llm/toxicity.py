@@ -235,7 +235,8 @@ class Scorer:
 
     def clear(self) -> None:
         self.rows: dict[bytes, int] = {}
-        self.answers = np.zeros((1, FILTERS * sum(WIDTHS)), dtype=np.float32)  # row 0: padding
+        self.answers = np.zeros((1024, FILTERS * sum(WIDTHS)), dtype=np.float32)  # row 0: padding; grows by doubling
+        self.used = 1
 
     def score(self, texts: list[str]) -> np.ndarray:
         tokens = [words_of(t) for t in texts]
@@ -243,9 +244,13 @@ class Scorer:
             self.clear()
         new = list({w for t in tokens for w in t if w not in self.rows})
         if new:
-            first = len(self.answers)
-            self.rows.update(zip(new, range(first, first + len(new)), strict=True))
-            self.answers = np.concatenate([self.answers, self.model.answers(buckets_of(new))])
+            first, self.used = self.used, self.used + len(new)
+            self.rows.update(zip(new, range(first, self.used), strict=True))
+            if self.used > len(self.answers):
+                grown = np.zeros((max(self.used, 2 * len(self.answers)), self.answers.shape[1]), dtype=np.float32)
+                grown[:first] = self.answers[:first]
+                self.answers = grown
+            self.answers[first : self.used] = self.model.answers(buckets_of(new))
         get = self.rows.__getitem__
         docs = [np.fromiter(map(get, t), dtype=np.int64, count=len(t)) for t in tokens]
         flat, starts = _laid_out(docs, 0)
