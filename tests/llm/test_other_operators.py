@@ -104,6 +104,10 @@ def test_blocks_of_an_article():
     assert html_extract.text_lines(shell) == (True, ["in"])
     assert html_extract.text_lines('<article>a</article><article class="comment">no</article>') == (True, ["a"])
     assert html_extract.text_lines("<body><div role=navigation>no</div><p>yes<noscript>no</noscript></p><div style='display: none'>no</div>") == (False, ["yes"])
+    kept = '<p class="related-work">a</p><section id="social-policy"><p>b</p></section><div class="notice-board">c</div><label>d</label>'
+    beside = '<div class="related-posts">n</div><div id="articleComments2">n</div><ul class="x share_buttons">n</ul><div class="ad-slot-top">n</div><button>n</button>'
+    assert html_extract.text_lines(f"<article>{beside}{kept}</article>") == (True, ["a", "b", "c", "d"])
+    assert [x for _, _, x in html_extract.all_lines("<nav>m</nav>t <button>b</button> u<script>s</script>")] == ["m", "t u", "b"]
     assert html_extract.text_lines('<p title="a > b">x</p><p title=">y</p>')[1][0] == "x"
 
 
@@ -245,3 +249,79 @@ def test_sharding_query_equals_its_sql(spark, sf):
     got = compaction.op7_sharding(spark, sf)
     want = c.execute(compaction.OP7_SQL).fetchall()
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def plain_main_text(rows):
+    """Differencing of all pages of a host with their neighbours, written plainly. rows: page_id, url, html."""
+
+    def lcs(a, b):
+        best = {}
+        for i in range(len(a), -1, -1):
+            for j in range(len(b), -1, -1):
+                if i == len(a) or j == len(b):
+                    best[i, j] = []
+                elif a[i] == b[j]:
+                    best[i, j] = [i, *best[i + 1, j + 1]]
+                else:
+                    best[i, j] = max(best[i + 1, j], best[i, j + 1], key=len)
+        return best[0, 0]
+
+    hosts, out = {}, {}
+    for k, url, html in set(rows):
+        address = url.split("://", 1)[-1]
+        host = address.split("/")[0]
+        hosts.setdefault(host.lower(), []).append((address[len(host) :].split("?")[0].split("#")[0], k, html_extract.all_lines(html)))
+    for pages in hosts.values():
+        pages.sort()
+        for i, (_, k, lines) in enumerate(pages):
+            marked = any(r for r, kind, _ in lines if kind == html_extract.WANTED)
+            best = max((r for r, kind, _ in lines if kind == html_extract.WANTED), default=0)
+            near = [pages[j][2] for j in range(max(0, i - html_extract.NEIGHBOURS), min(len(pages), i + html_extract.NEIGHBOURS + 1)) if j != i]
+            votes = [0] * len(lines)
+            for other in near:
+                for at in lcs([x for _, _, x in lines], [x for _, _, x in other]):
+                    votes[at] += 1
+            text, deleted = [], 0
+            for (r, kind, x), n in zip(lines, votes, strict=True):
+                inside = marked and r == best and kind == html_extract.WANTED
+                need = max(3, len(near) / 2) if inside else 1 if marked else max(1, 0.15 * len(near))
+                deleted += n >= need
+                if n < need and kind == html_extract.WANTED and r == best:
+                    text.append(x)
+            out[k] = ("\n".join(text), deleted)
+    return out
+
+
+def test_main_text_equals_plain_differencing(spark, monkeypatch):
+    """Boilerplate of every kind: marked up, unmarked, and inside the marked article."""
+    rng = random.Random(10)
+    rows = []
+    for k in range(240):
+        host = rng.choice(["a.example.com", "B.example.com", "c.example.org"])
+        own = [f"<p>story {k} part {j}</p>" for j in range(rng.randint(3, 9))]
+        if rng.random() < 0.5:  # one, so that the longest common subsequence is unique
+            own[rng.randrange(len(own))] = f"<p>quote {rng.randrange(12)}</p>"
+        menu = "".join(f"<div>menu {j}</div>" for j in range(rng.randint(1, 2)))
+        if host == "a.example.com":  # nothing is marked
+            html = menu + "".join(own) + f"<div>advert {rng.randrange(3)}</div><div>imprint</div>"
+        elif host == "B.example.com":  # the site's lines stand inside the marked article
+            html = f"<nav><li>m{k % 5}</li></nav><article><div>Share this</div>{''.join(own)}<div>Subscribe now</div></article><footer>{k}</footer>"
+        else:
+            html = f"<nav><li>the</li><li>and</li></nav><div class='ad'>buy {k % 9}</div><main>{''.join(own)}</main>"
+        rows.append((k, f"http://{host}/{rng.randrange(60)}/{k}?x={k}", html))
+    monkeypatch.setattr(html_extract, "BLOCK", 64)
+    got = html_extract.main_text(spark.createDataFrame([*rows, rows[7]], "page_id bigint, url string, html string"))
+    want = plain_main_text(rows)
+    found = [(r.page_id, (r.text, r.n_deleted)) for r in got.collect()]
+    assert len(found) == 241 and dict(found) == want
+    texts = "\n".join(t for t, _ in want.values())
+    assert not any(x in texts for x in ("menu", "imprint", "Share this", "Subscribe now", "buy"))
+    assert sum(x.count("story") for x, _ in want.values()) == sum(h.count("story") for _, _, h in rows)
+
+
+def test_html_query_has_a_row_for_each_page(spark, sf):
+    out = html_extract.op10_html(spark, sf)
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    assert out.columns[:4] == ["page_id", "url", "text", "n_chars"]
+    assert sorted((r.page_id, r.url) for r in out.collect()) == sorted((r.page_id, r.url) for r in pages.collect())
+    assert out.where("n_deleted > 0").count() > 0  # most hosts of this small table have one page

@@ -1,20 +1,25 @@
 """Main text of web pages by nearest-URL page differencing (operator 10).
 
-1. Each page's html becomes text lines, one for each block of its article (or main element, or else body), without
-   elements that are no running text: menus, forms, scripts, styles, asides, adverts, notices, comments.
+1. Each page's html becomes text lines, one for each block of its whole body: menus, footers and adverts too. Only what
+   is never running text (scripts, styles, hidden parts, form fields) gives no line.
 2. Within a host, pages are put in the order of their URL paths. Each page is paired with the NEIGHBOURS nearest on
    either side and their lines are aligned by longest common subsequence. Lines of the alignment are shared: the
-   site's own text, not the article's. A pair most of whose lines agree is either the same article twice or two pages
-   of one template. Lines that TEMPLATE_SHARE of the different neighbours have, and TEMPLATE_PAGES at least, are the
-   template's; if most of the other lines agree as well, it is the same article, and the pair has no say on them.
-3. A line that enough pairs share is deleted: where the page marks no article, SHARE of them and one at least;
-   inside a marked article, where articles may quote each other, ARTICLE_SHARE of them and ARTICLE_VOTES at least.
+   site's own text, not the article's. A pair most of whose article lines agree is either the same article twice or two
+   pages of one template. Lines that TEMPLATE_SHARE of the different neighbours have, and TEMPLATE_PAGES at least, are
+   the template's; if most of the other lines agree as well, it is the same article, and the pair has no say on them.
+3. A line that enough pairs share is deleted: on a page that marks no article, SHARE of them and one at least; beside a
+   marked article, one; inside it, where articles may quote each other, ARTICLE_SHARE of them and ARTICLE_VOTES at least.
+4. Of the lines left, those go that the markup itself says are not the article: outside of the marked article (or else
+   main element), or in elements, roles or names for menus, headers, footers, sidebars, notices, adverts, forms and
+   comments. A class or id counts only if all its words are about such things: "related-posts", not "related-work".
 
-Positions in a host come from a range partitioning and partition sums, so one large host is spread over all tasks;
-blocks of BLOCK pages, with the neighbours at their edges, are differenced on line hashes alone.
+Pages are parsed once; their texts wait compressed in the shared folder. Positions in a host come from a range
+partitioning and partition sums, so one large host is spread over all tasks; blocks of BLOCK pages, with the neighbours
+at their edges, are differenced on line hashes alone.
 
 Defined results: a null html is empty; a null url belongs to the host and path ""; rows that repeat another in all
-three columns count once for differencing and get the same text; further columns are ignored.
+three columns count once for differencing and get the same text; texts are handled whole, whatever their length; further
+columns, also such with names used here, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,25 +48,32 @@ SAME_ARTICLE = 0.6
 TEMPLATE_SHARE = 0.5
 TEMPLATE_PAGES = 3
 BLOCK = 256
+#: Pages that one task puts in order, about.
+ORDERED = 200_000
 
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
-_SKIPPED = frozenset(
-    "aside audio button canvas dialog embed fieldset footer form head iframe input label map menu nav noscript object option script select style svg "
-    "template textarea title video".split()
-)
+#: Elements without any running text, and elements whose text is not the article's.
+_SILENT = frozenset("audio canvas datalist embed head iframe input map noscript object option script select style svg template textarea title video".split())
+_BESIDE = frozenset("aside button dialog fieldset footer form menu nav".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar".split())
-#: Words of class and id names that mark what is not the article, unless a word before them says that the element
-#: only stands beside such a thing.
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?<!has-)(?<!with-)(?<!no-)(?<!without-)(?:ads?|advert\w*|banner\w*|breadcrumb\w*|comment\w*|consent\w*|cookie\w*|disqus\w*|footer\w*|gdpr\w*|menu\w*|"
-    r"modal\w*|nav|navbar|navigation|newsletter\w*|notice\w*|pager|pagination|popup\w*|promo\w*|related\w*|replies|reply|respond|shar(?:e|es|ing)|sidebar\w*|social\w*|"
-    r"sponsor\w*|subscribe\w*|teasers?|toolbar|widgets?)(?=$|[\s_-])",
-    re.I,
+#: Words of class and id names for what is not the article, and words that may stand beside them.
+_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
+    "disqus footer footers gdpr menu menus modal nav navbar navigation newsletter notice notices pager pagination popup popups promo promos promoted promotion "
+    "related replies reply respond share shares sharing sidebar sidebars social sponsor sponsored sponsors subscribe subscription teaser teasers toolbar "
+    "widget widgets".split()
+)
+_NEUTRAL = frozenset(
+    "a all and area article articles bar block blocks body bottom box boxes button buttons buy call card cards col column container content cta desktop entry "
+    "first footer form global group head header holder home icon icons id inline inner item items js label last layer layout left link links list lists main "
+    "media mobile module more network networks news of outer overlay page pages panel post posts primary reader readers right row secondary section sections "
+    "signup site slot sticky stories story strip text the this thread title top topics unit user users view wrap wrapper".split()
 )
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
 _RAW = re.compile(r"<(script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"""(<[!?][^>]*>|</?[a-zA-Z](?>[^>"']|"[^"]*"|'[^']*'|["'])*(?:>|\Z))""")
@@ -69,57 +81,72 @@ _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
 _HIDDEN = re.compile(r"\shidden(?=[\s>=/])|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
+#: What an element is: WANTED, BESIDE the article, or SILENT.
+WANTED, BESIDE, SILENT = 0, 1, 2
+
 
-def _unwanted(name: str, tag: str) -> bool:
-    if name in _SKIPPED:
-        return True
+def names_other_than_article(value: str) -> bool:
+    """Whether a class or id says that an element is not the article: of one of its names, all words do or are neutral."""
+    for name in value.split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if any(w in _NAMES for w in words) and all(w in _NAMES or w in _NEUTRAL or w.isdigit() for w in words):
+            return True
+    return False
+
+
+def _kind(name: str, tag: str) -> int:
+    if name in _SILENT:
+        return SILENT
+    kind = BESIDE if name in _BESIDE else WANTED
     if len(tag) == len(name) + 2:
-        return False
+        return kind
     if _HIDDEN.search(tag):
-        return True
+        return SILENT
     for key, value in _ATTRIBUTE.findall(tag):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("html", "body", "main") and _NAMES.search(value):
-            return True
+        if key in ("class", "id") and name not in ("html", "body", "main") and names_other_than_article(value):
+            return BESIDE
         if key == "role" and value.lower() in _ROLES:
-            return True
-    return False
+            return BESIDE
+    return kind
 
 
-def text_lines(html: str) -> tuple[bool, list[str]]:
-    """Whether the page marks its article or main part, and its text blocks in order, each on one line."""
+def all_lines(html: str) -> list[tuple[int, int, str]]:
+    """The page's text blocks in order, each on one line: rank of the container (2 in an article, 1 in main, 0 else),
+    kind (WANTED or BESIDE), text."""
     html = _RAW.sub(" ", _COMMENT.sub("", html))
-    lines: list[tuple[int, str]] = []  # rank of the container, text
-    parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # name, skipped, rank: 2 in an article, 1 in main, 0 else
-    skipped, rank = False, 0
+    lines: list[tuple[int, int, str]] = []
+    parts: tuple[list[str], list[str]] = [], []  # of the open block, by kind: an inline button does not end it
+    stack: list[tuple[str, int, int]] = []  # name, kind, rank
+    kind, rank = WANTED, 0
 
     def close() -> None:
-        if parts:
-            text = " ".join(entities.unescape("".join(parts)).split())
-            if text:
-                lines.append((rank, text))
-            parts.clear()
+        for own in (WANTED, BESIDE):
+            if parts[own]:
+                text = " ".join(entities.unescape("".join(parts[own])).split())
+                if text:
+                    lines.append((rank, own, text))
+                parts[own].clear()
 
     for k, token in enumerate(_TAG.split(html)):
         if k % 2 == 0:
-            if token and not skipped:
-                parts.append(token)
+            if token and kind != SILENT:
+                parts[kind].append(token)
             continue
         found = _NAME.match(token)
         if found is None:
             continue
         name = found[1].lower()
         block = name in _BLOCKS
-        if block and not skipped:
+        if block and kind != SILENT:
             close()
-        elif name == "br":
-            parts.append(" ")
+        elif name == "br" and kind != SILENT:
+            parts[kind].append(" ")
         if token[1] == "/":
             if any(x[0] == name for x in stack):
                 while stack.pop()[0] != name:
                     pass
-                skipped, rank = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                kind, rank = (stack[-1][1], stack[-1][2]) if stack else (WANTED, 0)
             continue
         if name in _VOID or token.endswith("/>"):
             continue
@@ -127,57 +154,118 @@ def text_lines(html: str) -> tuple[bool, list[str]]:
             for at in range(len(stack) - 1, -1, -1):
                 if stack[at][0] == "p" or name == "li" == stack[at][0]:
                     del stack[at:]
-                    skipped, rank = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                    kind, rank = (stack[-1][1], stack[-1][2]) if stack else (WANTED, 0)
                     break
                 if stack[at][0] in _BLOCKS:
                     break
-        if not skipped:
-            if name in ("article", "main"):
+        if kind != SILENT:
+            if kind == WANTED and name in ("article", "main"):
                 rank = max(rank, 2 if name == "article" else 1)
-            skipped = _unwanted(name, token) or (name == "header" and not rank)
-        stack.append((name, skipped, rank))
-    if not skipped:
+            kind = max(kind, _kind(name, token), BESIDE if name == "header" and not rank else WANTED)
+        stack.append((name, kind, rank))
+    if kind != SILENT:
         close()
-    best = max((r for r, _ in lines), default=0)
-    return best > 0, [text for r, text in lines if r == best]
+    return lines
+
+
+def text_lines(html: str) -> tuple[bool, list[str]]:
+    """Whether the page marks its article or main part, and the lines that its own markup leaves."""
+    lines = all_lines(html)
+    best = max((r for r, kind, _ in lines if kind == WANTED), default=0)
+    return best > 0, [text for r, kind, text in lines if kind == WANTED and r == best]
+
+
+PARSED = "key binary, page_id bigint, url string, hashes array<bigint>, inside array<boolean>, at array<int>, packed binary"
+
 
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key: a digest of the whole row. hashes: of every line; inside: whether it is in the marked article; at: places of
+    the lines that the markup leaves, whose texts are packed."""
+    from xxhash import xxh3_64_intdigest, xxh3_128_digest
+    from zstandard import ZstdCompressor
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = ZstdCompressor(level=3).compress
     for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
-            got = [text_lines(h) for h in pc.fill_null(batch.column("html"), "").to_pylist()]
+        for start in range(0, whole.num_rows, 500):
+            batch = whole.slice(start, 500)
+            rows = []
+            for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
+                lines = all_lines(html or "")
+                best = max((r for r, kind, _ in lines if kind == WANTED), default=0)
+                left = [k for k, (r, kind, _) in enumerate(lines) if kind == WANTED and r == best]
+                rows.append(
+                    (
+                        xxh3_128_digest(repr((page_id, url, html)).encode()),
+                        [xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63) for _, _, text in lines],
+                        [best > 0 and r == best and kind == WANTED for r, kind, _ in lines],
+                        left,
+                        pack("\n".join(lines[k][2] for k in left).encode("utf-8", "replace")),
+                    )
+                )
+            key, hashes, inside, at, packed = ([x[k] for x in rows] for k in range(5))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.binary()), batch.column("page_id"), batch.column("url"), pa.array(hashes, pa.list_(pa.int64())), pa.array(inside, pa.list_(pa.bool_())), pa.array(at, pa.list_(pa.int32())), pa.array(packed, pa.binary())],
+                names=["key", "page_id", "url", "hashes", "inside", "at", "packed"],
+            )
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that neither differencing nor the markup has deleted."""
+    from zstandard import ZstdDecompressor
+
+    unpack = ZstdDecompressor().decompress
+    for whole in batches:
+        for start in range(0, whole.num_rows, 500):
+            batch = whole.slice(start, 500)
+            texts, by_markup = [], []
+            for packed, at, n, dropped in zip(*(batch.column(c).to_pylist() for c in ("packed", "at", "n", "dropped")), strict=True):
+                gone = set(dropped or ())
+                lines = unpack(packed).decode().split("\n") if at else []
+                texts.append("\n".join(x for k, x in zip(at, lines, strict=True) if k not in gone))
+                by_markup.append(n - len(gone.union(at)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("page_id"), batch.column("url"), pa.array([x for x, _ in got], pa.bool_()), pa.array([x for _, x in got], pa.list_(pa.string()))],
-                names=["key", "page_id", "url", "marked", "lines"],
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64()), pc.fill_null(pc.list_value_length(batch.column("dropped")), 0).cast(pa.int64()), pa.array(by_markup, pa.int64())],
+                names=["page_id", "url", "text", "n_chars", "n_deleted", "n_by_markup"],
             )
 
 
+def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Places in a and in b of a longest common subsequence."""
+    out = []
+    i, j, x, y = 0, 0, len(a), len(b)
+    while i < x and j < y and a[i] == b[j]:  # what both begin and end with is in one
+        out.append((i, j))
+        i, j = i + 1, j + 1
+    tail = []
+    while x > i and y > j and a[x - 1] == b[y - 1]:
+        x, y = x - 1, y - 1
+        tail.append((x, y))
+    both = set(a[i:x]) & set(b[j:y])
+    if both:
+        at = [k for k in range(i, x) if a[k] in both]
+        other = [k for k in range(j, y) if b[k] in both]
+        rows = [[0] * (len(other) + 1)]
+        for k in at:
+            last, row = rows[-1], [0]
+            for n, m in enumerate(other):
+                row.append(last[n] + 1 if a[k] == b[m] else max(last[n + 1], row[n]))
+            rows.append(row)
+        middle, p, q = [], len(at), len(other)
+        while p and q:
+            if a[at[p - 1]] == b[other[q - 1]]:
+                middle.append((at[p - 1], other[q - 1]))
+                p, q = p - 1, q - 1
+            elif rows[p - 1][q] >= rows[p][q - 1]:
+                p -= 1
+            else:
+                q -= 1
+        out += middle[::-1]
+    return out + tail[::-1]
+
+
 def common_lines(a: list[int], b: list[int]) -> list[int]:
     """Places in a of a longest common subsequence of a and b."""
-    both = set(a) & set(b)
-    if not both:
-        return []
-    at = [k for k, x in enumerate(a) if x in both]
-    other = [x for x in b if x in both]
-    if len(at) == 1:
-        return at
-    rows = [[0] * (len(other) + 1)]
-    for k in at:
-        last, row = rows[-1], [0]
-        for j, y in enumerate(other):
-            row.append(last[j] + 1 if a[k] == y else max(last[j + 1], row[j]))
-        rows.append(row)
-    out, i, j = [], len(at), len(other)
-    while i and j:
-        if a[at[i - 1]] == other[j - 1]:
-            out.append(at[i - 1])
-            i, j = i - 1, j - 1
-        elif rows[i - 1][j] >= rows[i][j - 1]:
-            i -= 1
-        else:
-            j -= 1
-    return out[::-1]
+    return [k for k, _ in aligned(a, b)]
 
 
 def _template(page: list[int], around: list[list[int]]) -> set[int]:
@@ -195,62 +283,76 @@ def _difference(rows: pd.DataFrame) -> pd.DataFrame:
     """key and the places of deleted lines, for the block's own pages."""
     rows = rows.sort_values("rank", kind="stable")
     lines = [list(map(int, h)) for h in rows["hashes"]]
+    inside = [list(map(bool, x)) for x in rows["inside"]]
     keys, own, n = rows["key"].tolist(), rows["own"].tolist(), len(rows)
+    marked = [any(x) for x in inside]
+    core = [[h for h, x in zip(hs, xs, strict=True) if x] if m else hs for hs, xs, m in zip(lines, inside, marked, strict=True)]
     votes = [np.zeros(len(x), dtype=np.int32) for x in lines]
     pairs = [0] * n
     often: dict[int, int] = {}
     for x in lines:
         for h in set(x):
             often[h] = often.get(h, 0) + 1
-    seen = [[h for h in x if often[h] > 1] for x in lines]  # a line that one page has is never shared
-    places = [[k for k, h in enumerate(x) if often[h] > 1] for x in lines]
+    places = [[k for k, h in enumerate(x) if often[h] > 1] for x in lines]  # a line that one page has is never shared
+    seen = [tuple(x[k] for k in at) for x, at in zip(lines, places, strict=True)]
     template: dict[int, set[int]] = {}
+    known: dict[tuple, list[tuple[int, int]]] = {}
 
     def vote(i: int, j: int, shared: list[int], alike: bool) -> None:
-        """What the pair says on lines of page i; shared: places in seen[i]."""
+        """What the pair says on lines of page i; shared: their places."""
         if alike:
             if i not in template:
-                template[i] = _template(lines[i], lines[max(0, i - NEIGHBOURS) : i] + lines[i + 1 : i + NEIGHBOURS + 1])
-            site = template[i]
-            rest = [k for k in shared if seen[i][k] not in site]
-            if rest and (not site or len(rest) >= SAME_ARTICLE * min(sum(h not in site for h in lines[x]) for x in (i, j))):
-                shared = [k for k in shared if seen[i][k] in site]
-        for k in shared:
-            votes[i][places[i][k]] += 1
+                template[i] = _template(core[i], core[max(0, i - NEIGHBOURS) : i] + core[i + 1 : i + NEIGHBOURS + 1])
+            site, line = template[i], lines[i]
+            rest = [k for k in shared if line[k] not in site and (inside[i][k] or not marked[i])]
+            if rest and (not site or len(rest) >= SAME_ARTICLE * min(sum(h not in site for h in core[x]) for x in (i, j))):
+                no_say = set(rest)
+                shared = [k for k in shared if k not in no_say]
+        votes[i][shared] += 1
 
     for i in range(n):
         for j in range(i + 1, min(n, i + NEIGHBOURS + 1)):
             pairs[i] += 1
             pairs[j] += 1
-            shared = common_lines(seen[i], seen[j])
-            if not shared:
+            if not seen[i] or not seen[j]:
                 continue
-            alike = len(shared) > 1 and len(shared) >= SAME_ARTICLE * min(len(lines[i]), len(lines[j]))
-            vote(i, j, shared, alike)
-            vote(j, i, common_lines(seen[j], seen[i]), alike)
-    needed = [max(ARTICLE_VOTES, ARTICLE_SHARE * p) if m else max(1, SHARE * p) for m, p in zip(rows["marked"], pairs, strict=True)]
-    out = [(k, np.flatnonzero(v >= x).tolist()) for k, v, x, o in zip(keys, votes, needed, own, strict=True) if o]
-    out = [x for x in out if x[1]]
-    return pd.DataFrame({"key": pd.Series([x[0] for x in out], dtype="int64"), "dropped": pd.Series([x[1] for x in out], dtype="object")})
+            both = known.get((seen[i], seen[j]))  # menus come in few kinds
+            if both is None:
+                if len(known) > 20_000:
+                    known.clear()
+                both = known[seen[i], seen[j]] = aligned(seen[i], seen[j])
+            if not both:
+                continue
+            mine, theirs = [places[i][a] for a, _ in both], [places[j][b] for _, b in both]
+            least = min(len(core[i]), len(core[j]))
+            agree = [sum(inside[x][k] for k in at) if marked[x] else len(at) for x, at in ((i, mine), (j, theirs))]
+            alike = min(agree) > 1 and min(agree) >= SAME_ARTICLE * least
+            vote(i, j, mine, alike)
+            vote(j, i, theirs, alike)
+    out = []
+    for k in range(n):
+        if not own[k]:
+            continue
+        if marked[k]:
+            needed = np.where(inside[k], max(ARTICLE_VOTES, ARTICLE_SHARE * pairs[k]), 1)
+        else:
+            needed = max(1, SHARE * pairs[k])
+        gone = np.flatnonzero(votes[k] >= needed).tolist()
+        if gone:
+            out.append((keys[k], gone))
+    return pd.DataFrame({"key": pd.Series([x[0] for x in out], dtype="object"), "dropped": pd.Series([x[1] for x in out], dtype="object")})
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars and n_deleted (lines that differencing deleted) for each row of pages."""
+    """page_id, url, text, n_chars, n_deleted (lines that differencing deleted) and n_by_markup (further lines that only
+    the markup says are not the article) for each row of pages."""
     spark = pages.sparkSession
-    rows = in_small_batches(pages).select(
-        F.xxhash64("page_id", "url", "html").alias("key"), F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
-    )
-    lines = rows.mapInArrow(_lines, "key bigint, page_id bigint, url string, marked boolean, lines array<string>")
+    rows = in_small_batches(pages).select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    parsed = materialise(rows.mapInArrow(_parsed, PARSED), "parsed")
     address = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     path = F.regexp_replace(address, r"^[^/?#]*", "")
-    light = lines.select(
-        "key",
-        F.lower(F.regexp_extract(address, r"^[^/?#]*", 0)).alias("host"),
-        F.split(path, r"[?#]", 2)[0].alias("path"),
-        "marked",
-        F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-    )
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    light = parsed.select("key", F.lower(F.regexp_extract(address, r"^[^/?#]*", 0)).alias("host"), F.split(path, r"[?#]", 2)[0].alias("path"), "hashes", "inside")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), parsed.count() // ORDERED)
     light = light.dropDuplicates(["key"]).repartitionByRange(parts, "host", "path", "key").sortWithinPartitions("host", "path", "key")
     placed = materialise(light.withColumn("at", F.monotonically_increasing_id()), "lines")  # partition and place in it
     part = F.shiftright("at", 33)
@@ -262,31 +364,26 @@ def main_text(pages: DataFrame) -> DataFrame:
         .withColumn("rank", F.col("before") + F.col("at") - F.col("first"))
         .withColumn("home", F.expr(f"rank div {BLOCK}"))
     )
-    inside = F.col("rank") % BLOCK
+    place = F.col("rank") % BLOCK
     around = ranked.withColumn(
         "block",
         F.explode(
             F.array_compact(
                 F.array(
                     F.col("home"),
-                    F.when((inside < NEIGHBOURS) & (F.col("home") > 0), F.col("home") - 1),
-                    F.when(inside >= BLOCK - NEIGHBOURS, F.col("home") + 1),
+                    F.when((place < NEIGHBOURS) & (F.col("home") > 0), F.col("home") - 1),
+                    F.when(place >= BLOCK - NEIGHBOURS, F.col("home") + 1),
                 )
             )
         ),
     )
     dropped = (
-        around.select("host", "block", "rank", "key", "marked", "hashes", (F.col("block") == F.col("home")).alias("own"))
+        around.select("host", "block", "rank", "key", "hashes", "inside", (F.col("block") == F.col("home")).alias("own"))
         .groupBy("host", "block")
-        .applyInPandas(_difference, "key bigint, dropped array<int>")
-    )
-    kept = F.expr("filter(lines, (x, i) -> dropped is null or not array_contains(dropped, i))")
-    text = F.array_join(kept, "\n")
-    return (
-        lines.join(dropped, "key", "left")
-        .select("page_id", "url", text.alias("text"), F.coalesce(F.size("dropped"), F.lit(0)).alias("deleted"))
-        .select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), F.greatest("deleted", F.lit(0)).cast("bigint").alias("n_deleted"))
+        .applyInPandas(_difference, "key binary, dropped array<int>")
     )
+    left = parsed.select("key", "page_id", "url", "packed", "at", F.size("hashes").alias("n")).join(dropped, "key", "left").drop("key")
+    return left.mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint, n_deleted bigint, n_by_markup bigint")
 
 
 def op10_html(spark, sf_dir: str) -> DataFrame:
