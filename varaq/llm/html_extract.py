@@ -13,9 +13,10 @@
    main element), or in elements, roles or names for menus, headers, footers, sidebars, notices, adverts, forms and
    comments. A class or id counts only if all its words are about such things: "related-posts", not "related-work".
 
-Pages are parsed once; their texts wait compressed in the shared folder. Positions in a host come from a range
-partitioning and partition sums, so one large host is spread over all tasks; blocks of BLOCK pages, with the neighbours
-at their edges, are differenced on line hashes alone.
+Pages are parsed twice, for the hashes and for the texts: texts that wait on disk for the deletions cost more disk than
+a second pass costs time (README). Positions in a host come from a range partitioning and partition sums, so one large
+host is spread over all tasks; blocks of BLOCK pages, with the neighbours at their edges, are differenced on line hashes
+alone.
 
 Defined results: a null html is empty; a null url belongs to the host and path ""; rows that repeat another in all
 three columns count once for differencing and get the same text; texts are handled whole, whatever their length; further
@@ -175,38 +176,55 @@ def text_lines(html: str) -> tuple[bool, list[str]]:
     return best > 0, [text for r, kind, text in lines if kind == WANTED and r == best]
 
 
-PARSED = "key binary, page_id bigint, url string, hashes array<bigint>, inside array<boolean>, at array<int>, packed binary"
+def _key(row: tuple) -> bytes:
+    from xxhash import xxh3_128_digest
 
+    return xxh3_128_digest(repr(row).encode())
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key: a digest of the whole row. hashes: of every line; inside: whether it is in the marked article; at: places of
-    the lines that the markup leaves, whose texts are packed."""
-    from xxhash import xxh3_64_intdigest, xxh3_128_digest
-    from zstandard import ZstdCompressor
 
-    pack = ZstdCompressor(level=3).compress
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
+    """Batches of bounded size, and for each row its key (a digest of the whole row), lines, and places of the lines
+    that the markup leaves."""
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
             batch = whole.slice(start, 500)
-            rows = []
-            for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-                lines = all_lines(html or "")
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
+                lines = all_lines(row[2] or "")
                 best = max((r for r, kind, _ in lines if kind == WANTED), default=0)
-                left = [k for k, (r, kind, _) in enumerate(lines) if kind == WANTED and r == best]
-                rows.append(
-                    (
-                        xxh3_128_digest(repr((page_id, url, html)).encode()),
-                        [xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63) for _, _, text in lines],
-                        [best > 0 and r == best and kind == WANTED for r, kind, _ in lines],
-                        left,
-                        pack("\n".join(lines[k][2] for k in left).encode("utf-8", "replace")),
-                    )
-                )
-            key, hashes, inside, at, packed = ([x[k] for x in rows] for k in range(5))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.binary()), batch.column("page_id"), batch.column("url"), pa.array(hashes, pa.list_(pa.int64())), pa.array(inside, pa.list_(pa.bool_())), pa.array(at, pa.list_(pa.int32())), pa.array(packed, pa.binary())],
-                names=["key", "page_id", "url", "hashes", "inside", "at", "packed"],
-            )
+                out.append((_key(row), lines, best > 0, [k for k, (r, kind, _) in enumerate(lines) if kind == WANTED and r == best]))
+            yield batch, out
+
+
+HASHED = "key binary, url string, hashes array<bigint>, inside array<boolean>"
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """hashes: of every line; inside: whether it is in the marked article."""
+    from xxhash import xxh3_64_intdigest
+
+    for batch, rows in _rows(batches):
+        hashes, inside = [], []
+        for _, lines, marked, left in rows:
+            hashes.append([xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63) for _, _, text in lines])
+            own = set(left) if marked else ()
+            inside.append([k in own for k in range(len(lines))])
+        key = pa.array([x[0] for x in rows], pa.binary())
+        yield pa.RecordBatch.from_arrays([key, batch.column("url"), pa.array(hashes, pa.list_(pa.int64())), pa.array(inside, pa.list_(pa.bool_()))], names=["key", "url", "hashes", "inside"])
+
+
+PACKED = "key binary, page_id bigint, url string, n int, at array<int>, packed binary"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n: number of lines; at: places of those that the markup leaves; packed: their texts, compressed for the shuffle."""
+    from zstandard import ZstdCompressor
+
+    pack = ZstdCompressor(level=3).compress
+    for batch, rows in _rows(batches):
+        packed = [pack("\n".join(lines[k][2] for k in left).encode("utf-8", "replace")) for _, lines, _, left in rows]
+        key, n, at = pa.array([x[0] for x in rows], pa.binary()), pa.array([len(x[1]) for x in rows], pa.int32()), pa.array([x[3] for x in rows], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([key, batch.column("page_id"), batch.column("url"), n, at, pa.array(packed, pa.binary())], names=["key", "page_id", "url", "n", "at", "packed"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +366,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     the markup says are not the article) for each row of pages."""
     spark = pages.sparkSession
     rows = in_small_batches(pages).select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = materialise(rows.mapInArrow(_parsed, PARSED), "parsed")
+    parsed = materialise(rows.mapInArrow(_hashed, HASHED), "parsed")
     address = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     path = F.regexp_replace(address, r"^[^/?#]*", "")
     light = parsed.select("key", F.lower(F.regexp_extract(address, r"^[^/?#]*", 0)).alias("host"), F.split(path, r"[?#]", 2)[0].alias("path"), "hashes", "inside")
@@ -382,7 +400,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         .groupBy("host", "block")
         .applyInPandas(_difference, "key binary, dropped array<int>")
     )
-    left = parsed.select("key", "page_id", "url", "packed", "at", F.size("hashes").alias("n")).join(dropped, "key", "left").drop("key")
+    left = rows.mapInArrow(_packed, PACKED).join(dropped, "key", "left").drop("key")
     return left.mapInArrow(_texts, "page_id bigint, url string, text string, n_chars bigint, n_deleted bigint, n_by_markup bigint")
 
 
