@@ -78,6 +78,78 @@ def test_links_of_a_length_that_the_sample_lacks(spark, monkeypatch):
     assert got == brute(rows) and all(got[k] == (2, min(late)) for k in late)
 
 
+def test_vectors_are_compared_in_double(spark):
+    rows = [(1, [1e-46, 2e-46]), (2, [1e-46, 2e-46]), (3, [1e39, 2e39]), (4, [1e39, 2.1e39]), (5, [1e200, -1e200]), (6, [1e-320, 0.0]), (7, [1.0, 1e-9])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in graph_dedup.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    assert got == {**{k: (3, 1) for k in (1, 2, 3, 4)}, 5: (0, 5), 6: (1, 6), 7: (1, 6)}
+
+
+def grouped(n: int, dim: int = 24):
+    """Vectors in groups of 1 to 60, links within groups only; every twentieth id is a query."""
+    rng = np.random.default_rng(7)
+    rows = []
+    while len(rows) < n:
+        centre = rng.normal(size=dim)
+        for _ in range(int(rng.choice([1, 1, 1, 1, 2, 3, 8, 60]))):
+            rows.append((len(rows), (centre + rng.normal(size=dim) * 0.25).tolist()))
+    return rows
+
+
+@pytest.mark.parametrize("part", [12_000, 400])
+def test_recall_over_shards_of_queries_that_have_links(spark, monkeypatch, part):
+    """With the audits' ways out switched off: the graph alone finds the links, over many shards and parts."""
+    rows = grouped(4000)
+    x = graph_dedup.unit([v for _, v in rows])
+    near = x @ x.T >= graph_dedup.COSINE
+    want = near.sum(axis=1) - 1
+    monkeypatch.setattr(graph_dedup, "PER_CENTRE", 150)
+    monkeypatch.setattr(graph_dedup, "PART", part)
+    monkeypatch.setattr(graph_dedup, "PART_AUDIT", 0)
+    monkeypatch.setattr(graph_dedup, "LEAST_RECALL", 0.0)
+    out, audit = graph_dedup.linked_and_audited(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = np.array([r.n_links for r in out.orderBy("vec_id").collect()])
+    asked = (np.arange(len(rows)) % 20 == 0) & (want > 0)
+    assert asked.sum() > 50 and (got <= want).all()
+    assert np.minimum(got, want)[asked].sum() >= 0.98 * want[asked].sum()
+    assert audit.links > 100 and audit.recall >= 0.95
+    assert got.sum() % 2 == 0  # both ends of a link agree on it
+
+
+def test_search_finds_groups_without_comparing_all(monkeypatch):
+    rows = grouped(3000)
+    x = graph_dedup.unit([v for _, v in rows])
+    pruned = graph_dedup.robust_prune(x)
+    assert max(map(len, pruned)) <= graph_dedup.DEGREE
+    r, v = graph_dedup.search(x, graph_dedup.both_ways(pruned, len(x)), x, np.arange(len(x)))
+    q, w = graph_dedup.in_full(x, x, np.arange(len(x)))
+    found, every = set(zip(r.tolist(), v.tolist())), set(zip(q.tolist(), w.tolist()))
+    assert found <= every and len(found) >= 0.99 * len(every)
+    r, v = graph_dedup.search(x, graph_dedup.both_ways(pruned, len(x)), x[:500], np.full(500, -1))  # from the medoids alone
+    assert len(set(zip(r.tolist(), v.tolist()))) >= 0.6 * sum(a < 500 for a, _ in every)
+
+
+def test_a_large_shard_is_clustered_again(spark, monkeypatch):
+    rows = grouped(3000)
+    monkeypatch.setattr(graph_dedup, "MAX_CENTRES", 4)
+    monkeypatch.setattr(graph_dedup, "PER_CENTRE", 200)
+    monkeypatch.setattr(graph_dedup, "PART", 600)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in graph_dedup.linked(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    x = graph_dedup.unit([v for _, v in rows])
+    q, w = graph_dedup.in_full(x, x, np.arange(len(x)))
+    root = graph_dedup.unite(np.arange(len(x)), q, w)
+    assert got == {k: (int(n), int(c)) for k, n, c in zip(range(len(x)), np.bincount(q, minlength=len(x)), root, strict=True)}
+
+
+def test_graph_query_equals_its_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    spark.createDataFrame(vectors(), "vec_id bigint, embedding array<float>").coalesce(1).write.parquet(f"file://{tmp_path}/embeddings.parquet")
+    c = duckdb.connect()
+    c.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = c.execute(graph_dedup.OP1_SQL).fetchall()
+    got = graph_dedup.op1_graph_dedup(spark, f"file://{tmp_path}").select("vec_id", "n_links", "component_id", "kept")
+    assert sorted(map(tuple, got.collect())) == sorted(want) and any(r[1] > 50 for r in want)
+
+
 def test_robust_pruning_drops_occluded_neighbours():
     x = graph_dedup.unit([[1, 0.02 * k] for k in range(10)])
     out = graph_dedup.robust_prune(x)
