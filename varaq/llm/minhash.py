@@ -15,7 +15,8 @@
 Two texts at the threshold of 0.85 share no band with probability (1 - 0.85**6)**26 < 5e-6.
 
 Defined results: null, empty or blank texts have no shingles, link with nothing and stay; a null doc_id gives a
-null component_id and stays; rows that repeat a doc_id and its text get a row each, and stay or go together.
+null component_id and stays; rows that repeat a doc_id and its text get a row each, and stay or go together. Texts are
+handled whole, whatever their length; further columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -262,6 +263,30 @@ def op9_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: The contract by comparison of all sets that share a shingle.
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(greatest(1, len(words) - 4))) AS i FROM w WHERE len(words) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i + 1 : i + 5], ' ') AS s FROM starts
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT u, v FROM shared JOIN sizes su ON su.doc_id = u JOIN sizes sv ON sv.doc_id = v WHERE 100 * shared.n >= 85 * (su.n + sv.n - shared.n)
+), reach(u, v) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+), least AS (
+  SELECT u, min(v) AS component_id FROM reach GROUP BY u
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON least.u = d.doc_id
+"""
+
+
 def keep_one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near-duplicates, with the columns of docs."""
     kept = near_duplicates(docs).where("kept").select("doc_id")

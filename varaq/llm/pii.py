@@ -210,6 +210,41 @@ def op4_pii(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def _base_sql() -> str:
+    """SQL for the base columns, spelt from the contract: matches and what stands between them give the places."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    found = " UNION ALL ".join(f"SELECT doc_id, '{kind}' AS kind, {k} AS k, regexp_extract_all(t, '{x}') AS m, string_split_regex(t, '{x}') AS g FROM d" for k, (kind, x) in enumerate(patterns.items()))
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), found AS ({found}), one AS (
+      SELECT doc_id, kind, k, m, g, unnest(range(1, len(m) + 1)) AS i FROM found
+    ), spans AS (
+      SELECT doc_id, kind, k, m[i] AS x, regexp_replace(m[i], '[^0-9]', '', 'g') AS digits,
+        list_sum(list_transform(g[1 : i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1 : i - 1], lambda y: length(y))), 0) AS start FROM one
+    ), doubled AS (
+      SELECT *, list_transform(range(length(digits)), lambda j: digits[length(digits) - j]::INT * (1 + j % 2)) AS twice FROM spans
+    ), valid AS (
+      SELECT *, start + length(x) AS stop FROM doubled WHERE CASE kind
+        WHEN 'email' THEN true
+        WHEN 'ip' THEN len(list_filter(string_split(x, '.'), lambda y: y::HUGEINT > 255)) = 0
+        WHEN 'card' THEN length(digits) BETWEEN 14 AND 19 AND list_sum(list_transform(twice, lambda y: y // 10 + y % 10)) % 10 = 0
+        ELSE length(digits) BETWEEN 10 AND 15 END
+    ), listed AS (
+      SELECT doc_id, string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, k) AS spans,
+        {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in patterns)} FROM valid GROUP BY doc_id
+    )
+    SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in patterns)}, sha256(coalesce(spans, '')) AS base_sha256
+    FROM d LEFT JOIN listed ON listed.doc_id = d.doc_id
+    """
+
+
+BASE_SQL = _base_sql()
+
+
 def sanitise(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: personal data replaced, disclosing terms generalised or removed; all documents stay."""
     names = docs.columns

@@ -285,6 +285,27 @@ def op8_quality(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
 
 
+#: The base columns in SQL; the method's verdict is learned.
+BASE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(len(words) - 7)) AS i FROM d WHERE len(words) >= 8
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i + 1 : i + 8], ' ')) AS often FROM starts
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n FROM windows, range(8) AS r(j) WHERE often > 1 GROUP BY doc_id
+), counted AS (
+  SELECT d.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    list_transform([list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]'))], lambda ls: len(ls) - len(list_distinct(ls)))[1] AS n_dup_lines,
+    coalesce(covered.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+"""
+
+
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep, with their own columns. Rows are judged where they are
     read: no join, no shuffle."""
