@@ -1,4 +1,8 @@
-"""Process prepared books: python cli.py WORDS CELLS REQUESTS OUT [--ocr OCR]. All are Parquet folders."""
+"""Process books: python cli.py REQUESTS OUT (--words W --cells C | --pdf FOLDER) [--ocr O] [--no-ocr] [--sidecars S] [--responses R].
+
+REQUESTS, W, C and O are Parquet folders, R one of an extractor's answers, S a folder of .meta.json files, FOLDER one of PDF
+files (with the library pdfplumber). OUT gets json, markdown, seed and, with answers, graph, a file for each book.
+"""
 
 from __future__ import annotations
 
@@ -6,30 +10,54 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from varaq.operators.requests import batch_totals, request_error
+from varaq.operators import render, tables
+from varaq.operators.requests import batch_totals, request_error, resolved
 from varaq.plans import engine
-from varaq.operators.render import write_each
+from varaq.sources import adapters, books
+
+ENDINGS = {"json": ("json", ".json"), "markdown": ("markdown", ".md"), "seed": ("json", ".seed.json"), "graph": ("json", ".graph.json")}
 
 
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__)
-    for name in ("words", "cells", "requests", "out"):
-        p.add_argument(name)
-    p.add_argument("--ocr")
+    p.add_argument("requests")
+    p.add_argument("out")
+    for name in ("words", "cells", "pdf", "ocr", "sidecars", "responses"):
+        p.add_argument(f"--{name}")
     p.add_argument("--no-ocr", action="store_true")
     a = p.parse_args(args)
+    if bool(a.pdf) == bool(a.words):
+        p.error("one of --pdf and --words is needed")
     spark = SparkSession.builder.getOrCreate()
-    asked = request_error(spark.read.parquet(a.requests))
+    side = books.sidecars(spark, a.sidecars) if a.sidecars else spark.createDataFrame([], "book string, " + books.SIDECAR)
+    asked = request_error(resolved(spark.read.parquet(a.requests), side))
     good = asked.where("error is null")
-    words = spark.read.parquet(a.words).join(good.select("book"), "book", "left_semi")
-    ocr = spark.read.parquet(a.ocr) if a.ocr else spark.createDataFrame([], "book string, page int, text string, confidence double, error string")
-    lib = engine.run(engine.Library(good, words, spark.read.parquet(a.cells), ocr, use_ocr=not a.no_ocr))
-    for kind in ("json", "markdown", "seed"):
-        write_each(lib[kind], f"{a.out}/{kind}", kind if kind == "markdown" else "json")
+    mine = lambda df: df.join(good.select("book"), "book", "left_semi")
+    failed, pages, listed = spark.createDataFrame([], "book string, error string"), None, None
+    if a.pdf:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(a.pdf).select(books.stem(F.col("path")).alias("book"), "content")
+        pages = adapters.pages_from_files(mine(files), adapters.pdf_reader).persist()
+        words, listed, failed = adapters.words_of(pages), adapters.listed(pages), adapters.book_errors(pages)
+        cells = tables.cells_of(words, adapters.boxes_of(pages))
+    else:
+        words, cells = mine(spark.read.parquet(a.words)), mine(spark.read.parquet(a.cells))
+    ocr = spark.read.parquet(a.ocr) if a.ocr else spark.createDataFrame([], adapters.OCR)
+    lib = engine.run(engine.Library(good, words, cells, ocr, use_ocr=not a.no_ocr, listed=listed))
+    if a.responses:
+        engine.with_graph(lib, spark.read.parquet(a.responses))
+    for kind, (column, ending) in ENDINGS.items():
+        if kind in lib.relations:
+            render.write_each(lib[kind], f"{a.out}/{kind}", column, ending)
+    for r in engine.summary(lib, a.out).where("ok").select("book", render.summary_text().alias("said")).orderBy("book").toLocalIterator():
+        print(r.said)
     lib.release()
-    totals = batch_totals(asked.selectExpr("error is null as ok")).first()
+    broken = asked.select("book", "error").unionByName(failed.join(good.select("book"), "book")).groupBy("book").agg(F.max("error").alias("error"))
+    totals = batch_totals(broken.selectExpr("error is null as ok")).first()
     print(totals.asDict())
+    if pages is not None:
+        pages.unpersist()
     return int(totals["failed"] > 0)
 
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from varaq.operators import graph, jobs, lessons, outline
+from varaq.operators import graph, jobs, lessons, outline, tables
 from varaq.plans import engine
 from varaq.sources import adapters, books
 from varaq.streaming import jobs as streams
@@ -72,10 +72,21 @@ def test_exports(library, tmp_path):
     assert docs["b"]["metadata"]["filename"] == "b.pdf" and len(docs["b"]["pages"]) == 5 and docs["c"]["metadata"]["title"] is None
     md = {r.book: r.markdown for r in library["markdown"].collect()}
     assert md["b"].startswith("# کتاب\n\n- فایل: b.pdf\n- درس: -\n") and "| r1\\|c1 | r1\\|c2 |\n| --- | --- |" in md["b"] and md["c"].startswith("# c\n")
-    write_each(library["markdown"], f"file://{tmp_path}/md", "markdown")
-    assert (tmp_path / "md" / "document=b").is_dir()
+    assert write_each(library["markdown"], f"file://{tmp_path}/md", "markdown", ".md") == ["b.md", "c.md"]
+    assert (tmp_path / "md" / "b.md").read_text(encoding="utf-8").rstrip("\n") == md["b"].rstrip("\n") and sorted(f.name for f in (tmp_path / "md").iterdir() if f.suffix == ".md") == ["b.md", "c.md"]
+    assert set(docs["b"]) == {"metadata", "pages", "blocks", "warnings", "processing_version"} and docs["b"]["blocks"] == []
+    assert docs["b"]["metadata"] == {"filename": "b.pdf", "title": "کتاب", "course": None, "grade": "11", "language": "fa", "total_pages": 5}
+    page = docs["b"]["pages"][3]
+    assert set(page) == {"page_number", "text", "char_count", "extraction_method", "needs_review", "warnings", "blocks"}
+    assert [x["id"] for x in page["blocks"]] == ["4-1", "4-2", "4-3"]
+    heading, plain, grid = page["blocks"]
+    assert heading == {"id": "4-1", "type": "heading", "text": "درس دوم ما", "page": 4, "source": None, "metadata": {"confidence": 0.5, "reason": "size_ratio=2.50"}}
+    assert plain["metadata"] == {}
+    assert grid["metadata"] == {"rows": [["r1|c1", "r1|c2"], ["r2|c1", ""]], "fill_ratio": 0.75, "top": 40.0, "confidence": 0.75, "source": "bordered_region"}
+    assert docs["b"]["pages"][4]["blocks"][0]["metadata"] == {"source": "ocr_fallback"}
     assert library["lines"].is_cached and library["blocks"].is_cached
-    assert engine.summary(library).where("book = 'c'").first().chapters == 0
+    rows = {r.book: r for r in engine.summary(library, "/out").collect()}
+    assert rows["c"].chapters == 0 and rows["c"].seed_path is None and rows["b"].seed_path == "/out/seed/b.seed.json" and rows["b"].ok and rows["b"].warnings == []
 
 
 def test_graph_keeps_bad_lessons_out(spark, library):
@@ -90,7 +101,15 @@ def test_graph_keeps_bad_lessons_out(spark, library):
     assert [(r.id, r.type) for r in lib["relationships"].collect()] == [("lesson-1:rel-3", "parent")]
     assert lib["failed_lessons"].count() == 1
     assert graph.edges_of(lib["relationships"], "lesson-1:b").count() == 1
-    assert json.loads(lib["graph"].first().json)["version"] == 1
+    doc = json.loads(lib["graph"].first().json)
+    assert set(doc) == {"book_title", "course", "grade", "version", "concepts", "relationships"} and doc["version"] == 1 and doc["book_title"] == "کتاب"
+    one = doc["concepts"][0]
+    assert one == {
+        "id": "lesson-1:a", "title": "A", "definition": None, "explanation": None, "examples": [], "common_misconceptions": [], "socratic_questions": [], "version": 1, "confidence_score": 0.7,
+        "source_refs": [{"filename": "b.pdf", "page": 3, "block_id": None}],
+    }
+    assert doc["relationships"] == [{"id": "lesson-1:rel-3", "source_concept_id": "lesson-1:a", "target_concept_id": "lesson-1:b", "relation_type": "parent", "confidence_score": 1.0, "source_refs": one["source_refs"], "notes": None}]
+    assert engine.summary(lib, "/out").where("book = 'b'").first().graph_path == "/out/graph/b.graph.json"
 
 
 def test_cancel_stops_before_a_stage(library):
@@ -131,18 +150,39 @@ def test_sources(spark, tmp_path):
 
 
 def test_adapters_isolate_failures(spark):
-    files = spark.createDataFrame([("good", b"x y"), ("bad", b"")], "book string, content binary")
+    files = spark.createDataFrame([("good", b"x y|broken|z"), ("bad", b""), ("long", b"a|b|c|d")], "book string, content binary")
 
     def reader():
-        def read(content):
+        def opened(content):
             if not content:
-                raise OSError("broken")
-            return [{"page": 1, "word_no": k, "text": w, "x0": 0.0, "x1": 1.0, "top": 0.0, "bottom": 1.0} for k, w in enumerate(content.decode().split())]
-
-        return read
-
-    got = [(r.book, r.text, r.error) for r in adapters.words_from_files(files, reader).orderBy("book", "word_no").collect()]
-    assert got == [("bad", None, "broken"), ("good", "x", None), ("good", "y", None)]
+                raise OSError("cannot open")
+            texts = content.decode().split("|")
+
+            def read(number):
+                if texts[number - 1] == "broken":
+                    raise OSError("bad page")
+                words = [{"word_no": k, "text": w, "x0": 10.0 * k, "x1": 10.0 * k + 5, "top": 0.0, "bottom": 1.0} for k, w in enumerate(texts[number - 1].split())]
+                box = {"table_no": 1, "row_no": 1, "x0": 0.0, "top": 0.0, "x1": 8.0, "bottom": 9.0, "table_x0": 0.0, "table_top": 0.0, "table_x1": 8.0, "table_bottom": 9.0}
+                boxes = [{**box, "col_no": 1}, {**box, "col_no": 2, "x0": None, "top": None, "x1": None, "bottom": None}]
+                return {"page_w": 100.0, "page_h": 100.0, "words": words, "boxes": boxes, "structure_error": "no lines" if number == 3 else None}
+
+            return len(texts), read
+
+        return opened
+
+    pages = adapters.pages_from_files(files, reader, max_pages=3).persist()
+    assert {(r.book, r.error) for r in adapters.book_errors(pages).collect()} == {("bad", "cannot open"), ("long", "PDF has too many pages: 4. Max allowed: 3")}
+    words = adapters.words_of(pages)
+    assert [(r.page, r.text) for r in words.orderBy("page", "word_no").collect()] == [(1, "x"), (1, "y"), (3, "z")]
+    assert [(r.page, r.error, r.structure_error) for r in adapters.listed(pages).orderBy("page").collect()] == [(1, None, None), (2, "bad page", None), (3, None, "no lines")]
+    cells = tables.cells_of(words, adapters.boxes_of(pages)).where("page = 1").orderBy("col_no").collect()
+    assert [(r.text, r.top, r.page_w) for r in cells] == [("", 0.0, 100.0), (None, None, 100.0)]  # one letter is noise
+    asked = spark.createDataFrame([("good", "good.pdf", None, None, None)], "book string, filename string, title string, course string, grade string")
+    lib = engine.run(engine.Library(asked, words, tables.cells_of(words, adapters.boxes_of(pages)), spark.createDataFrame([], OCR), listed=adapters.listed(pages)))
+    got = {r.page: (r.method, r.needs_review, r.warnings) for r in lib["pages"].collect()}
+    assert got[1] == ("pdfplumber_positional", True, ["LOW_TEXT_MAY_NEED_OCR"]) and got[3][0] == "empty" and got[2] == ("failed", False, ["PAGE_EXTRACTION_FAILED: bad page"])
+    assert lib["counts"].first().total_pages == 3
+    lib.release()
     images = spark.createDataFrame([("b", 1, b"i"), ("b", 2, b"")], "book string, page int, image binary")
     seen = adapters.recognised(images, lambda: lambda i: ("t", 80.0) if i else 1 / 0).orderBy("page").collect()
     assert seen[0].text == "t" and "division" in seen[1].error
@@ -173,3 +213,62 @@ def test_job_stream(spark, tmp_path):
     q = streams.arrivals_per_window(stream).writeStream.outputMode("complete").format("memory").queryName("arrivals").option("checkpointLocation", f"file://{tmp_path}/cp2").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.sql("select sum(n) as n from arrivals").first().n == len(rows)
+
+
+class FakePdf:
+    """What the optional library gives for one page with a table."""
+
+    class Page:
+        width, height = 600, 800
+
+        def __init__(self, broken):
+            self.broken = broken
+
+        def extract_words(self, **_):
+            line = "متن صفحه که باید به اندازه کافی بلند باشد تا خوانده شود".split()
+            return [{"text": w[::-1], "x0": 500 - 40 * k, "x1": 530 - 40 * k, "top": 300, "bottom": 310, "size": 12, "fontname": "f", "non_stroking_color": 0} for k, w in enumerate(line)] + [
+                {"text": "ab", "x0": 12, "x1": 20, "top": 12, "bottom": 18, "size": 12, "fontname": "f", "non_stroking_color": (0, 0, 0)}
+            ]
+
+        def find_tables(self):
+            from types import SimpleNamespace as N
+
+            if self.broken:
+                raise RuntimeError("no lines")
+            return [N(bbox=(10, 10, 100, 50), rows=[N(cells=[(10, 10, 50, 30), (50, 10, 100, 30)]), N(cells=[(10, 30, 50, 50), None])])]
+
+    def __init__(self, n):
+        self.pages = [self.Page(k == 1) for k in range(n)]
+
+
+def test_pages_and_regions_of_the_optional_library(monkeypatch):
+    import sys
+    from types import SimpleNamespace as N
+
+    monkeypatch.setitem(sys.modules, "pdfplumber", N(open=lambda f: FakePdf(len(f.read()))))
+    count, read = adapters.pdf_reader()(b"12")
+    one, two = read(1), read(2)
+    assert count == 2 and one["words"][0]["color"] == [0.0] and one["words"][-1]["color"] == [0.0, 0.0, 0.0]
+    assert [(b["row_no"], b["col_no"], b["x0"]) for b in one["boxes"]] == [(1, 1, 10.0), (1, 2, 50.0), (2, 1, 10.0), (2, 2, None)]
+    assert one["boxes"][0]["table_bottom"] == 50.0 and two["boxes"] == [] and two["structure_error"] == "no lines" and len(two["words"]) == len(one["words"])
+
+
+def test_command_line_resolves_names_and_writes_a_file_each(spark, tmp_path, capsys):
+    import cli
+
+    rows = page("b", 1, ["این متن بدنه کتاب است و باید کافی باشد"]) + page("x", 1, ["متن"])
+    spark.createDataFrame(rows, WORDS).write.parquet(f"file://{tmp_path}/words")
+    spark.createDataFrame([], CELLS).write.parquet(f"file://{tmp_path}/cells")
+    asked = [("b", "in/b.pdf", "", None, None), ("c", "c.txt", None, None, None), ("d", "d.pdf", "a ?? b", None, None)]
+    spark.createDataFrame(asked, "book string, filename string, title string, course string, grade string").write.parquet(f"file://{tmp_path}/asked")
+    (tmp_path / "side").mkdir()
+    (tmp_path / "side" / "b.meta.json").write_text('{"book_title": "", "course": "علوم"}', encoding="utf-8")
+    u = f"file://{tmp_path}"
+    assert cli.main([f"{u}/asked", f"{u}/out", "--words", f"{u}/words", "--cells", f"{u}/cells", "--sidecars", f"{u}/side"]) == 1
+    doc = json.loads((tmp_path / "out" / "json" / "b.json").read_text(encoding="utf-8"))
+    assert doc["metadata"]["title"] == "b" and doc["metadata"]["course"] == "علوم" and len(doc["pages"]) == 1
+    assert (tmp_path / "out" / "markdown" / "b.md").exists()
+    said = capsys.readouterr().out
+    assert "'total': 3, 'ok': 1, 'failed': 2" in said and "عنوان: b" in said
+    with pytest.raises(SystemExit):
+        cli.main([f"{u}/asked", f"{u}/out"])

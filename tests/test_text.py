@@ -23,7 +23,7 @@ def samples(n=1500, seed=3):
 
 
 def test_numbers_and_glyph_order(spark):
-    words = samples() + ["هعماج", "2٩", "(۱۲).", "Word", "۱۲٬", "", "."]
+    words = samples() + ["هعماج", "2٩", "१२", "𝟗5", "(๔๕)", "(۱۲).", "Word", "۱۲٬", "", "."]
 
     def number(w):
         s = w.strip(".,:;()[]{}٫٬")

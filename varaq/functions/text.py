@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,12 +16,8 @@ SPACE = r"\t\n\x0b\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2
 SCRIPT = r"[\x{600}-\x{6ff}\x{200c}\x{200f}]"
 #: Punctuation that may stand around a number.
 AROUND_NUMBERS = r"[.,:;()\[\]{}\x{66b}\x{66c}]"
-TATWEEL = "\u0640"
 #: Letters and what they become; the tatweel goes.
-LETTERS_FROM = "\u064a\u0649\u0643\u06c0\u0629\u0624\u0625\u0623\u0671" + TATWEEL
-LETTERS_TO = "\u06cc\u06cc\u06a9\u0647\u0647\u0648\u0627\u0627\u0627"
-DIGITS_FROM = "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669\u06f0\u06f1\u06f2\u06f3\u06f4\u06f5\u06f6\u06f7\u06f8\u06f9"
-DIGITS_TO = "01234567890123456789"
+LETTERS = {"ي": "ی", "ى": "ی", "ك": "ک", "ۀ": "ه", "ة": "ه", "ؤ": "و", "إ": "ا", "أ": "ا", "ٱ": "ا", "ـ": ""}
 CHAPTER, LESSON = "فصل", "درس"
 ORDINALS = {
     "اول": 1,
@@ -55,9 +54,15 @@ CAPTION_KEYS = {
 }
 
 
+#: The decimal digits of all scripts, and the same characters that SPACE is a class of.
+DIGITS = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_IN_LINE = SPACE.replace(r"\n\x0b", r"\x0b")  # white space that ends no line
+
+
 def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def is_blank(c: Column) -> Column:
@@ -73,8 +78,8 @@ def is_number(c: Column) -> Column:
 
 
 def digits_to_int(c: Column) -> Column:
-    """The digits of any of the three scripts as one number; null without digits or beyond a long."""
-    plain = F.translate(F.regexp_replace(c, r"[^\p{Nd}]", ""), DIGITS_FROM, DIGITS_TO)
+    """The digits, of whatever script, as one number; null without digits or beyond a long."""
+    plain = F.translate(F.regexp_replace(c, r"[^\p{Nd}]", ""), "".join(DIGITS), "".join(str(unicodedata.decimal(x)) for x in DIGITS))
     return plain.try_cast("bigint")
 
 
@@ -91,7 +96,8 @@ def fix_brackets(c: Column) -> Column:
 
 
 def normalise_letters(c: Column) -> Column:
-    return F.translate(c, LETTERS_FROM, LETTERS_TO)
+    kept = {k: v for k, v in LETTERS.items() if v}  # translate drops what has no counterpart, at the end
+    return F.translate(c, "".join([*kept, *(k for k in LETTERS if k not in kept)]), "".join(kept.values()))
 
 
 def normalise_spaces(c: Column) -> Column:
@@ -100,10 +106,12 @@ def normalise_spaces(c: Column) -> Column:
 
 
 def drop_noise_lines(c: Column) -> Column:
-    """Lines of one character, or of digits, white space and rules only, go."""
-    noise = rf"\A[\p{{Nd}}{SPACE}\x{{2013}}\x{{2014}}_.:|/\\-]+\z"
-    lines = F.transform(F.split(c, "\n", -1), strip)
-    return F.array_join(F.filter(lines, lambda x: (F.length(x) > 1) & ~x.rlike(noise)), "\n")
+    """Lines of one character, or of digits, white space and rules only, go; the rest is stripped line by line.
+
+    Three replacements over the whole text, each in one pass: possessive runs that begin where a run begins."""
+    stripped = F.regexp_replace(c, rf"(?<![^\n])[{_IN_LINE}]++|(?<![{_IN_LINE}])[{_IN_LINE}]++(?![^\n])", "")
+    noise = rf"(?<![^\n])(?:[\p{{Nd}}{_IN_LINE}\x{{2013}}\x{{2014}}_.:|/\\-]*+|[^\n])(?:\n|\z)"
+    return F.regexp_replace(F.regexp_replace(stripped, noise, ""), r"\n\z", "")
 
 
 def clean(c: Column) -> Column:

@@ -37,7 +37,7 @@ def page_items(lines: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def blocks_of(lines: DataFrame, tables: DataFrame) -> DataFrame:
-    """book, page, block_index, id, type, text, confidence, reason, rows, fill_ratio.
+    """book, page, block_index, id, type, text, confidence, reason, rows, fill_ratio, top, source (both of tables only).
 
     Paragraph lines that follow each other become one block; headings and tables stand alone.
     """
@@ -49,16 +49,19 @@ def blocks_of(lines: DataFrame, tables: DataFrame) -> DataFrame:
     items = items.withColumn("block_index", F.sum(F.col("starts").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("top", "kind", "seq", "text"))), lambda x: x["text"]), "\n")
     one = lambda c: F.first(c).alias(c)  # noqa: E731  every column but the text is the same in a block, or not shown
-    out = items.groupBy(*PAGE, "block_index").agg(text.alias("raw"), one("flowing"), one("kind"), one("type"), one("confidence"), one("reason"), one("rows"), one("fill_ratio"))
+    out = items.groupBy(*PAGE, "block_index").agg(text.alias("raw"), one("flowing"), one("kind"), one("type"), one("confidence"), one("reason"), one("rows"), one("fill_ratio"), F.min("top").alias("top"))
+    bordered = F.col("kind") == 1
     return out.select(
         "book",
         "page",
         "block_index",
         F.concat_ws("-", F.col("page").cast("string"), F.col("block_index").cast("string")).alias("id"),
         "type",
-        F.when(F.col("kind") == 1, F.col("raw")).otherwise(clean(F.col("raw"))).alias("text"),
+        F.when(bordered, F.col("raw")).otherwise(clean(F.col("raw"))).alias("text"),
         F.when(~F.col("flowing"), F.bround("confidence", 2)).alias("confidence"),
         F.when(~F.col("flowing"), F.col("reason")).alias("reason"),
         "rows",
         "fill_ratio",
+        F.when(bordered, F.col("top")).alias("top"),
+        F.when(bordered, "bordered_region").alias("source"),
     )

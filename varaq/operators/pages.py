@@ -9,9 +9,18 @@ from varaq.config import SETTINGS
 from varaq.functions.text import clean
 from varaq.operators.lines import PAGE
 
+EXTRACTION_FAILED, STRUCTURE_FAILED = "PAGE_EXTRACTION_FAILED: ", "BLOCK_STRUCTURING_FAILED: "
 LOW, UNAVAILABLE, LOW_CONFIDENCE, RECOVERED, FAILED = "LOW_TEXT_MAY_NEED_OCR", "OCR_UNAVAILABLE_ON_THIS_MACHINE", "OCR_LOW_CONFIDENCE:", "RECOVERED_VIA_OCR", "OCR_FAILED: "
 
 
+def with_all_pages(texts: DataFrame, listed: DataFrame) -> DataFrame:
+    """texts (book, page, text) with the listed pages that have no words (empty) and with what went wrong on a page.
+
+    listed: book, page, error (the page could not be read), structure_error (its tables could not).
+    """
+    return listed.select(*PAGE, "error", "structure_error").join(texts, [*PAGE], "full").withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def needs_ocr(texts: DataFrame) -> DataFrame:
     """Pages to run recognition on; filter first, so that the costly step sees only these."""
     return texts.where(F.length("text") < SETTINGS.min_chars)
@@ -20,37 +29,48 @@ def needs_ocr(texts: DataFrame) -> DataFrame:
 def page_status(texts: DataFrame, ocr: DataFrame, use_ocr: bool = True, engine: bool = True, available: bool = True) -> DataFrame:
     """texts (book, page, text) with method, needs_review and warnings.
 
-    ocr: book, page, text, confidence, error of the pages that recognition ran on.
+    ocr: book, page, text, confidence, error of the pages that recognition ran on. A page with an error of its own has
+    failed: no text, no recognition; one with a structure_error keeps its text and has no blocks.
     """
+    for c in ("error", "structure_error"):
+        if c not in texts.columns:
+            texts = texts.withColumn(c, F.lit(None).cast("string"))
+    texts = texts.withColumn("text", F.when(F.col("error").isNull(), F.col("text")).otherwise(""))
+    broken = F.col("error").isNotNull()
     got = ocr.select(*PAGE, clean(F.col("text")).alias("ocr_text"), F.col("confidence").alias("ocr_conf"), F.col("error").alias("ocr_error"))
     p = texts.join(got, [*PAGE], "left")
-    short = F.length("text") < SETTINGS.min_chars
+    short = ~broken & (F.length("text") < SETTINGS.min_chars)
     runs = F.lit(use_ocr and engine and available)
     failed = short & runs & F.col("ocr_error").isNotNull()
     better = short & runs & F.col("ocr_error").isNull() & (F.length(F.coalesce("ocr_text", F.lit(""))) > F.length("text"))
     final = F.when(better, F.col("ocr_text")).otherwise(F.col("text"))
     warnings = F.array_compact(
         F.array(
+            F.when(broken, F.concat(F.lit(EXTRACTION_FAILED), F.col("error"))),
             F.when(short, LOW),
             F.when(short & F.lit(use_ocr and engine and not available), UNAVAILABLE),
             F.when(better & (F.col("ocr_conf") < SETTINGS.low_confidence), F.concat(F.lit(LOW_CONFIDENCE), F.format_string("%.1f", F.bround("ocr_conf", 1)))),
             F.when(better, RECOVERED),
             F.when(failed, F.concat(F.lit(FAILED), F.col("ocr_error"))),
+            F.when(~broken & ~better & (final != "") & F.col("structure_error").isNotNull(), F.concat(F.lit(STRUCTURE_FAILED), F.col("structure_error"))),
         )
     )
     return p.select(
         *PAGE,
         final.alias("text"),
         F.length(final).alias("char_count"),
-        F.when(better, "ocr_tesseract").when(final == "", "empty").otherwise("pdfplumber_positional").alias("method"),
-        (F.length(final) < SETTINGS.min_chars).alias("needs_review"),
+        F.when(broken, "failed").when(better, "ocr_tesseract").when(final == "", "empty").otherwise("pdfplumber_positional").alias("method"),
+        (~broken & (F.length(final) < SETTINGS.min_chars)).alias("needs_review"),
         warnings.alias("warnings"),
     )
 
 
 def page_blocks(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     """The blocks that stay: structured ones of pages read by position, one plain block of recognised pages."""
-    own = blocks.join(pages.where("method = 'pdfplumber_positional'").select(*PAGE), [*PAGE], "left_semi").withColumn("source", F.lit(None).cast("string"))
+    read = pages.where((F.col("method") == "pdfplumber_positional") & ~F.exists("warnings", lambda w: w.startswith(STRUCTURE_FAILED)))
+    own = blocks.join(read.select(*PAGE), [*PAGE], "left_semi")
+    if "source" not in blocks.columns:
+        own = own.withColumn("source", F.lit(None).cast("string"))
     plain = pages.where("method = 'ocr_tesseract' and text <> ''").select(
         *PAGE, F.lit(1).alias("block_index"), F.concat(F.col("page").cast("string"), F.lit("-1")).alias("id"), F.lit("paragraph").alias("type"), "text", F.lit("ocr_fallback").alias("source")
     )
@@ -74,7 +94,3 @@ def document_warning(counts: DataFrame, use_ocr: bool) -> DataFrame:
     off = " page(s) had no extractable text; OCR was disabled for this run and the page(s) may need manual review."
     text = F.concat(F.col("without_text").cast("string"), F.lit(after if use_ocr else off))
     return counts.select("book", F.when(F.col("without_text") > 0, text).alias("warning"))
-
-
-def too_long(counts: DataFrame, limit: int = SETTINGS.max_pages) -> DataFrame:
-    return counts.where(F.col("total_pages") > limit)

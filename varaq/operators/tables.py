@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varaq.config import SETTINGS
-from varaq.functions.text import is_blank
+from varaq.functions.text import clean, is_blank
+from varaq.operators.lines import region_text
 
 TABLE = ("book", "page", "table_no")
 
@@ -76,3 +77,13 @@ def words_in_cells(words: DataFrame, boxes: DataFrame) -> DataFrame:
     x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
     inside = (x >= F.col("_x0")) & (x < F.col("_x1")) & (y >= F.col("_top")) & (y < F.col("_bottom"))
     return words.join(b, ["book", "page"]).where(inside).drop("_x0", "_top", "_x1", "_bottom")
+
+
+def cells_of(words: DataFrame, boxes: DataFrame) -> DataFrame:
+    """cells, as table_stats() takes them, from the words of the pages and the boxes of their cells.
+
+    boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom (null: no such cell) and the columns of a table.
+    """
+    keys = (*TABLE, "row_no", "col_no")
+    text = region_text(words_in_cells(words, boxes.where("x0 is not null")), keys).select(*keys, clean(F.col("text")).alias("text"))
+    return boxes.join(text, [*keys], "left").select(*keys, F.when(F.col("x0").isNotNull(), F.coalesce("text", F.lit(""))).alias("text"), "top", "table_x0", "table_top", "table_x1", "table_bottom", "page_w", "page_h")

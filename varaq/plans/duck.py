@@ -1,16 +1,28 @@
-"""The engine's text functions and relations as DuckDB SQL, written on their own, to hold results against."""
+"""The engine's text functions and relations as DuckDB SQL, spelt on their own, to hold results against: what the
+classes, words and tables of the engine are is written here once more, so that a slip there shows."""
 
 from __future__ import annotations
 
-from varaq.functions.text import AROUND_NUMBERS, CAPTION_KEYS, CHAPTER, DIGITS_FROM, DIGITS_TO, LESSON, LETTERS_FROM, LETTERS_TO, ORDINALS, SCRIPT, SPACE
-from varaq.operators.jobs import LABELS
-from varaq.operators.outline import _ENTRY as ENTRY
-from varaq.functions.rules import RELATION_TYPES, RUNNING, TERMINAL
-from varaq.plans.inputs import DUCK, with_tables
-
-S = SPACE
+import re
 
+from varaq.plans.inputs import DUCK, with_tables
 
+# Fixed values that results depend on.
+S = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x{85}\x{a0}\x{1680}\x{2000}\x{2001}\x{2002}\x{2003}\x{2004}\x{2005}\x{2006}\x{2007}\x{2008}\x{2009}\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SCRIPT = r"[\x{200c}\x{200f}\x{600}-\x{6ff}]"
+AROUND_NUMBERS = r"[(){}\[\].,:;٫٬]"
+CHAPTER, LESSON = "فصل", "درس"
+ORDINALS = dict(
+    zip("اول دوم سوم چهارم پنجم ششم هفتم هشتم نهم دهم یازدهم دوازدهم سیزدهم چهاردهم پانزدهم شانزدهم هفدهم هجدهم نوزدهم بیستم".split(), range(1, 21), strict=True)
+) | {"یکم": 1}
+CAPTION_KEYS = {"book_title": "book_title title عنوان", "course": "course درس رشته", "grade": "grade پایه"}
+ENTRY = rf"\A(.+?)\.{{2,}}[{S}]*([0-9٠-٩۰-۹]+)[{S}]*\z"
+STATES = {
+    "received": "✅ فایل دریافت شد", "validating": "🔎 در حال اعتبارسنجی فایل", "queued": "⏳ در صف پردازش", "downloading": "📥 در حال آماده‌سازی فایل", "ready": "✅ فایل آماده پردازش است",
+    "processing": "⚙️ در حال پردازش", "extracting": "📖 در حال استخراج متن", "ocr": "🔎 در حال اجرای OCR", "exporting": "📦 در حال ساخت خروجی‌ها", "completed": "✅ پردازش کامل شد",
+    "failed": "❌ پردازش ناموفق بود", "cancel_requested": "🛑 درخواست لغو ثبت شد", "cancelled": "🛑 پردازش لغو شد",
+}
+RELATION_TYPES = ("prerequisite", "depends_on", "parent", "child", "related", "similar", "opposite", "frequently_confused")
 def sub(e: str, pattern: str, to: str) -> str:
     return f"regexp_replace({e}, '{pattern}', '{to}', 'g')"
 
@@ -32,7 +44,8 @@ def is_number(e: str) -> str:
 
 
 def digits_to_int(e: str) -> str:
-    return f"try_cast(translate({sub(e, r'[^\p{Nd}]', '')}, '{DIGITS_FROM}', '{DIGITS_TO}') as bigint)"
+    """Of the scripts that the inputs have."""
+    return f"try_cast(translate({sub(e, r'[^\p{Nd}]', '')}, '٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹', '01234567890123456789') as bigint)"
 
 
 def reverse(e: str) -> str:
@@ -49,7 +62,7 @@ def fix_brackets(e: str) -> str:
 
 
 def letters(e: str) -> str:
-    return f"translate({e}, '{LETTERS_FROM}', '{LETTERS_TO}')"
+    return f"translate({e}, 'يىكۀةؤإأٱـ', 'ییکههوااا')"
 
 
 def spaces(e: str) -> str:
@@ -81,7 +94,7 @@ def label(e: str, k: int) -> str:
 
 
 def entry(e: str, k: int) -> str:
-    return f"regexp_extract({e}, '{ENTRY.replace('(?d)', '')}', {k})"
+    return f"regexp_extract({e}, '{ENTRY}', {k})"
 
 
 def grey(c: str) -> str:
@@ -155,9 +168,12 @@ TABLES = DUCK | {
         ("islands",),
         f"select book, page, block_index::bigint as block_index, concat(page, '-', block_index::bigint) as id, any_value(type) as type, case when any_value(kind) = 1 then string_agg(text, '\n' order by top, kind, seq) else "
         f"{clean(chr(39).join(['string_agg(text, ', chr(10), ' order by top, kind, seq)']))} end as text, case when not any_value(flowing) then round_even(any_value(confidence), 2) end as confidence, "
-        "case when not any_value(flowing) then any_value(reason) end as reason, any_value(fill_ratio) as fill_ratio from islands group by book, page, block_index",
+        "case when not any_value(flowing) then any_value(reason) end as reason, any_value(fill_ratio) as fill_ratio, case when any_value(kind) = 1 then min(top) end as top, case when any_value(kind) = 1 then 'bordered_region' end as source from islands group by book, page, block_index",
+    ),
+    "short_text": (
+        ("page_text", "listed"),
+        "select book, page, case when error is null then coalesce(text, '') else '' end as text, error, structure_error from page_text full join listed using (book, page)",
     ),
-    "short_text": (("page_text",), "select book, page, case when page % 9 = 0 then substring(text, 1, page % 40) else text end as text from page_text"),
     "page_ocr": (
         ("short_text",),
         "select book, page, case page % 4 when 0 then 'x' when 1 then null else concat(repeat('کتاب ', page % 9 + 1), text) end as text, case when page % 5 = 0 then null else 40e0 + page % 10 + 0.25e0 end as confidence, "
@@ -165,15 +181,16 @@ TABLES = DUCK | {
     ),
     "pages_seen": (
         ("short_text", "page_ocr"),
-        f"select p.book, p.page, p.text as own, {clean('o.text')} as ocr_text, o.confidence as conf, o.error as err, length(p.text) < 30 as short, "
-        f"length(p.text) < 30 and o.error is null and length({clean('o.text')}) > length(p.text) as better from short_text p left join page_ocr o using (book, page)",
+        f"select p.book, p.page, p.text as own, p.error as broken, p.structure_error, {clean('o.text')} as ocr_text, o.confidence as conf, o.error as err, p.error is null and length(p.text) < 30 as short, "
+        f"p.error is null and length(p.text) < 30 and o.error is null and length({clean('o.text')}) > length(p.text) as better from short_text p left join page_ocr o using (book, page)",
     ),
     "page_status": (
         ("pages_seen",),
         "select book, page, case when better then ocr_text else own end as text, length(case when better then ocr_text else own end) as char_count, "
-        "case when better then 'ocr_tesseract' when own = '' then 'empty' else 'pdfplumber_positional' end as method, length(case when better then ocr_text else own end) < 30 as needs_review, "
-        "concat_ws('|', case when short then 'LOW_TEXT_MAY_NEED_OCR' end, case when better and conf < 45 then concat('OCR_LOW_CONFIDENCE:', printf('%.1f', conf)) end, case when better then 'RECOVERED_VIA_OCR' end, "
-        "case when short and err is not null then concat('OCR_FAILED: ', err) end) as warnings from pages_seen",
+        "case when broken is not null then 'failed' when better then 'ocr_tesseract' when own = '' then 'empty' else 'pdfplumber_positional' end as method, broken is null and length(case when better then ocr_text else own end) < 30 as needs_review, "
+        "concat_ws('|', case when broken is not null then concat('PAGE_EXTRACTION_FAILED: ', broken) end, case when short then 'LOW_TEXT_MAY_NEED_OCR' end, case when better and conf < 45 then concat('OCR_LOW_CONFIDENCE:', printf('%.1f', conf)) end, case when better then 'RECOVERED_VIA_OCR' end, "
+        "case when short and err is not null then concat('OCR_FAILED: ', err) end, "
+        "case when broken is null and not better and own <> '' and structure_error is not null then concat('BLOCK_STRUCTURING_FAILED: ', structure_error) end) as warnings from pages_seen",
     ),
     "counts": (
         ("page_status",),
@@ -247,11 +264,27 @@ TABLES = DUCK | {
     "md_rows": (("accepted",), "select book, page, table_no, rows, list_max(list_transform(rows, lambda r: len(r))) as w from accepted"),
 }
 
-CAPTION_KEY = "case lower(" + strip("split_part(line, ':', 1)") + ") " + " ".join(f"when '{k}' then '{v}'" for k, v in CAPTION_KEYS.items()) + " end"
+#: The same chain from tables to blocks over the lines and tables of whole books.
+_CHAIN = {"cells": "page_cells", "cell_lines": "classified"} | {k: f"book_{k}" for k in ("table_rows", "tables", "accepted", "labelled", "outside", "items", "islands", "blocks", "md_rows")}
+
+
+def _over_books(sql: str) -> str:
+    return re.sub(r"\b(from|join) (\w+)\b", lambda m: f"{m[1]} {_CHAIN.get(m[2], m[2])}", sql)
+
+
+TABLES |= {_CHAIN[k]: (tuple(_CHAIN.get(n, n) for n in TABLES[k][0]), _over_books(TABLES[k][1])) for k in _CHAIN if k in TABLES and k not in ("cells", "cell_lines")}
+TABLES["page_blocks"] = (
+    ("book_blocks", "page_status"),
+    "select b.* from book_blocks b join page_status s using (book, page) where s.method = 'pdfplumber_positional' and not contains(s.warnings, 'BLOCK_STRUCTURING_FAILED') "
+    "union all by name select book, page, 1::bigint as block_index, concat(page, '-1') as id, 'paragraph' as type, text, 'ocr_fallback' as source from page_status where method = 'ocr_tesseract' and text <> ''",
+)
+
+CAPTION_KEY = "case lower(" + strip("split_part(line, ':', 1)") + ") " + " ".join(f"when '{k}' then '{v}'" for v, ks in CAPTION_KEYS.items() for k in ks.split()) + " end"
 LINE = _LINE
 ROLE_COUNTS = ", ".join(f"count(*) filter (where role = '{r}') as {r}s" for r in ("chapter", "lesson", "subtopic"))
-STATE_LABEL = "case state " + " ".join(f"when '{k}' then '{v}'" for k, v in LABELS.items()) + " end"
-IN_TERMINAL, IN_RUNNING = f"state in ({quoted(TERMINAL)})", f"state in ({quoted(RUNNING)})"
+STATE_LABEL = "case state " + " ".join(f"when '{k}' then '{v}'" for k, v in STATES.items()) + " end"
+IN_TERMINAL = "state in ('completed', 'failed', 'cancelled')"
+IN_RUNNING = "state in ('downloading', 'ready', 'processing', 'extracting', 'ocr', 'exporting', 'cancel_requested')"
 
 
 def query(select: str, *needed: str) -> str:

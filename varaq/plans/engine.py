@@ -21,6 +21,8 @@ class Library:
     cells: DataFrame
     ocr: DataFrame
     use_ocr: bool = True
+    #: All pages, as operators.pages.with_all_pages() takes them; without it those that have words.
+    listed: DataFrame | None = None
     relations: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -43,7 +45,10 @@ class Cancelled(RuntimeError):
 
 def extract_pages(lib: Library) -> dict[str, DataFrame]:
     styled = lines.classify(lines.lines_of(lib.words)).persist()
-    status = pages.page_status(lines.page_texts(styled), lib.ocr, lib.use_ocr)
+    texts = lines.page_texts(styled)
+    if lib.listed is not None:
+        texts = pages.with_all_pages(texts, lib.listed)
+    status = pages.page_status(texts, lib.ocr, lib.use_ocr)
     boxes = tables.labelled(tables.accepted(tables.table_stats(lib.cells)))
     return {"lines": styled, "pages": status, "blocks": pages.page_blocks(status, blocks.blocks_of(styled, boxes))}
 
@@ -66,7 +71,7 @@ def build_lessons(lib: Library) -> dict[str, DataFrame]:
 def export(lib: Library) -> dict[str, DataFrame]:
     meta = lib.requests.select("book", "filename", "title", "course", "grade")
     return {
-        "json": render.json_documents(meta, lib["pages"], lib["blocks"]),
+        "json": render.json_documents(meta, lib["pages"], lib["blocks"], lib["warnings"]),
         "markdown": render.markdown_documents(meta, lib["counts"], lib["warnings"], render.markdown_pages(lib["pages"], lib["blocks"])),
     }
 
@@ -102,12 +107,20 @@ def with_graph(lib: Library, responses: DataFrame) -> Library:
     found = graph.concepts(responses)
     bad = found.where("error is not null").select("book", "lesson_order").distinct()
     good = responses.join(bad, ["book", "lesson_order"], "left_anti")
-    vertices, edges = graph.concepts(good), graph.relationships(good)
+    sources = lib["lessons"], lib.requests
+    vertices, edges = graph.with_sources(graph.concepts(good), *sources), graph.with_sources(graph.relationships(good), *sources)
     meta = lib.requests.select("book", "title", "course", "grade")
     lib.relations |= {"concepts": vertices, "relationships": edges, "failed_lessons": bad, "graph": render.graph_documents(vertices, edges, meta)}
     return lib
 
 
-def summary(lib: Library) -> DataFrame:
-    n = lib["outline"].groupBy("book").agg(F.count_if(F.col("role") == "chapter").alias("chapters"), F.count_if(F.col("role") == "lesson").alias("lessons"))
-    return lib.requests.select("book").join(lib["counts"], "book", "left").join(n, "book", "left").fillna(0)
+def summary(lib: Library, out: str = "") -> DataFrame:
+    """One row a request: its names, counts, whether it has pages (ok), warnings, and the paths of its files below out."""
+    role = lambda name: F.count_if(F.col("role") == name).alias(f"{name}s")
+    n = lib["outline"].groupBy("book").agg(role("chapter"), role("lesson"), role("subtopic"))
+    nothing = lib.requests.limit(0).select("book")
+    rows = render.summaries(lib.requests.select("book", "filename", "title"), lib["counts"], n, lib.relations.get("concepts", nothing), lib.relations.get("relationships", nothing))
+    rows = rows.join(lib["warnings"], "book", "left").withColumn("warnings", F.array_compact(F.array("warning"))).drop("warning")
+    file = lambda kind, ending, there: F.when(there, F.concat(F.lit(f"{out}/{kind}/"), "book", F.lit(ending)))
+    paths = {"json_path": ("json", ".json", F.col("ok")), "markdown_path": ("markdown", ".md", F.col("ok")), "seed_path": ("seed", ".seed.json", F.col("chapters") > 0), "graph_path": ("graph", ".graph.json", F.col("concepts") > 0)}
+    return rows.withColumns({k: file(*v) for k, v in paths.items()})

@@ -35,18 +35,51 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over the cores where a scan has few splits: texts are costly to work on, and one row group is one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def documents_fa(spark, sf) -> DataFrame:
-    return read(spark, sf, "documents").select("doc_id", "source", F.expr(FA_TEXT).alias("text"))
+    return spread(read(spark, sf, "documents")).select("doc_id", "source", F.expr(FA_TEXT).alias("text"))
 
 
 def tokens(spark, sf) -> DataFrame:
     """Distinct tokens of all texts."""
-    t = read(spark, sf, "documents").select("doc_id", F.posexplode(F.split(F.translate("text", "\n", " "), " ")).alias("pos", "w"))
+    t = spread(read(spark, sf, "documents")).select("doc_id", F.posexplode(F.split(F.translate("text", "\n", " "), " ")).alias("pos", "w"))
     return t.select(F.expr(TOKEN).alias("w")).distinct()
 
 
+#: Beside its whole texts, every book has short pages: the first words of some pages once more.
+SHORT = 1_000_000
+_SHORT_OF = "page % 9 = 0 and word_no < page % 7"
+
+
 def words(spark, sf) -> DataFrame:
-    d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"), F.posexplode(F.split("text", "\n")).alias("ln", "line"))
+    whole = _whole_pages(spark, sf)
+    return whole.unionByName(whole.where(_SHORT_OF).withColumn("page", (F.col("page") + SHORT).cast("int")))
+
+
+def listed(spark, sf) -> DataFrame:
+    """All pages of the books; some without words, some that could not be read, some whose tables could not."""
+    d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"))
+    more = d.where("page % 25 = 0").withColumn("page", (F.col("page") + 2 * SHORT).cast("int"))
+    own = d.select("*", F.lit(None).cast("string").alias("error"), F.expr("case when page % 31 = 0 then 'no tables' end").alias("structure_error"))
+    return own.unionByName(more.select("*", F.expr("case when page % 50 = 0 then 'broken page' end").alias("error"), F.lit(None).cast("string").alias("structure_error")))
+
+
+def page_cells(spark, sf) -> DataFrame:
+    """A table of two rows on some pages of words()."""
+    d = read(spark, sf, "documents").where("doc_id % 6 = 0").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"))
+    g = d.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("row_no")).select("*", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("col_no"))
+    text = "case when (page + row_no * col_no) % 3 = 0 or page % 4 = 0 and col_no > 1 then '' else concat('c', row_no, '|', col_no, ' ', page) end"
+    box = {"table_x0": 0.0, "table_top": 30.0, "table_x1": 100.0, "table_bottom": 60.0, "page_w": 600.0, "page_h": 800.0}
+    return g.select("book", "page", F.lit(1).alias("table_no"), "row_no", "col_no", F.expr(text).alias("text"), F.expr("30e0 + row_no").alias("top"), *(F.lit(v).alias(k) for k, v in box.items()))
+
+
+def _whole_pages(spark, sf) -> DataFrame:
+    d = spread(read(spark, sf, "documents")).select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"), F.posexplode(F.split("text", "\n")).alias("ln", "line"))
     t = d.select("book", "page", "ln", F.posexplode(F.split("line", " ")).alias("tok", "w")).where("w <> ''")
     t = t.withColumn("vl", F.expr("ln * 2000 + tok div 12"))
     top = F.expr("vl * 12e0 + (tok % 3) / 2e0")
@@ -260,12 +293,13 @@ def sidecars(spark, sf) -> DataFrame:
 
 
 def captions(spark, sf) -> DataFrame:
-    c = read(spark, sf, "conversations")
-    return c.select("conv_id", "turn", F.expr(CAPTION).alias("caption"))
+    """Captions around whole texts, and around a few words."""
+    c = read(spark, sf, "conversations").select("conv_id", "turn", F.explode(F.array(F.lit(True), F.lit(False))).alias("whole"), "text")
+    return c.select("conv_id", "turn", "whole", F.expr(CAPTION).alias("caption"))
 
 
 CAPTION = (
-    "case when conv_id % 11 = 0 then '' when conv_id % 13 = 0 then null else concat(' Title : ', substring(text, 1, 30 + cast(turn % 250 as int)), '\nدرس: ', conv_id, '\nکلید: x\nتعداد\ncourse: ', "
+    "case when conv_id % 11 = 0 then '' when conv_id % 13 = 0 then null else concat(' Title : ', case when whole then text else concat('کتاب ', turn) end, '\nدرس: ', conv_id, '\nکلید: x\nتعداد\ncourse: ', "
     "case when conv_id % 3 = 0 then '??' when conv_id % 3 = 1 then '' else concat('c', turn) end, '\nپایه:', conv_id % 12) end"
 )
 
@@ -278,7 +312,7 @@ DUCK: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         "select distinct " + TOKEN + " as w from (select doc_id, generate_subscripts(a, 1) - 1 as pos, unnest(a) as w from (select doc_id, string_split(translate(text, '\n', ' '), ' ') as a from documents))",
     ),
-    "words": (
+    "whole_words": (
         (),
         "select book, page, ln * 100000 + tok as word_no, " + _WORD + " as text, 500e0 - (tok % 12) * 7e0 as x0, 506e0 - (tok % 12) * 7e0 as x1, vl * 12e0 + (tok % 3) / 2e0 as top, "
         "vl * 12e0 + (tok % 3) / 2e0 + 9 as bottom, case when (vl + page) % 11 = 5 then null when (vl + page) % 7 = 0 then 30e0 when (vl + page) % 7 = 3 then 14e0 else 12e0 end as size, "
@@ -355,7 +389,19 @@ DUCK: dict[str, tuple[tuple[str, ...], str]] = {
         "select event_id % 701 as id, event_id as seq, case when event_id % 3 = 0 then null else event_type end as state, case when event_id % 4 = 0 then cast(event_id % 50 as int) end as total_pages, "
         "case when event_id % 9 = 2 then concat('e', event_id) end as error_summary from events",
     ),
-    "captions": ((), f"select conv_id, turn, {CAPTION} as caption from conversations"),
+    "captions": ((), f"select conv_id, turn, whole, {CAPTION} as caption from conversations, (values (true), (false)) x(whole)"),
+    "words": (("whole_words",), f"select * from whole_words union all select * replace (page + {SHORT} as page) from whole_words where {_SHORT_OF}"),
+    "listed": (
+        ("whole_words",),
+        "select book, page, null::varchar as error, case when page % 31 = 0 then 'no tables' end as structure_error from (select source as book, cast(doc_id + 1 as int) as page from documents) union all "
+        f"select book, page + {2 * SHORT}, case when page % 50 = 0 then 'broken page' end, null from (select source as book, cast(doc_id + 1 as int) as page from documents) where page % 25 = 0",
+    ),
+    "page_cells": (
+        (),
+        "select book, page, 1 as table_no, row_no, col_no, case when (page + row_no * col_no) % 3 = 0 or page % 4 = 0 and col_no > 1 then '' else concat('c', row_no, '|', col_no, ' ', page) end as text, 30e0 + row_no as top, "
+        "0e0 as table_x0, 30e0 as table_top, 100e0 as table_x1, 60e0 as table_bottom, 600e0 as page_w, 800e0 as page_h "
+        "from (select source as book, cast(doc_id + 1 as int) as page from documents where doc_id % 6 = 0), (values (1), (2)) r(row_no), (values (1), (2), (3)) c(col_no)",
+    ),
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from varaq.functions import rules, text
 from varaq.operators import blocks, graph, jobs, lessons, lines, outline, pages, render, requests, tables
 from varaq.plans import duck as d
-from varaq.plans import inputs
+from varaq.plans import engine, inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,17 +61,17 @@ def q_label(spark, sf):
     return found.select("book", "line_no", "l.kind", F.col("l.order").alias("n"), "l.start", "l.rest")
 
 
-_PAIRS = f"(select conv_id, turn, pos, {d.CAPTION_KEY} as k, {d.strip(chr(10).join(['regexp_replace(line, ', '', '']).replace(chr(10), '') + chr(39) + r'\A[^:]*:' + chr(39) + ', ' + chr(39) + chr(39) + ')')} as v from (select conv_id, turn, generate_subscripts(a, 1) as pos, unnest(a) as line from (select conv_id, turn, regexp_split_to_array(caption, '\\r\\n|[\\n\\r\\x0b\\f\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]') as a from captions where length(caption) between 1 and 2000)) where contains(line, ':'))"
+_PAIRS = f"(select conv_id, turn, whole, pos, {d.CAPTION_KEY} as k, {d.strip(chr(10).join(['regexp_replace(line, ', '', '']).replace(chr(10), '') + chr(39) + r'\A[^:]*:' + chr(39) + ', ' + chr(39) + chr(39) + ')')} as v from (select conv_id, turn, whole, generate_subscripts(a, 1) as pos, unnest(a) as line from (select conv_id, turn, whole, regexp_split_to_array(caption, '\\r\\n|[\\n\\r\\x0b\\f\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]') as a from captions where length(caption) between 1 and 2000)) where contains(line, ':'))"
 
 
 @register(
     "q_caption",
-    "select c.conv_id, c.turn, " + ", ".join(f"arg_max(v, pos) filter (where k = '{k}' and length(v) between 1 and 200 and not regexp_matches(v, '\\?{{2,}}')) as {k}" for k in ("book_title", "course", "grade"))
-    + f" from captions c left join {_PAIRS} p using (conv_id, turn) group by 1, 2",
+    "select c.conv_id, c.turn, c.whole, " + ", ".join(f"arg_max(v, pos) filter (where k = '{k}' and length(v) between 1 and 200 and not regexp_matches(v, '\\?{{2,}}')) as {k}" for k in ("book_title", "course", "grade"))
+    + f" from captions c left join {_PAIRS} p using (conv_id, turn, whole) group by 1, 2, 3",
     "captions",
 )
 def q_caption(spark, sf):
-    return inputs.captions(spark, sf).select("conv_id", "turn", text.caption_fields(F.col("caption")).alias("c")).select("conv_id", "turn", "c.*")
+    return inputs.captions(spark, sf).select("conv_id", "turn", "whole", text.caption_fields(F.col("caption")).alias("c")).select("conv_id", "turn", "whole", "c.*")
 
 
 @register("q_sanitize_name", "select c_custkey, case when lower(s) like '%.pdf' then s else concat(regexp_replace(s, '^(.+)\\.[^.]*$', '\\1'), '.pdf') end as name from (select c_custkey, case when x = '' then concat('document-', c_custkey, '.pdf') else x end as s from (select c_custkey, regexp_replace(substring(regexp_replace(regexp_replace(raw, '[^\\p{L}\\p{N} ._()-]', '_', 'g'), '\\A[ ._]+|[ ._]+\\z', '', 'g'), 1, 180), '\\A[ .]+|[ .]+\\z', '', 'g') as x from (select c_custkey, case when c_custkey % 9 = 0 then concat('document-', c_custkey, '.pdf') when c_custkey % 9 = 1 then concat('../', c_name, '\\x.PDF') when c_custkey % 9 = 2 then concat(' ..', c_name, ' (1).doc ') when c_custkey % 9 = 3 then ' . ' else repeat(c_name, 12) end as raw from customer)))")
@@ -177,16 +177,23 @@ def _blocks(spark, sf):
 
 @register("q_blocks", "select book, page, block_index, id, type, text, confidence, reason, fill_ratio from blocks", "blocks")
 def q_blocks(spark, sf):
-    return _blocks(spark, sf).drop("rows")
+    return _blocks(spark, sf).drop("rows", "top", "source")
 
 
-def _short(spark, sf):
-    return lines.page_texts(_lines(spark, sf)).withColumn("text", F.expr("case when page % 9 = 0 then substring(text, 1, page % 40) else text end"))
+def _library(spark, sf) -> engine.Library:
+    """The books of the documents: whole pages, short ones, tables, recognition of what is short, pages that fail."""
+    names = inputs.read(spark, sf, "documents").select(F.col("source").alias("book")).distinct()
+    words, listed = inputs.words(spark, sf), inputs.listed(spark, sf)
+    texts = pages.with_all_pages(lines.page_texts(lines.lines_of(words)), listed)
+    return engine.Library(_meta(names), words, inputs.page_cells(spark, sf), inputs.page_ocr(pages.needs_ocr(texts.where("error is null"))), listed=listed)
+
+
+def _pages(spark, sf) -> engine.Library:
+    return engine.run(_library(spark, sf), stages=engine.STAGES[:2])
 
 
 def _status(spark, sf):
-    texts = _short(spark, sf)
-    return pages.page_status(texts, inputs.page_ocr(pages.needs_ocr(texts)))
+    return _pages(spark, sf)["pages"]
 
 
 @register("q_page_status", "select * from page_status", "page_status")
@@ -359,7 +366,7 @@ def q_batch_totals(spark, sf):
 
 @register(
     "q_summary",
-    f"select b.book, coalesce(t.total_pages, 0) as total_pages, coalesce(o.chapters, 0) as chapters, coalesce(o.lessons, 0) as lessons, coalesce(o.subtopics, 0) as subtopics, coalesce(c.n, 0) as concepts, coalesce(e.n, 0) as relationships "
+    f"select b.book, coalesce(t.total_pages, 0) as total_pages, coalesce(t.total_pages, 0) > 0 as ok, coalesce(o.chapters, 0) as chapters, coalesce(o.lessons, 0) as lessons, coalesce(o.subtopics, 0) as subtopics, coalesce(c.n, 0) as concepts, coalesce(e.n, 0) as relationships "
     f"from (select distinct book from book_pages union select distinct book from responses) b left join book_counts t using (book) left join (select book, {d.ROLE_COUNTS} from outline group by 1) o using (book) "
     "left join (select book, count(*) as n from concepts group by 1) c using (book) left join (select book, count(*) as n from edges group by 1) e using (book)",
     "book_counts",
@@ -437,9 +444,10 @@ def q_completion_text(spark, sf):
     return inputs.jobs(spark, sf).where("state = 'completed'").select("id", jobs.completion_text().alias("message"))
 
 
-@register("q_delivery_plan", "select id, case when len(output_paths) > 4 then 'zip' else 'files' end as mode, case when len(output_paths) > 4 then 1 else len(output_paths) end as parts, id % 50 = 0 as too_large, array_to_string(list_transform(warnings[:8], lambda w: substring(w, 1, 180)), chr(10)) as shown from jobs", "jobs")
+@register("q_delivery_plan", "select id, case when len(output_paths) > 4 then 'zip' else 'files' end as mode, case when len(output_paths) > 4 then 1 else len(output_paths) end as parts, case when len(output_paths) > 4 then id % 70 = 0 else id % 50 = 0 end as too_large, concat('⚠️ خلاصه هشدارها:', chr(10), array_to_string(list_transform(warnings[:8], lambda w: concat('• ', substring(w, 1, 180))), chr(10))) as message from jobs", "jobs")
 def q_delivery_plan(spark, sf):
-    plan = render.delivery_plan(F.col("output_paths"), F.expr("array(id, case when id % 50 = 0 then 2000000000000 else 1 end)"), F.col("warnings"))
+    large = lambda n: F.expr(f"case when id % {n} = 0 then 2000000000000 else 1 end")
+    plan = render.delivery_plan(F.col("output_paths"), F.array(F.lit(1).cast("bigint"), large(50).cast("bigint")), large(70), F.col("warnings"))
     return inputs.jobs(spark, sf).select("id", plan.alias("p")).select("id", "p.*")
 
 
@@ -449,11 +457,12 @@ def q_cell_words(spark, sf):
     return lines.region_text(inside, ("book", "page", "row_no", "col_no")).withColumn("text", F.replace("text", F.lit("\n"), F.lit(" ")))
 
 
-@register("q_page_blocks", "select book, page, concat(page, '-1') as id, text from page_status where method = 'ocr_tesseract' and text <> ''", "page_status")
+_BLOCK = "block_index, id, type, text, confidence, reason, fill_ratio, top, source"
+
+
+@register("q_page_blocks", f"select book, page, {_BLOCK} from page_blocks", "page_blocks")
 def q_page_blocks(spark, sf):
-    status = _status(spark, sf)
-    none = status.where("method = 'failed'").select("book", "page", F.lit(1).alias("block_index"), F.lit("").alias("id"), F.lit("paragraph").alias("type"), "text")
-    return pages.page_blocks(status, none).select("book", "page", "id", "text")
+    return _pages(spark, sf)["blocks"].select("book", "page", *_BLOCK.split(", "))
 
 
 @register("q_current_jobs", "select id, arg_max(state, seq) filter (where state is not null) as state, arg_max(total_pages, seq) filter (where total_pages is not null) as total_pages, arg_max(error_summary, seq) filter (where error_summary is not null) as error_summary from job_events group by 1", "job_events")
@@ -500,11 +509,12 @@ def q_languages(spark, sf):
 _BOOKS = "select book, concat(book, '.pdf') as filename, case when book = 'src1' then '' else concat('t', book) end as title, null as course, '10' as grade from counts"
 
 
-def _meta(counts):
-    return counts.select("book", F.concat("book", F.lit(".pdf")).alias("filename"), F.expr("case when book = 'src1' then '' else concat('t', book) end").alias("title"), F.lit(None).cast("string").alias("course"), F.lit("10").alias("grade"))
+def _meta(books):
+    return books.select("book", F.concat("book", F.lit(".pdf")).alias("filename"), F.expr("case when book = 'src1' then '' else concat('t', book) end").alias("title"), F.lit(None).cast("string").alias("course"), F.lit("10").alias("grade"))
 
 
-_MD_PAGE = "concat('## صفحه ', page, chr(10), chr(10), '_روش استخراج: ', method, '_', chr(10), chr(10), case when warnings <> '' then concat('### هشدارهای استخراج', chr(10), chr(10), '- ', replace(warnings, '|', concat(chr(10), '- ')), chr(10), chr(10)) else '' end, case when text <> '' then concat(text, chr(10), chr(10)) else '> متنی از این صفحه استخراج نشد (حتی با OCR). نیاز به بررسی دستی دارد.' || chr(10) || chr(10) end)"
+_MD_BLOCK = f"concat(case when type = 'heading' then concat('### ', text) when type = 'table' then {_TABLE_SQL} else text end, chr(10))"
+_MD_PAGE = "concat('## صفحه ', page, chr(10), chr(10), '_روش استخراج: ', method, '_', chr(10), chr(10), case when warnings <> '' then concat('### هشدارهای استخراج', chr(10), chr(10), '- ', replace(warnings, '|', concat(chr(10), '- ')), chr(10), chr(10)) else '' end, case when shown is not null then concat(shown, chr(10), chr(10)) when text <> '' then concat(text, chr(10), chr(10)) else '> متنی از این صفحه استخراج نشد (حتی با OCR). نیاز به بررسی دستی دارد.' || chr(10) || chr(10) end)"
 
 
 @register(
@@ -512,25 +522,37 @@ _MD_PAGE = "concat('## صفحه ', page, chr(10), chr(10), '_روش استخرا
     "select b.book, concat('# ', coalesce(nullif(b.title, ''), b.book), chr(10), chr(10), '- فایل: ', b.filename, chr(10), '- درس: -', chr(10), '- پایه: 10', chr(10), '- تعداد صفحات: ', c.total_pages, chr(10), '- صفحات دارای متن: ', c.with_text, chr(10), "
     "'- صفحات بدون متن: ', c.without_text, chr(10), '- صفحات نیازمند بازبینی: ', c.to_review, chr(10), chr(10), case when c.without_text > 0 then concat('### هشدارهای کلی سند', chr(10), chr(10), '- ', c.without_text, "
     f"' page(s) had no extractable text even after OCR fallback and may need manual review.', chr(10), chr(10)) else '' end, '---', chr(10), chr(10), p.body) as markdown from ({_BOOKS}) b join counts c using (book) "
-    f"join (select book, string_agg({_MD_PAGE}, '' order by page) as body from page_status group by 1) p using (book)",
+    f"join (select book, string_agg({_MD_PAGE}, '' order by page) as body from page_status left join (select book, page, string_agg({_MD_BLOCK}, chr(10) order by block_index) as shown from page_blocks left join book_md_rows using (book, page) group by 1, 2) using (book, page) group by 1) p using (book)",
     "counts",
-    "page_status",
+    "page_blocks",
+    "book_md_rows",
 )
 def q_md_document(spark, sf):
-    status = _status(spark, sf)
-    counts = pages.document_counts(status)
-    none = status.limit(0).select("book", "page", F.lit(1).alias("block_index"), F.lit("").alias("type"), "text", F.lit(None).cast("array<array<string>>").alias("rows"))
-    return render.markdown_documents(_meta(counts), counts, pages.document_warning(counts, True), render.markdown_pages(status, none))
+    """The whole chain: words, lines, blocks, pages, documents, export."""
+    return engine.run(_library(spark, sf))["markdown"]
 
 
-@register("q_json_document", "select s.book, cast(s.page as bigint) as page, s.text, s.method, s.needs_review, concat(s.book, '.pdf') as filename, coalesce(b.n, 0) as n_blocks from page_status s left join (select book, page, 1::bigint as n from page_status where method = 'ocr_tesseract' and text <> '') b using (book, page)", "page_status")
+@register(
+    "q_json_document",
+    "select s.book, concat(s.book, '.pdf') as filename, 'fa' as language, c.total_pages, case when c.without_text > 0 then 1 else 0 end::bigint as n_warnings, '1.0.0' as version, s.page::bigint as page, s.text as page_text, s.char_count::bigint as char_count, "
+    "s.method, s.needs_review, s.warnings, b.id, b.type, b.text, case when b.id is not null then s.page::bigint end as block_page, b.confidence, b.reason, b.fill_ratio, b.top, b.source, "
+    "case when b.source = 'bordered_region' then array_to_string(list_transform(m.rows, lambda r: array_to_string(r, '¦')), '‖') end as cells "
+    "from page_status s join counts c using (book) left join page_blocks b using (book, page) left join book_md_rows m using (book, page)",
+    "counts",
+    "page_blocks",
+    "book_md_rows",
+)
 def q_json_document(spark, sf):
-    status = _status(spark, sf)
-    none = status.limit(0).select("book", "page", F.lit(1).alias("block_index"), F.lit("").alias("id"), F.lit("paragraph").alias("type"), "text")
-    made = render.json_documents(_meta(pages.document_counts(status)), status, pages.page_blocks(status, none))
-    shape = "metadata struct<filename: string>, pages array<struct<page_number: bigint, text: string, extraction_method: string, needs_review: boolean, blocks: array<struct<id: string>>>>"
-    read = made.select("book", F.from_json("json", shape).alias("j")).select("book", F.col("j.metadata.filename").alias("filename"), F.explode("j.pages").alias("p"))
-    return read.select("book", F.col("p.page_number").alias("page"), "p.text", F.col("p.extraction_method").alias("method"), "p.needs_review", "filename", F.size("p.blocks").cast("bigint").alias("n_blocks"))
+    """Every field of the JSON documents of the whole chain, a row for each block."""
+    block = "struct<id: string, type: string, text: string, page: bigint, metadata: struct<confidence: double, reason: string, rows: array<array<string>>, fill_ratio: double, top: double, source: string>>"
+    shape = f"metadata struct<filename: string, language: string, total_pages: bigint>, warnings array<string>, processing_version string, pages array<struct<page_number: bigint, text: string, char_count: bigint, extraction_method: string, needs_review: boolean, warnings: array<string>, blocks: array<{block}>>>"
+    made = engine.run(_library(spark, sf))["json"].select("book", F.from_json("json", shape).alias("j"))
+    one = made.select("book", "j.metadata.*", F.size("j.warnings").cast("bigint").alias("n_warnings"), F.col("j.processing_version").alias("version"), F.explode("j.pages").alias("p"))
+    one = one.select("book", "filename", "language", "total_pages", "n_warnings", "version", "p", F.explode_outer("p.blocks").alias("b"))
+    page = (F.col("p.page_number").alias("page"), F.col("p.text").alias("page_text"), "p.char_count", F.col("p.extraction_method").alias("method"), "p.needs_review", F.array_join("p.warnings", "|").alias("warnings"))
+    known = (f"b.metadata.{c}" for c in ("confidence", "reason", "fill_ratio", "top", "source"))
+    cells = F.array_join(F.transform("b.metadata.rows", lambda x: F.array_join(x, "¦")), "‖").alias("cells")
+    return one.select("book", "filename", "language", "total_pages", "n_warnings", "version", *page, "b.id", "b.type", "b.text", F.col("b.page").alias("block_page"), *known, cells)
 
 
 @register("q_seed_json", "select o.book, c.page as chapter_page, c.title as chapter, l.\"order\" as lesson, l.title as lesson_title, count(s.seq) as subtopics from (select distinct book from outline) o join outline c on c.book = o.book and c.role = 'chapter' left join outline l on l.book = o.book and l.chapter_seq = c.seq and l.role = 'lesson' left join outline s on s.book = o.book and s.lesson_seq = l.seq and s.role = 'subtopic' group by o.book, c.seq, c.page, c.title, l.seq, l.\"order\", l.title", "outline")
@@ -543,13 +565,25 @@ def q_seed_json(spark, sf):
     return found.select("book", "chapter_page", "chapter", F.col("l.order").alias("lesson"), F.col("l.title").alias("lesson_title"), F.coalesce(F.size("l.subtopics"), F.lit(0)).cast("bigint").alias("subtopics"))
 
 
-@register("q_graph_json", "select c.book, c.id, c.title, c.confidence, coalesce(e.n, 0) as relationships from concepts c left join (select book, count(*) as n from edges group by 1) e using (book)", "concepts", "edges")
+@register(
+    "q_graph_json",
+    "select c.book, concat('t', c.book) as book_title, 1 as version, c.id, c.title, c.confidence, c.lesson_order * 2::bigint as first_page, concat(c.book, '.pdf') as filename, coalesce(e.n, 0) as relationships, e.kinds "
+    "from concepts c left join (select book, count(*) as n, string_agg(concat(id, ' ', source_id, ' ', type, ' ', target_id), ';' order by lesson_order, cast(regexp_extract(id, '([0-9]+)$', 1) as bigint)) as kinds from edges group by 1) e using (book)",
+    "concepts",
+    "edges",
+)
 def q_graph_json(spark, sf):
-    v, e = _concepts(spark, sf), _edges(spark, sf)
-    meta = v.select("book").distinct().select("book", F.col("book").alias("title"), F.lit(None).cast("string").alias("course"), F.lit(None).cast("string").alias("grade"))
-    shape = "concepts array<struct<id: string, title: string, confidence: double>>, relationships array<struct<id: string>>"
-    g = render.graph_documents(v, e, meta).select("book", F.from_json("json", shape).alias("j"))
-    return g.select("book", F.size("j.relationships").cast("bigint").alias("relationships"), F.explode("j.concepts").alias("c")).select("book", "c.id", "c.title", "c.confidence", "relationships")
+    answers = inputs.responses(spark, sf)
+    asked = _meta(answers.select("book").distinct()).withColumn("title", F.concat(F.lit("t"), "book"))
+    taught = answers.select("book", F.col("lesson_order").alias("order"), F.lit(1).alias("seq"), F.expr("array(cast(lesson_order * 2 as bigint))").alias("source_pages"), F.lit(1).alias("start_page"))
+    v, e = (graph.with_sources(x, taught, asked) for x in (_concepts(spark, sf), _edges(spark, sf)))
+    ref = "array<struct<filename: string, page: bigint>>"
+    shape = f"book_title string, version int, concepts array<struct<id: string, title: string, confidence_score: double, source_refs: {ref}>>, relationships array<struct<id: string, source_concept_id: string, target_concept_id: string, relation_type: string, source_refs: {ref}>>"
+    g = render.graph_documents(v, e, asked).select("book", F.from_json("json", shape).alias("j"))
+    edges = F.transform("j.relationships", lambda x: F.concat_ws(" ", x["id"], x["source_concept_id"], x["relation_type"], x["target_concept_id"]))
+    one = g.select("book", "j.book_title", "j.version", F.size("j.relationships").cast("bigint").alias("relationships"), F.nullif(F.array_join(edges, ";"), F.lit("")).alias("kinds"), F.explode("j.concepts").alias("c"))
+    refs = F.col("c.source_refs")[0]
+    return one.select("book", "book_title", "version", "c.id", "c.title", F.col("c.confidence_score").alias("confidence"), refs["page"].alias("first_page"), refs["filename"].alias("filename"), "relationships", "kinds")
 
 
 @register(

@@ -6,32 +6,75 @@ does not stop the others. The functions are made once a partition by a factory,
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from varaq.config import SETTINGS
 
-WORDS = "book string, page int, word_no int, text string, x0 double, x1 double, top double, bottom double, size double, fontname string, color array<double>, error string"
 OCR = "book string, page int, text string, confidence double, error string"
 RESPONSES = "book string, lesson_order int, response string, error string"
-_WORD_KEYS = ("page", "word_no", "text", "x0", "x1", "top", "bottom", "size", "fontname", "color")
 
 
-def words_from_files(files: DataFrame, reader: Callable[[], Callable[[bytes], Iterable[dict]]]) -> DataFrame:
-    """files: book, content. reader makes a function from a file's bytes to its words."""
+#: A row a page: what its words and cells are, or what went wrong; page 0 stands for the whole file.
+PAGES = (
+    "book string, page int, page_w double, page_h double, error string, structure_error string, "
+    "words array<struct<word_no: int, text: string, x0: double, x1: double, top: double, bottom: double, size: double, fontname: string, color: array<double>>>, "
+    "boxes array<struct<table_no: int, row_no: int, col_no: int, x0: double, top: double, x1: double, bottom: double, table_x0: double, table_top: double, table_x1: double, table_bottom: double>>"
+)
+_PAGE_KEYS = ("page_w", "page_h", "words", "boxes", "structure_error")
+
+#: A reader makes, from a file's bytes, the number of its pages and a function that reads the page of a number.
+Opened = tuple[int, Callable[[int], dict]]
+
+
+def pages_from_files(files: DataFrame, reader: Callable[[], Callable[[bytes], Opened]], max_pages: int = SETTINGS.max_pages) -> DataFrame:
+    """files: book, content. A page that fails is a row with an error and does not stop its book; a file that cannot be
+    opened or has too many pages is one row for page 0. Pages are handed on one at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read = reader()
+        opened = reader()
+        columns = ["book", "page", "page_w", "page_h", "error", "structure_error", "words", "boxes"]
+
+        def row(book, page, error=None, got=None):
+            return pd.DataFrame([{"book": book, "page": page, "error": error, **{k: (got or {}).get(k) for k in _PAGE_KEYS}}], columns=columns)
+
         for pdf in batches:
             for book, content in zip(pdf["book"], pdf["content"], strict=True):
                 try:
-                    rows = [{"book": book, **{k: w.get(k) for k in _WORD_KEYS}, "error": None} for w in read(bytes(content))]
+                    count, read = opened(bytes(content))
+                    if count > max_pages:
+                        raise ValueError(f"PDF has too many pages: {count}. Max allowed: {max_pages}")
                 except Exception as e:
-                    rows = [{"book": book, **dict.fromkeys(_WORD_KEYS), "error": str(e)}]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["book", *_WORD_KEYS, "error"])
+                    yield row(book, 0, str(e))
+                    continue
+                for page in range(1, count + 1):
+                    try:
+                        yield row(book, page, got=read(page))
+                    except Exception as e:
+                        yield row(book, page, str(e))
+
+    return files.select("book", "content").mapInPandas(run, PAGES)
+
+
+def words_of(pages: DataFrame) -> DataFrame:
+    return pages.where("page > 0").select("book", "page", F.explode("words").alias("w")).select("book", "page", "w.*")
+
 
-    return files.select("book", "content").mapInPandas(run, WORDS)
+def boxes_of(pages: DataFrame) -> DataFrame:
+    return pages.where("page > 0").select("book", "page", "page_w", "page_h", F.explode("boxes").alias("b")).select("book", "page", "b.*", "page_w", "page_h")
+
+
+def listed(pages: DataFrame) -> DataFrame:
+    """The pages as operators.pages.with_all_pages() takes them."""
+    return pages.where("page > 0").select("book", "page", "error", "structure_error")
+
+
+def book_errors(pages: DataFrame) -> DataFrame:
+    """book, error of the files that could not be read at all."""
+    return pages.where("page = 0").select("book", "error")
 
 
 def recognised(images: DataFrame, engine: Callable[[], Callable[[bytes], tuple[str, float | None]]]) -> DataFrame:
@@ -69,21 +112,41 @@ def extracted(prompts: DataFrame, extractor: Callable[[], Callable[[str], str |
     return prompts.select("book", "lesson_order", "prompt").mapInPandas(run, RESPONSES)
 
 
-def pdf_reader() -> Callable[[bytes], Iterable[dict]]:
-    """Words of a PDF by the optional library pdfplumber."""
+def pdf_reader() -> Callable[[bytes], Opened]:
+    """Words and bordered regions of the pages of a PDF, by the optional library pdfplumber."""
     try:
         import pdfplumber
     except ImportError as e:
         raise RuntimeError("reading PDF files needs the library pdfplumber") from e
     import io
 
-    def read(content: bytes) -> Iterable[dict]:
-        with pdfplumber.open(io.BytesIO(content)) as book:
-            for number, page in enumerate(book.pages, 1):
-                found = page.extract_words(use_text_flow=False, extra_attrs=["size", "non_stroking_color", "fontname"])
-                for k, w in enumerate(found):
-                    color = w.get("non_stroking_color")
-                    color = [float(x) for x in color] if isinstance(color, (list, tuple)) else None if color is None else [float(color)]
-                    yield {"page": number, "word_no": k, "color": color, **{c: w.get(c) for c in ("text", "x0", "x1", "top", "bottom", "size", "fontname")}}
+    def numbers(color) -> list[float] | None:
+        return None if color is None else [float(x) for x in (color if isinstance(color, (list, tuple)) else [color])]
+
+    def words(page) -> Iterator[dict]:
+        for k, w in enumerate(page.extract_words(use_text_flow=False, extra_attrs=["size", "non_stroking_color", "fontname"])):
+            yield {"word_no": k, "color": numbers(w.get("non_stroking_color")), **{c: w.get(c) for c in ("text", "x0", "x1", "top", "bottom", "size", "fontname")}}
+
+    def boxes(page) -> Iterator[dict]:
+        for n, table in enumerate(page.find_tables(), 1):
+            outer = dict(zip(("table_x0", "table_top", "table_x1", "table_bottom"), map(float, table.bbox), strict=True))
+            for i, line in enumerate(table.rows, 1):
+                for j, cell in enumerate(line.cells, 1):
+                    inner = zip(("x0", "top", "x1", "bottom"), map(float, cell) if cell else (None,) * 4, strict=True)
+                    yield {"table_no": n, "row_no": i, "col_no": j, **dict(inner), **outer}
+
+    def opened(content: bytes) -> Opened:
+        book = pdfplumber.open(io.BytesIO(content))
+
+        def read(number: int) -> dict:
+            page = book.pages[number - 1]
+            out = {"page_w": float(page.width or 0), "page_h": float(page.height or 0), "words": list(words(page)), "boxes": []}
+            try:
+                out["boxes"] = list(boxes(page))
+            except Exception as e:  # the page's lines still count
+                out["structure_error"] = str(e)
+            return out
+
+        return len(book.pages), read
 
-    return read
+    return opened
