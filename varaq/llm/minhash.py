@@ -77,16 +77,15 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for whole in batches:
         for batch in chunks(whole):
-            sizes, keys, sigs, bands = [], [], [], []
+            sizes, keys, bands = [], [], []
             for b in pc.fill_null(batch.column("text"), "").cast(pa.large_binary()).to_pylist():
                 s = shingle_set(b)
                 sizes.append(len(s))
                 if not len(s):
-                    keys.append(None), sigs.append(None), bands.append(None)
+                    keys.append(None), bands.append(None)
                     continue
                 sig = signature(s)
                 keys.append(xxh3_128_digest(s.tobytes()))
-                sigs.append((sig & np.uint64(255)).astype(np.uint8).tobytes())
                 rows = sig.reshape(BANDS, ROWS)
                 key = np.arange(BANDS, dtype=np.uint64)
                 with np.errstate(over="ignore"):
@@ -95,8 +94,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         key ^= key >> np.uint64(29)
                 bands.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_key", "sig", "bands"],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "set_key", "bands"],
             )
 
 
@@ -169,17 +168,22 @@ def _with_components(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
     )
 
 
+def _with_found(links: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """links and, in place of all links before, the stars that they have come to: few edges, and few rounds from there."""
+    return links if comps is None else links.union(comps.where("node <> component").toDF("u", "v"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
     texts = in_small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     stats = materialise(
-        texts.mapInArrow(_signatures, "doc_id bigint, n_shingles bigint, set_key binary, sig binary, bands array<bigint>"), "signatures"
+        texts.mapInArrow(_signatures, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"), "signatures"
     )
     # one representative for each set; a hot class only adds to one partial minimum in each task
     classes = (
         stats.where("n_shingles > 0 and doc_id is not null")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     )
     keyed = classes.select("rep", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     crowded = keyed.groupBy("band", "bucket").agg(F.count("*").alias("members")).where("members > 1")
@@ -192,7 +196,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     chosen = texts.join(F.broadcast(members) if few else members.hint("merge"), "doc_id", "left_semi")
     sets = materialise(chosen.mapInArrow(_sets, "rep bigint, hashes array<bigint>").dropDuplicates(["rep"]), "sets")
 
-    edges, comps, used, open_rows = None, None, None, buckets
+    comps, used, open_rows = None, None, buckets
     for _ in range(STAR_ROUNDS):
         rows = _with_components(open_rows, comps)
         if used is not None:
@@ -218,9 +222,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select(F.greatest("rep", "centre").alias("u"), F.least("rep", "centre").alias("v"))
             .distinct()
         )
-        more = _confirmed(pairs, sets)
-        edges = materialise(more if edges is None else edges.union(more), "links")
-        comps = components(edges)
+        comps = components(_with_found(_confirmed(pairs, sets), comps))
         tried = centre.select("band", "bucket", F.array("centre").alias("now"))
         if used is None:
             used = tried.withColumnRenamed("now", "tried")
@@ -243,8 +245,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("group", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "comp", "hashes")
         )
         pairs = spread.groupBy("group", "i", "j").applyInPandas(_compare_block, "u bigint, v bigint")
-        edges = materialise(edges.union(pairs.distinct()), "links")
-        comps = components(edges)
+        comps = components(_with_found(pairs.distinct(), comps))
     discard(sets)
     discard(buckets)
     reps = stats.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
