@@ -147,6 +147,12 @@ def test_sources(spark, tmp_path):
     with pytest.raises(ValueError):
         books.chosen(books.discovered(spark, f"file://{tmp_path}"), [])
     assert books.expired_files(spark, f"file://{tmp_path}", 24, F.current_timestamp()).count() == 0
+    (tmp_path / "old").mkdir()
+    for name in ("x.md", "y.md"):
+        (tmp_path / "old" / name).write_text("x")
+    old = books.expired_files(spark, f"file://{tmp_path}/old", -1, F.current_timestamp())
+    assert books.delete_files(old, ["/elsewhere"]) == 0 and books.delete_files(old, [str(tmp_path)]) == 2 and not list((tmp_path / "old").glob("*.md"))
+    assert books.delete_files(spark.createDataFrame([(f"{tmp_path}/b.pdf",), (f"{tmp_path}/old/../../z",), (f"{tmp_path}/old",)], "path string"), [f"{tmp_path}/old"]) == 0
 
 
 def test_adapters_isolate_failures(spark):

@@ -36,6 +36,7 @@ class Settings:
     queue_capacity: int = 10
     retention_hours: int = 24
     timeout_seconds: int = 7200
+    status_seconds: int = 5
     zip_above: int = 4
     shown_warnings: int = 8
     warning_chars: int = 180

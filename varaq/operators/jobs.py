@@ -119,6 +119,17 @@ def admitted(arrivals: DataFrame, capacity: int = SETTINGS.queue_capacity) -> Da
     return arrivals.join(F.broadcast(first), "id", "left").withColumn("admitted", F.coalesce("admitted", F.lit(False)))  # capacity rows
 
 
+def status_edits(progress: DataFrame, seconds: int = SETTINGS.status_seconds) -> DataFrame:
+    """id, at of the progress reports (id, at) that are shown: a job's first, then each that comes `seconds` or more after
+    the last one shown. A job reports once a stage, so its list is short."""
+    wait = F.make_interval(secs=F.lit(float(seconds)))
+    none = F.struct(F.lit(None).cast("timestamp").alias("last"), F.array().cast("array<timestamp>").alias("shown"))
+    late = lambda acc, t: acc["last"].isNull() | (t >= acc["last"] + wait)
+    show = lambda acc, t: F.struct(F.when(late(acc, t), t).otherwise(acc["last"]).alias("last"), F.when(late(acc, t), F.concat(acc["shown"], F.array(t))).otherwise(acc["shown"]).alias("shown"))
+    times = progress.where("at is not null").groupBy("id").agg(F.array_sort(F.collect_list(F.col("at").cast("timestamp"))).alias("times"))
+    return times.select("id", F.explode(F.aggregate("times", none, show, lambda acc: acc["shown"])).alias("at"))
+
+
 def timed_out(jobs: DataFrame, now: Column, limit: int = SETTINGS.timeout_seconds) -> DataFrame:
     return jobs.where(F.col("state").isin(*RUNNING) & (elapsed_seconds(F.col("created_at"), F.col("started_at"), now, now) > limit))
 

@@ -485,6 +485,16 @@ def q_timeout(spark, sf):
     return jobs.timed_out(inputs.jobs(spark, sf), now()).select("id")
 
 
+@register(
+    "q_status_edits",
+    "select id, t from (with recursive e as (select event_id % 701 as id, ts as t from events), shown(id, t) as (select id, min(t) from e group by 1 union all "
+    "select s.id, min(e.t) from shown s join e on e.id = s.id and e.t >= s.t + interval 300000 seconds group by s.id) select id, t from shown)",
+)
+def q_status_edits(spark, sf):
+    e = inputs.read(spark, sf, "events")
+    return jobs.status_edits(e.select((F.col("event_id") % 701).alias("id"), F.col("ts").cast("timestamp").alias("at")), seconds=300_000).select("id", F.col("at").cast("timestamp_ntz").alias("t"))
+
+
 @register("q_stage_state", "select event_id, case event_id % 9 when 0 then 'extracting' when 1 then 'processing' when 2 then 'processing' when 3 then 'exporting' when 4 then 'exporting' when 5 then 'processing' when 6 then 'exporting' else 'processing' end as state, case when event_id % 2 = 0 then 'پردازش به درخواست کاربر متوقف شد' else 'خطای پردازش فایل' end as message from events")
 def q_stage_state(spark, sf):
     names = F.array(*(F.lit(k) for k in rules.STAGE_STATE), F.lit("other"), F.lit(None))

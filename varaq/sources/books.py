@@ -56,6 +56,20 @@ def sidecars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def expired_files(spark: SparkSession, folder: str, hours: int, now) -> DataFrame:
-    """path of files older than the retention; the caller deletes them."""
+    """path of files older than the retention, for delete_files()."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     return f.where(F.unix_seconds("modificationTime") < F.unix_seconds(now) - hours * 3600).select("path")
+
+
+def delete_files(paths: DataFrame, roots: list[str]) -> int:
+    """Delete the files of a relation (path), as far as they lie below one of the roots; how many went. Paths come to the
+    driver one batch at a time; folders and what is gone already are passed over."""
+    from varaq.functions.rules import within_roots
+
+    spark, n = paths.sparkSession, 0
+    plain = F.regexp_replace("path", r"\A[a-z]+:(//[^/]*)?", "")
+    for r in paths.where(within_roots(plain, roots)).select("path").distinct().toLocalIterator():
+        p = spark._jvm.org.apache.hadoop.fs.Path(r.path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        n += bool(fs.exists(p) and fs.getFileStatus(p).isFile() and fs.delete(p, False))
+    return n
