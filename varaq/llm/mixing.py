@@ -21,6 +21,8 @@ that this module adds begin with "_"; a table that has one of them is refused (V
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,9 +36,9 @@ PERIOD = 1000
 SLOTS_PER_SOURCE = 16
 #: Target weight of a source: its documents to this power, so that small sources are lifted.
 POWER = 0.5
-#: Leading hexadecimal digits of the digest that number the parts in which a source is ranked: 4096, so that no task
-#: ranks all of a large one.
-PART_DIGITS = 3
+#: Documents of a part, about: sources are ranked in parts by the first digits of the digest, so that no task ranks all of
+#: a large one. The order does not depend on it.
+PART_ROWS = 100_000
 #: Slots of a period whose plan is broadcast, at most; a larger plan is joined by shuffle.
 BROADCAST_SLOTS = 200_000
 ADDED = ("_source", "_block", "_place", "_slot", "_release", "_deadline", "_in_mix")
@@ -108,7 +110,8 @@ def mixed(docs: DataFrame, power: float = POWER, block: int = BLOCK, weights: di
     by_id = F.md5(F.col("doc_id").cast("string").cast("binary"))
     by_row = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).cast("binary"))
     named = {"_source": _source(F.col("source")), "_digest": F.coalesce(by_id, by_row)}
-    rows = docs.withColumns(named).withColumn("_part", F.substring("_digest", 1, PART_DIGITS))
+    digits = max(1, math.ceil(math.log(max(docs.count(), 1) / PART_ROWS, 16)))
+    rows = docs.withColumns(named).withColumn("_part", F.substring("_digest", 1, digits))
     light = rows.select("_source", "_part")
     counts = materialise(light.groupBy("_source", "_part").agg(F.count("*").alias("rows")), "counts")  # read four times
     before = F.sum("rows").over(Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
