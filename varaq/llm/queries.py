@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from varaq.llm.byte_bpe import op6_byte_bpe
 from varaq.llm.compaction import OP7_SQL, op7_sharding
+from varaq.llm.divergence import OP12_SQL, op12_divergence
 from varaq.llm.graph_dedup import OP1_SQL, op1_graph_dedup
 from varaq.llm.html_extract import op10_html
 from varaq.llm.minhash import OP9_SQL, op9_minhash
@@ -20,7 +21,7 @@ from varaq.llm.toxicity import op3_toxicity
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
-        op1_graph_dedup, op2_mixing, op3_toxicity, op4_pii, op5_token_count, op6_byte_bpe, op7_sharding, op8_quality, op9_minhash, op10_html,
+        op1_graph_dedup, op2_mixing, op3_toxicity, op4_pii, op5_token_count, op6_byte_bpe, op7_sharding, op8_quality, op9_minhash, op10_html, op12_divergence,
     )
     return {f.__name__: f for f in operators}
 
@@ -28,4 +29,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Of those whose every column SQL can express. Tests hold the others against brute force, the tokenizer libraries
     and held-out labels, and the base columns of op4 and op8 against BASE_SQL."""
-    return {"op1_graph_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op7_sharding": OP7_SQL, "op9_minhash": OP9_SQL}
+    return {"op1_graph_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op7_sharding": OP7_SQL, "op9_minhash": OP9_SQL, "op12_divergence": OP12_SQL}
