@@ -174,9 +174,9 @@ def _first_reaching(hist: DataFrame, keys: list[str], order: Column) -> DataFram
     return cum.where((F.col("cum") >= F.col("need")) & (F.col("cum") - F.col("m") < F.col("need"))).withColumn("need", F.col("need") - F.col("cum") + F.col("m")).drop("cum", "all")
 
 
-def kth_values(df: DataFrame, keys: list[str], k: int, largest: int) -> DataFrame:
+def kth_values(df: DataFrame, keys: list[str], k: int, largest: int, sent=lambda state: state) -> DataFrame:
     """keys, bound (the kth largest value, or the least of a group with fewer), need (rows wanted at the bound), m (rows
-    at it). Values lie between 0 and `largest`."""
+    at it). Values lie between 0 and `largest`; `sent` may broadcast the groups' state, a row for each of them."""
     passes = max(1, -(-int(largest).bit_length() // BITS))
     state = None
     for shift in range((passes - 1) * BITS, -1, -BITS):
@@ -185,7 +185,7 @@ def kth_values(df: DataFrame, keys: list[str], k: int, largest: int) -> DataFram
         if state is None:
             hist = rows.groupBy(*keys, "head", digit.alias("digit")).agg(F.count("*").alias("m")).withColumn("need", F.lit(k).cast("bigint"))
         else:
-            hist = rows.join(state, [*keys, "head"]).groupBy(*keys, "head", digit.alias("digit"), "need").agg(F.count("*").alias("m"))
+            hist = rows.join(sent(state), [*keys, "head"]).groupBy(*keys, "head", digit.alias("digit"), "need").agg(F.count("*").alias("m"))
         found = _first_reaching(hist, keys, F.desc("digit"))
         state = found.select(*keys, F.shiftleft("head", BITS).bitwiseOR(F.col("digit")).alias("head"), "need", "m")
         if shift:
@@ -193,12 +193,14 @@ def kth_values(df: DataFrame, keys: list[str], k: int, largest: int) -> DataFram
     return state.withColumnRenamed("head", "bound")
 
 
-def radix_top(df: DataFrame, keys: list[str], k: int = TOP, ties: int = TIES) -> DataFrame:
-    """The k rows of each group with the largest value (a long, not negative), ties by the bytes of item; with rank."""
+def radix_top(df: DataFrame, keys: list[str], k: int = TOP, ties: int = TIES, few: bool = False) -> DataFrame:
+    """The k rows of each group with the largest value (a long, not negative), ties by the bytes of item; with rank.
+    few: there are so few groups that a row of each can be broadcast."""
+    sent = F.broadcast if few else lambda state: state
     largest = df.agg(F.max("value")).first()[0] or 0
-    bound = materialise(kth_values(df, keys, k, largest), "bounds")
+    bound = materialise(kth_values(df, keys, k, largest, sent), "bounds")
     df = df.withColumn("_bytes", F.hex("item"))
-    at = lambda: df.join(state, keys).where((F.col("value") == F.col("bound")) & F.col("_bytes").startswith(F.col("prefix")))
+    at = lambda: df.join(sent(state), keys).where((F.col("value") == F.col("bound")) & F.col("_bytes").startswith(F.col("prefix")))
     state = bound.withColumn("prefix", F.lit(""))
     while state.where((F.col("m") > F.col("need")) & (F.col("m") > ties)).limit(1).count():
         wide = (F.col("m") > F.col("need")) & (F.col("m") > ties)
@@ -208,10 +210,10 @@ def radix_top(df: DataFrame, keys: list[str], k: int = TOP, ties: int = TIES) ->
         same = F.expr("""aggregate(sequence(1, least(length(lo), length(hi)) div 2 + 1), 0,
             (n, i) -> if(n = i - 1 and i <= least(length(lo), length(hi)) div 2 and substring(lo, 2 * i - 1, 2) = substring(hi, 2 * i - 1, 2), i, n))""")
         ends = ends.select(*keys, (2 * same).alias("common"))
-        hist = tied.join(ends, keys).groupBy(*keys, "bound", "need", "common", F.expr("substring(_bytes, 1, common + 2)").alias("digit")).agg(F.count("*").alias("m"))
+        hist = tied.join(sent(ends), keys).groupBy(*keys, "bound", "need", "common", F.expr("substring(_bytes, 1, common + 2)").alias("digit")).agg(F.count("*").alias("m"))
         found = _first_reaching(hist, keys, F.asc("digit")).select(*keys, "bound", "need", "m", F.col("digit").alias("prefix"))
         state = materialise(found.unionByName(state.where(~wide).select(*found.columns)), "bounds")
-    near = df.join(state, keys)
+    near = df.join(sent(state), keys)
     sure = (F.col("value") > F.col("bound")) | ((F.col("value") == F.col("bound")) & (F.col("_bytes") < F.col("prefix")))
     taken = near.where(sure | ((F.col("value") == F.col("bound")) & F.col("_bytes").startswith(F.col("prefix"))))  # < k + ties rows a group
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("value"), F.asc("_bytes")))
@@ -229,7 +231,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame
     p, q = share(F.col("n"), F.col("n_all"), F.col("n_terms")), share(F.col("n_lang"), F.col("lang_all"), F.col("n_terms"))
     rows = materialise(rows.select("lang", "source", "term", "p0", p.alias("p"), q.alias("q")), "shares")
     more = rows.where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
-    terms = radix_top(more, ["lang", "source"], top).withColumn("part", F.lit("term"))
+    terms = radix_top(more, ["lang", "source"], top, few=few).withColumn("part", F.lit("term"))
     ranked = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item")))
     pairs = divergences(rows, groups).withColumns({"rank": ranked, "part": F.lit("pair")})
     columns = ["lang", "source", "part", "item", "value", "rank"]
