@@ -72,7 +72,7 @@ def test_exports(library, tmp_path):
     assert docs["b"]["metadata"]["filename"] == "b.pdf" and len(docs["b"]["pages"]) == 5 and docs["c"]["metadata"]["title"] is None
     md = {r.book: r.markdown for r in library["markdown"].collect()}
     assert md["b"].startswith("# کتاب\n\n- فایل: b.pdf\n- درس: -\n") and "| r1\\|c1 | r1\\|c2 |\n| --- | --- |" in md["b"] and md["c"].startswith("# c\n")
-    assert write_each(library["markdown"], f"file://{tmp_path}/md", "markdown", ".md") == ["b.md", "c.md"]
+    assert write_each(library["markdown"], f"file://{tmp_path}/md", "markdown", ".md") == 2
     assert (tmp_path / "md" / "b.md").read_text(encoding="utf-8").rstrip("\n") == md["b"].rstrip("\n") and sorted(f.name for f in (tmp_path / "md").iterdir() if f.suffix == ".md") == ["b.md", "c.md"]
     assert set(docs["b"]) == {"metadata", "pages", "blocks", "warnings", "processing_version"} and docs["b"]["blocks"] == []
     assert docs["b"]["metadata"] == {"filename": "b.pdf", "title": "کتاب", "course": None, "grade": "11", "language": "fa", "total_pages": 5}

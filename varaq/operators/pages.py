@@ -16,27 +16,35 @@ LOW, UNAVAILABLE, LOW_CONFIDENCE, RECOVERED, FAILED = "LOW_TEXT_MAY_NEED_OCR", "
 def with_all_pages(texts: DataFrame, listed: DataFrame) -> DataFrame:
     """texts (book, page, text) with the listed pages that have no words (empty) and with what went wrong on a page.
 
-    listed: book, page, error (the page could not be read), structure_error (its tables could not).
+    listed: book, page, error (its words could not be read), structure_error (its tables could not) and, if there is such
+    a column, text_error (no text could be made of its words).
     """
-    return listed.select(*PAGE, "error", "structure_error").join(texts, [*PAGE], "full").withColumn("text", F.coalesce("text", F.lit("")))
+    return listed.select(*PAGE, *_WRONG.intersection(listed.columns)).join(texts, [*PAGE], "full").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+_WRONG = {"error", "structure_error", "text_error"}
 
 
 def needs_ocr(texts: DataFrame) -> DataFrame:
-    """Pages to run recognition on; filter first, so that the costly step sees only these."""
-    return texts.where(F.length("text") < SETTINGS.min_chars)
+    """Pages to run recognition on, those without readable words among them; filter first, so that the costly step sees
+    only these."""
+    for c in sorted(_WRONG.intersection(texts.columns) - {"structure_error"}):
+        texts = texts.withColumn("text", F.when(F.col(c).isNull(), F.col("text")).otherwise(""))
+    failed = texts.where("text_error is null") if "text_error" in texts.columns else texts
+    return failed.where(F.length("text") < SETTINGS.min_chars)
 
 
 def page_status(texts: DataFrame, ocr: DataFrame, use_ocr: bool = True, engine: bool = True, available: bool = True) -> DataFrame:
     """texts (book, page, text) with method, needs_review and warnings.
 
-    ocr: book, page, text, confidence, error of the pages that recognition ran on. A page with an error of its own has
-    failed: no text, no recognition; one with a structure_error keeps its text and has no blocks.
+    ocr: book, page, text, confidence, error of the pages that recognition ran on. A page with an error has no lines and
+    goes on to recognition as any page with little text; one with a text_error has failed: no text, no recognition; one
+    with a structure_error keeps its text and has no blocks.
     """
-    for c in ("error", "structure_error"):
-        if c not in texts.columns:
-            texts = texts.withColumn(c, F.lit(None).cast("string"))
-    texts = texts.withColumn("text", F.when(F.col("error").isNull(), F.col("text")).otherwise(""))
-    broken = F.col("error").isNotNull()
+    for c in sorted(_WRONG.difference(texts.columns)):
+        texts = texts.withColumn(c, F.lit(None).cast("string"))
+    broken = F.col("text_error").isNotNull()
+    texts = texts.withColumn("text", F.when(F.col("error").isNull() & ~broken, F.col("text")).otherwise(""))
     got = ocr.select(*PAGE, clean(F.col("text")).alias("ocr_text"), F.col("confidence").alias("ocr_conf"), F.col("error").alias("ocr_error"))
     p = texts.join(got, [*PAGE], "left")
     short = ~broken & (F.length("text") < SETTINGS.min_chars)
@@ -46,7 +54,7 @@ def page_status(texts: DataFrame, ocr: DataFrame, use_ocr: bool = True, engine:
     final = F.when(better, F.col("ocr_text")).otherwise(F.col("text"))
     warnings = F.array_compact(
         F.array(
-            F.when(broken, F.concat(F.lit(EXTRACTION_FAILED), F.col("error"))),
+            F.when(broken, F.concat(F.lit(EXTRACTION_FAILED), F.col("text_error"))),
             F.when(short, LOW),
             F.when(short & F.lit(use_ocr and engine and not available), UNAVAILABLE),
             F.when(better & (F.col("ocr_conf") < SETTINGS.low_confidence), F.concat(F.lit(LOW_CONFIDENCE), F.format_string("%.1f", F.bround("ocr_conf", 1)))),

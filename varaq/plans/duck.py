@@ -172,17 +172,17 @@ TABLES = DUCK | {
     ),
     "short_text": (
         ("page_text", "listed"),
-        "select book, page, case when error is null then coalesce(text, '') else '' end as text, error, structure_error from page_text full join listed using (book, page)",
+        "select book, page, case when error is null and text_error is null then coalesce(text, '') else '' end as text, text_error, structure_error from page_text full join listed using (book, page)",
     ),
     "page_ocr": (
         ("short_text",),
         "select book, page, case page % 4 when 0 then 'x' when 1 then null else concat(repeat('کتاب ', page % 9 + 1), text) end as text, case when page % 5 = 0 then null else 40e0 + page % 10 + 0.25e0 end as confidence, "
-        "case page % 4 when 1 then 'engine stopped' else null end as error from short_text where length(text) < 30",
+        "case page % 4 when 1 then 'engine stopped' else null end as error from short_text where text_error is null and length(text) < 30",
     ),
     "pages_seen": (
         ("short_text", "page_ocr"),
-        f"select p.book, p.page, p.text as own, p.error as broken, p.structure_error, {clean('o.text')} as ocr_text, o.confidence as conf, o.error as err, p.error is null and length(p.text) < 30 as short, "
-        f"p.error is null and length(p.text) < 30 and o.error is null and length({clean('o.text')}) > length(p.text) as better from short_text p left join page_ocr o using (book, page)",
+        f"select p.book, p.page, p.text as own, p.text_error as broken, p.structure_error, {clean('o.text')} as ocr_text, o.confidence as conf, o.error as err, p.text_error is null and length(p.text) < 30 as short, "
+        f"p.text_error is null and length(p.text) < 30 and o.error is null and length({clean('o.text')}) > length(p.text) as better from short_text p left join page_ocr o using (book, page)",
     ),
     "page_status": (
         ("pages_seen",),

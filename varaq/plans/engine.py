@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varaq.operators import blocks, graph, lessons, lines, outline, pages, render, tables
+from varaq.operators import blocks, extraction, graph, lessons, lines, outline, pages, render, tables
 
 
 @dataclass
@@ -19,7 +19,8 @@ class Library:
     requests: DataFrame
     words: DataFrame
     cells: DataFrame
-    ocr: DataFrame
+    #: What recognition gave, or a function that runs it on the pages that need it (book, page, text).
+    ocr: DataFrame | Callable[[DataFrame], DataFrame]
     use_ocr: bool = True
     #: All pages, as operators.pages.with_all_pages() takes them; without it those that have words.
     listed: DataFrame | None = None
@@ -48,7 +49,8 @@ def extract_pages(lib: Library) -> dict[str, DataFrame]:
     texts = lines.page_texts(styled)
     if lib.listed is not None:
         texts = pages.with_all_pages(texts, lib.listed)
-    status = pages.page_status(texts, lib.ocr, lib.use_ocr)
+    ocr = lib.ocr(pages.needs_ocr(texts)) if callable(lib.ocr) else lib.ocr
+    status = pages.page_status(texts, ocr, lib.use_ocr)
     boxes = tables.labelled(tables.accepted(tables.table_stats(lib.cells)))
     return {"lines": styled, "pages": status, "blocks": pages.page_blocks(status, blocks.blocks_of(styled, boxes))}
 
@@ -102,7 +104,7 @@ def run(lib: Library, stages=STAGES, progress: Callable[[str], None] | None = No
     return lib
 
 
-def with_graph(lib: Library, responses: DataFrame) -> Library:
+def graph_relations(lib: Library, responses: DataFrame) -> dict[str, DataFrame]:
     """Concepts and relationships of an extractor's answers; a lesson with a bad confidence is kept out whole."""
     found = graph.concepts(responses)
     bad = found.where("error is not null").select("book", "lesson_order").distinct()
@@ -110,17 +112,53 @@ def with_graph(lib: Library, responses: DataFrame) -> Library:
     sources = lib["lessons"], lib.requests
     vertices, edges = graph.with_sources(graph.concepts(good), *sources), graph.with_sources(graph.relationships(good), *sources)
     meta = lib.requests.select("book", "title", "course", "grade")
-    lib.relations |= {"concepts": vertices, "relationships": edges, "failed_lessons": bad, "graph": render.graph_documents(vertices, edges, meta)}
+    return {"concepts": vertices, "relationships": edges, "failed_lessons": bad, "graph": render.graph_documents(vertices, edges, meta)}
+
+
+def with_graph(lib: Library, responses: DataFrame) -> Library:
+    lib.relations |= graph_relations(lib, responses)
     return lib
 
 
+def lesson_requests(lib: Library, model: str) -> DataFrame:
+    """What an extractor is asked for each lesson of the library that has pages."""
+    chapters = lib["outline"].where("role = 'chapter'").select("book", F.col("seq").alias("chapter_seq"), F.col("title").alias("chapter_title"))
+    meta = lib.requests.select("book", F.coalesce("title", "book").alias("book_title"), "course", "grade")
+    told = lessons.prompts(lib["lessons"].join(chapters, ["book", "chapter_seq"]).join(meta, "book"))
+    return extraction.requests(told.withColumnRenamed("order", "lesson_order"), model)
+
+
+def concept_stages(client: Callable[[], extraction.Client], log: str, model: str, **asking) -> tuple[tuple[str, Stage], ...]:
+    """The stages that ask an extractor and build the graph, to follow STAGES; asking: see extraction.ask()."""
+
+    def extract_concepts(lib: Library) -> dict[str, DataFrame]:
+        spark, wanted = lib.requests.sparkSession, lesson_requests(lib, model)
+        stopped = extraction.ask(wanted, log, client, **asking)
+        found = extraction.outcomes(wanted, extraction.read_log(spark, log))
+        bad = graph.concepts(found).where("error is not null").groupBy("book", "lesson_order").agg(F.first("error").alias("bad"))
+        found = found.join(bad, ["book", "lesson_order"], "left")
+        found = found.select("book", "lesson_order", "title", F.when(F.col("bad").isNull(), F.col("response")).alias("response"), F.coalesce("error", "bad").alias("error"))
+        told = extraction.warnings(lib.requests.select("book"), lib["outline"], lib["lessons"], found, stopped)
+        return {"asked": found, "concept_warnings": told}
+
+    def export_knowledge_graph(lib: Library) -> dict[str, DataFrame]:
+        return graph_relations(lib, lib["asked"].where("response is not null").select("book", "lesson_order", "response"))
+
+    return ("extract_concepts", extract_concepts), ("export_knowledge_graph", export_knowledge_graph)
+
+
 def summary(lib: Library, out: str = "") -> DataFrame:
     """One row a request: its names, counts, whether it has pages (ok), warnings, and the paths of its files below out."""
     role = lambda name: F.count_if(F.col("role") == name).alias(f"{name}s")
     n = lib["outline"].groupBy("book").agg(role("chapter"), role("lesson"), role("subtopic"))
     nothing = lib.requests.limit(0).select("book")
     rows = render.summaries(lib.requests.select("book", "filename", "title"), lib["counts"], n, lib.relations.get("concepts", nothing), lib.relations.get("relationships", nothing))
-    rows = rows.join(lib["warnings"], "book", "left").withColumn("warnings", F.array_compact(F.array("warning"))).drop("warning")
+    said = lib["warnings"].select("book", F.lit(0).alias("k"), "warning")
+    if "concept_warnings" in lib.relations:
+        said = said.unionByName(lib["concept_warnings"].select("book", F.lit(1).alias("k"), "warning"))
+    told = F.transform(F.array_sort(F.collect_list(F.struct("k", "warning"))), lambda x: x["warning"])
+    said = said.where("warning is not null").groupBy("book").agg(told.alias("warnings"))
+    rows = rows.join(said, "book", "left").withColumn("warnings", F.coalesce("warnings", F.array().cast("array<string>")))
     file = lambda kind, ending, there: F.when(there, F.concat(F.lit(f"{out}/{kind}/"), "book", F.lit(ending)))
     paths = {"json_path": ("json", ".json", F.col("ok")), "markdown_path": ("markdown", ".md", F.col("ok")), "seed_path": ("seed", ".seed.json", F.col("chapters") > 0), "graph_path": ("graph", ".graph.json", F.col("concepts") > 0)}
     return rows.withColumns({k: file(*v) for k, v in paths.items()})

@@ -62,11 +62,13 @@ def words(spark, sf) -> DataFrame:
 
 
 def listed(spark, sf) -> DataFrame:
-    """All pages of the books; some without words, some that could not be read, some whose tables could not."""
+    """All pages of the books; some without words, some whose words could not be read (with or without words that must
+    not count), some whose tables could not, some of whose words no text could be made."""
     d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"))
     more = d.where("page % 25 = 0").withColumn("page", (F.col("page") + 2 * SHORT).cast("int"))
-    own = d.select("*", F.lit(None).cast("string").alias("error"), F.expr("case when page % 31 = 0 then 'no tables' end").alias("structure_error"))
-    return own.unionByName(more.select("*", F.expr("case when page % 50 = 0 then 'broken page' end").alias("error"), F.lit(None).cast("string").alias("structure_error")))
+    none = F.lit(None).cast("string")
+    own = d.select("*", F.expr("case when page % 37 = 0 then 'broken words' end").alias("error"), F.expr("case when page % 31 = 0 then 'no tables' end").alias("structure_error"), F.expr("case when page % 41 = 0 then 'no text' end").alias("text_error"))
+    return own.unionByName(more.select("*", F.expr("case when page % 50 = 0 then 'broken page' end").alias("error"), none.alias("structure_error"), none.alias("text_error")))
 
 
 def page_cells(spark, sf) -> DataFrame:
@@ -393,8 +395,8 @@ DUCK: dict[str, tuple[tuple[str, ...], str]] = {
     "words": (("whole_words",), f"select * from whole_words union all select * replace (page + {SHORT} as page) from whole_words where {_SHORT_OF}"),
     "listed": (
         ("whole_words",),
-        "select book, page, null::varchar as error, case when page % 31 = 0 then 'no tables' end as structure_error from (select source as book, cast(doc_id + 1 as int) as page from documents) union all "
-        f"select book, page + {2 * SHORT}, case when page % 50 = 0 then 'broken page' end, null from (select source as book, cast(doc_id + 1 as int) as page from documents) where page % 25 = 0",
+        "select book, page, case when page % 37 = 0 then 'broken words' end as error, case when page % 31 = 0 then 'no tables' end as structure_error, case when page % 41 = 0 then 'no text' end as text_error from (select source as book, cast(doc_id + 1 as int) as page from documents) union all "
+        f"select book, page + {2 * SHORT}, case when page % 50 = 0 then 'broken page' end, null, null from (select source as book, cast(doc_id + 1 as int) as page from documents) where page % 25 = 0",
     ),
     "page_cells": (
         (),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from varaq.functions import rules, text
 from varaq.operators import blocks, graph, jobs, lessons, lines, outline, pages, render, requests, tables
 from varaq.plans import duck as d
-from varaq.plans import engine, inputs
+from varaq.plans import engine, inputs, staged
+from varaq.sources import book_pages, files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,9 +184,7 @@ def q_blocks(spark, sf):
 def _library(spark, sf) -> engine.Library:
     """The books of the documents: whole pages, short ones, tables, recognition of what is short, pages that fail."""
     names = inputs.read(spark, sf, "documents").select(F.col("source").alias("book")).distinct()
-    words, listed = inputs.words(spark, sf), inputs.listed(spark, sf)
-    texts = pages.with_all_pages(lines.page_texts(lines.lines_of(words)), listed)
-    return engine.Library(_meta(names), words, inputs.page_cells(spark, sf), inputs.page_ocr(pages.needs_ocr(texts.where("error is null"))), listed=listed)
+    return engine.Library(_meta(names), inputs.words(spark, sf), inputs.page_cells(spark, sf), inputs.page_ocr, listed=inputs.listed(spark, sf))
 
 
 def _pages(spark, sf) -> engine.Library:
@@ -629,3 +628,34 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+def _line_books(spark, sf) -> str:
+    """The words of the documents' books as files of pages, a line each, in volumes of 256 pages; the folder."""
+    words = inputs.words(spark, sf)
+    page = F.to_json(F.struct("page", "words"))
+    w = F.struct("word_no", "text", "x0", "x1", "top", "bottom", "size", "fontname", "color")
+    rows = words.groupBy("book", "page").agg(F.array_sort(F.collect_list(w)).alias("words")).select("book", F.col("page").alias("n"), page.alias("value"))
+    folder = files.shared_folder(spark, "books")
+    volume = F.floor(F.col("n") / 256)
+    rows.repartition("book", volume).sortWithinPartitions("book", "n").select("book", "value").write.partitionBy("book").text(folder)
+    return folder
+
+
+@register("q_source_words", "select book, page, word_no, text, x0, x1, top, bottom, size, fontname, len(color) as inks from words", "words")
+def q_source_words(spark, sf):
+    """The words of books, written as files and read back by the page source."""
+    got = book_pages.read_pages(spark, _line_books(spark, sf), "words", opener="lines", split_bytes=1 << 20, max_pages=1 << 30)
+    return got.select("book", "page", "word_no", "text", "x0", "x1", "top", "bottom", "size", "fontname", F.size("color").alias("inks"))
+
+
+@register("q_staged_counts", "select * from counts", "counts")
+def q_staged_counts(spark, sf):
+    """Pages of each book, from stages that were written out; a second run takes the first one's up again."""
+    folder, begun = files.shared_folder(spark, "staged"), []
+    for _ in range(2):
+        lib = _library(spark, sf)
+        staged.run(lib, folder, "documents", engine.STAGES[:2], begun.append)
+    if begun != [name for name, _ in engine.STAGES[:2]]:
+        raise RuntimeError(f"stages were done again: {begun}")
+    return lib["counts"]

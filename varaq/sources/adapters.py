@@ -112,41 +112,43 @@ def extracted(prompts: DataFrame, extractor: Callable[[], Callable[[str], str |
     return prompts.select("book", "lesson_order", "prompt").mapInPandas(run, RESPONSES)
 
 
-def pdf_reader() -> Callable[[bytes], Opened]:
-    """Words and bordered regions of the pages of a PDF, by the optional library pdfplumber."""
-    try:
-        import pdfplumber
-    except ImportError as e:
-        raise RuntimeError("reading PDF files needs the library pdfplumber") from e
-    import io
+def page_words(page) -> Iterator[dict]:
+    """The words of a page of pdfplumber."""
 
     def numbers(color) -> list[float] | None:
         return None if color is None else [float(x) for x in (color if isinstance(color, (list, tuple)) else [color])]
 
-    def words(page) -> Iterator[dict]:
-        for k, w in enumerate(page.extract_words(use_text_flow=False, extra_attrs=["size", "non_stroking_color", "fontname"])):
-            yield {"word_no": k, "color": numbers(w.get("non_stroking_color")), **{c: w.get(c) for c in ("text", "x0", "x1", "top", "bottom", "size", "fontname")}}
+    for k, w in enumerate(page.extract_words(use_text_flow=False, extra_attrs=["size", "non_stroking_color", "fontname"])):
+        yield {"word_no": k, "color": numbers(w.get("non_stroking_color")), **{c: w.get(c) for c in ("text", "x0", "x1", "top", "bottom", "size", "fontname")}}
+
+
+def page_boxes(page) -> Iterator[dict]:
+    """The cells of the bordered regions of a page of pdfplumber."""
+    for n, table in enumerate(page.find_tables(), 1):
+        outer = dict(zip(("table_x0", "table_top", "table_x1", "table_bottom"), map(float, table.bbox), strict=True))
+        for i, line in enumerate(table.rows, 1):
+            for j, cell in enumerate(line.cells, 1):
+                inner = zip(("x0", "top", "x1", "bottom"), map(float, cell) if cell else (None,) * 4, strict=True)
+                yield {"table_no": n, "row_no": i, "col_no": j, **dict(inner), **outer}
+
 
-    def boxes(page) -> Iterator[dict]:
-        for n, table in enumerate(page.find_tables(), 1):
-            outer = dict(zip(("table_x0", "table_top", "table_x1", "table_bottom"), map(float, table.bbox), strict=True))
-            for i, line in enumerate(table.rows, 1):
-                for j, cell in enumerate(line.cells, 1):
-                    inner = zip(("x0", "top", "x1", "bottom"), map(float, cell) if cell else (None,) * 4, strict=True)
-                    yield {"table_no": n, "row_no": i, "col_no": j, **dict(inner), **outer}
+def pdf_reader() -> Callable[[bytes], Opened]:
+    """Words and bordered regions of the pages of a PDF whose content is in a row; sources.book_pages reads files."""
+    import io
+
+    from varaq.sources.book_pages import open_pdf
+
+    open_book = open_pdf()
 
     def opened(content: bytes) -> Opened:
-        book = pdfplumber.open(io.BytesIO(content))
+        book = open_book(io.BytesIO(content))
 
         def read(number: int) -> dict:
-            page = book.pages[number - 1]
-            out = {"page_w": float(page.width or 0), "page_h": float(page.height or 0), "words": list(words(page)), "boxes": []}
-            try:
-                out["boxes"] = list(boxes(page))
-            except Exception as e:  # the page's lines still count
-                out["structure_error"] = str(e)
-            return out
-
-        return len(book.pages), read
+            got = book.read(number, True, True)
+            if "error" in got:
+                raise ValueError(got["error"])
+            return got
+
+        return len(book.numbers), read
 
     return opened
