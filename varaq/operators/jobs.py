@@ -5,6 +5,9 @@ events: id, seq and the job columns that changed (null: unchanged). jobs: one ro
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -121,13 +124,22 @@ def admitted(arrivals: DataFrame, capacity: int = SETTINGS.queue_capacity) -> Da
 
 def status_edits(progress: DataFrame, seconds: int = SETTINGS.status_seconds) -> DataFrame:
     """id, at of the progress reports (id, at) that are shown: a job's first, then each that comes `seconds` or more after
-    the last one shown. A job reports once a stage, so its list is short."""
-    wait = F.make_interval(secs=F.lit(float(seconds)))
-    none = F.struct(F.lit(None).cast("timestamp").alias("last"), F.array().cast("array<timestamp>").alias("shown"))
-    late = lambda acc, t: acc["last"].isNull() | (t >= acc["last"] + wait)
-    show = lambda acc, t: F.struct(F.when(late(acc, t), t).otherwise(acc["last"]).alias("last"), F.when(late(acc, t), F.concat(acc["shown"], F.array(t))).otherwise(acc["shown"]).alias("shown"))
-    times = progress.where("at is not null").groupBy("id").agg(F.array_sort(F.collect_list(F.col("at").cast("timestamp"))).alias("times"))
-    return times.select("id", F.explode(F.aggregate("times", none, show, lambda acc: acc["shown"])).alias("at"))
+    the last one shown. Reports pass in the order of time, and only the last one shown is remembered."""
+    wait = pd.Timedelta(seconds=seconds)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        job, last = None, None
+        for pdf in batches:
+            shown = []
+            for i, at in zip(pdf["id"], pdf["at"], strict=True):
+                show = last is None or i != job or at >= last + wait
+                if show:
+                    job, last = i, at
+                shown.append(show)
+            yield pdf[shown]
+
+    rows = progress.where("id is not null and at is not null").select("id", F.col("at").cast("timestamp").alias("at"))
+    return rows.repartition("id").sortWithinPartitions("id", "at").mapInPandas(run, rows.schema)
 
 
 def timed_out(jobs: DataFrame, now: Column, limit: int = SETTINGS.timeout_seconds) -> DataFrame:

@@ -12,6 +12,7 @@ from varaq.operators import blocks, graph, jobs, lessons, lines, outline, pages,
 from varaq.plans import duck as d
 from varaq.plans import engine, inputs, staged
 from varaq.sources import book_pages, files
+from varaq.streaming import job_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -464,7 +465,10 @@ def q_page_blocks(spark, sf):
     return _pages(spark, sf)["blocks"].select("book", "page", *_BLOCK.split(", "))
 
 
-@register("q_current_jobs", "select id, arg_max(state, seq) filter (where state is not null) as state, arg_max(total_pages, seq) filter (where total_pages is not null) as total_pages, arg_max(error_summary, seq) filter (where error_summary is not null) as error_summary from job_events group by 1", "job_events")
+_CURRENT_JOBS = "select id, arg_max(state, seq) filter (where state is not null) as state, arg_max(total_pages, seq) filter (where total_pages is not null) as total_pages, arg_max(error_summary, seq) filter (where error_summary is not null) as error_summary from job_events group by 1"
+
+
+@register("q_current_jobs", _CURRENT_JOBS, "job_events")
 def q_current_jobs(spark, sf):
     return jobs.current(inputs.job_events(spark, sf))
 
@@ -659,3 +663,15 @@ def q_staged_counts(spark, sf):
     if begun != [name for name, _ in engine.STAGES[:2]]:
         raise RuntimeError(f"stages were done again: {begun}")
     return lib["counts"]
+
+
+@register("q_job_table", _CURRENT_JOBS, "job_events")
+def q_job_table(spark, sf):
+    """The kept table after batches of events that come in no order, one of them twice."""
+    folder, history = files.shared_folder(spark, "jobs"), inputs.job_events(spark, sf)
+    for k in range(5):
+        mine = history.where(F.pmod(F.xxhash64("seq"), F.lit(5)) == k)
+        again = history.where(F.pmod(F.xxhash64("seq"), F.lit(5)) == k - 1).where("seq % 7 = 0")
+        job_table.apply(mine.unionByName(again), folder, k, most_deltas=2)
+        job_table.apply(mine, folder, k, most_deltas=2)
+    return job_table.read(spark, folder)
