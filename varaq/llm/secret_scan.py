@@ -53,7 +53,8 @@ def looks_live(value: str) -> bool:
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
-    """(start, place in KINDS, end, value) by start and kind: base spans, and runs that look live beside them."""
+    """(start, place in KINDS, end, value) by start and kind: base spans, and runs that look live beside them. Values are
+    told apart without the padding at their end."""
     found = [(m.start(), 0, m.end(), m.group(2)) for m in _ASSIGN.finditer(text) if len(m.group(2)) >= 8]
     found += [(m.start(), 1, m.end(), m.group()) for m in _ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), m.group()) for m in _HEX.finditer(text)]
@@ -63,9 +64,9 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
         while k < len(base) and base[k][0] < m.end():  # spans of different kinds may overlap, so the furthest end counts
             end = max(end, base[k][2])
             k += 1
-        if m.start() >= end and looks_live(m.group()):
+        if m.start() >= end and looks_live(m.group().rstrip("=")):
             out.append((m.start(), 3, m.end(), m.group()))
-    return sorted(out)
+    return sorted((start, k, end, value.rstrip("=")) for start, k, end, value in out)
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
@@ -122,7 +123,7 @@ def op11_secrets(spark, sf_dir: str) -> DataFrame:
     stay = F.filter("found", lambda s, i: (s["k"] < 3) | F.array_contains("live", i))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("found", lambda s, k=k: s["k"] == k)).cast("bigint").alias(f"n_{KINDS[k]}") for k in range(3)),
+        *(F.expr(f"cast(size(filter(found, s -> s.k = {k})) as bigint)").alias(f"n_{KINDS[k]}") for k in range(3)),
         F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"),
         _listed(stay).alias("spans"),
         F.size("live").cast("bigint").alias("n_live"),
@@ -147,10 +148,10 @@ def _sql() -> str:
     ), one AS (
       SELECT r, owner, repo, k, unnest(m) AS x, unnest(lm) AS n, unnest(lg[1 : len(m)]) AS gap, unnest(range(1, len(m) + 1)) AS i FROM placed
     ), sited AS (
-      SELECT r, owner, repo, k, x, (sum(gap + n) OVER (PARTITION BY r, k ORDER BY i) - n)::BIGINT AS start, CASE WHEN k = 0 THEN regexp_extract(x, '{patterns["assign"]}', 2) ELSE x END AS value FROM one
+      SELECT r, owner, repo, k, x, (sum(gap + n) OVER (PARTITION BY r, k ORDER BY i) - n)::BIGINT AS start, CASE WHEN k = 0 THEN regexp_extract(x, '{patterns["assign"]}', 2) ELSE x END AS whole, rtrim(whole, '=') AS value FROM one
     ), looked AS (
       SELECT *, start + length(x) AS stop, regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= {LEAST_DISTINCT} AS looks
-      FROM sited WHERE length(value) >= CASE k WHEN 0 THEN 8 WHEN 1 THEN 16 WHEN 2 THEN 32 ELSE 20 END AND (k < 3 OR length(rtrim(value, '=')) >= 20)
+      FROM sited WHERE length(whole) >= CASE k WHEN 0 THEN 8 WHEN 1 THEN 16 WHEN 2 THEN 32 ELSE 20 END AND (k < 3 OR length(value) >= 20)
     ), span AS (
       SELECT * FROM looked WHERE k < 3
       UNION ALL SELECT * FROM looked a WHERE k = 3 AND looks AND NOT EXISTS (SELECT 1 FROM looked b WHERE b.k < 3 AND b.r = a.r AND b.start < a.stop AND a.start < b.stop)
