@@ -207,8 +207,9 @@ def radix_top(df: DataFrame, keys: list[str], k: int = TOP, ties: int = TIES, fe
         tied = materialise(at().where(wide).select(*keys, "bound", "prefix", "need", "_bytes"), "ties")
         # what the first and the last tied item have in common, all have
         ends = tied.groupBy(*keys).agg(F.min("_bytes").alias("lo"), F.max("_bytes").alias("hi"))
-        same = F.expr("""aggregate(sequence(1, least(length(lo), length(hi)) div 2 + 1), 0,
-            (n, i) -> if(n = i - 1 and i <= least(length(lo), length(hi)) div 2 and substring(lo, 2 * i - 1, 2) = substring(hi, 2 * i - 1, 2), i, n))""")
+        most = "cast(least(length(lo), length(hi)) div 2 as int)"
+        same = F.expr(f"""aggregate(sequence(1, {most} + 1), 0,
+            (n, i) -> if(n = i - 1 and i <= {most} and substring(lo, 2 * i - 1, 2) = substring(hi, 2 * i - 1, 2), i, n))""")
         ends = ends.select(*keys, (2 * same).alias("common"))
         hist = tied.join(sent(ends), keys).groupBy(*keys, "bound", "need", "common", F.expr("substring(_bytes, 1, common + 2)").alias("digit")).agg(F.count("*").alias("m"))
         found = _first_reaching(hist, keys, F.asc("digit")).select(*keys, "bound", "need", "m", F.col("digit").alias("prefix"))
