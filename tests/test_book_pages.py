@@ -23,6 +23,8 @@ def line(n, words=1, **more):
 @pytest.fixture
 def folder(spark, tmp_path):
     book_pages.register(spark)
+    tmp_path = tmp_path / "کتاب ها"
+    tmp_path.mkdir()
     (tmp_path / "a.jsonl").write_text("\n".join(line(n, 2) for n in range(1, 41)) + "\n", encoding="utf-8")
     (tmp_path / "b.jsonl").write_text("\n".join([line(3), line(1), line(2)]), encoding="utf-8")  # any order, no last newline
     (tmp_path / "broken.jsonl").write_text("what\n", encoding="utf-8")

@@ -9,17 +9,20 @@ from pyspark.sql.window import Window
 from varaq.config import SETTINGS
 from varaq.functions.text import clean, is_blank
 from varaq.operators.lines import PAGE
+from varaq.operators.tables import page_band, page_bands
 
 
 def outside_tables(lines: DataFrame, tables: DataFrame) -> DataFrame:
     """Lines that lie in no table's rows; where they stand across the page does not matter.
 
-    Tables of a page are few, so this is an equi-join on the page with a condition, not a range join.
+    Tables are spelled into the bands of the page that they cross, so that a line meets those at its height only.
     """
     slack = SETTINGS.exclusion_slack
-    boxes = tables.select("book", "page", F.col("table_top").alias("t"), F.col("table_bottom").alias("b"))
-    on = [lines["book"] == boxes["book"], lines["page"] == boxes["page"], lines["top"] >= boxes["t"] - slack, lines["bottom"] <= boxes["b"] + slack]
-    return lines.join(boxes, on, "left_anti")
+    t, b = F.col("table_top") - slack, F.col("table_bottom") + slack
+    boxes = tables.select("book", "page", t.alias("t"), b.alias("b"), page_bands(t, b).alias("_band"))
+    lines = lines.withColumn("_band", page_band(F.col("top")))
+    on = [*(lines[c] == boxes[c] for c in ("book", "page", "_band")), lines["top"] >= boxes["t"], lines["bottom"] <= boxes["b"]]
+    return lines.join(boxes, on, "left_anti").drop("_band")
 
 
 def page_items(lines: DataFrame, tables: DataFrame) -> DataFrame:

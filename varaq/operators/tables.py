@@ -6,7 +6,7 @@ table_top, table_x1, table_bottom, page_w, page_h. Texts are those of region_tex
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from varaq.config import SETTINGS
@@ -67,16 +67,32 @@ def labelled(tables: DataFrame) -> DataFrame:
     )
 
 
+#: Height of a band of a page in points, and how far bands go; what lies beyond is in the last one.
+BAND, FAR = 16.0, 14400.0
+
+
+def page_band(y: Column) -> Column:
+    """The band of a page that a height lies in. Bands rise with y, so what lies between two heights lies in or between
+    their bands."""
+    return F.floor(F.greatest(F.least(y, F.lit(FAR)), F.lit(-FAR)) / BAND)
+
+
+def page_bands(top: Column, bottom: Column) -> Column:
+    """All bands from top to bottom, for one row each; none if a height is missing or they are the wrong way round."""
+    return F.explode(F.when(top <= bottom, F.sequence(page_band(top), page_band(bottom))))
+
+
 def words_in_cells(words: DataFrame, boxes: DataFrame) -> DataFrame:
     """Words with row_no and col_no of the cell that their centre lies in.
 
-    boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom. An equi-join on the page with a condition; a
-    page has few cells.
+    boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom. Cells are spelled into the bands of the page that they
+    cross, so that a word meets the cells at its height only.
     """
     b = boxes.select("book", "page", "table_no", "row_no", "col_no", *(F.col(c).alias(f"_{c}") for c in ("x0", "top", "x1", "bottom")))
+    b = b.select("*", page_bands(F.col("_top"), F.col("_bottom")).alias("_band"))
     x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
     inside = (x >= F.col("_x0")) & (x < F.col("_x1")) & (y >= F.col("_top")) & (y < F.col("_bottom"))
-    return words.join(b, ["book", "page"]).where(inside).drop("_x0", "_top", "_x1", "_bottom")
+    return words.withColumn("_band", page_band(y)).join(b, ["book", "page", "_band"]).where(inside).drop("_x0", "_top", "_x1", "_bottom", "_band")
 
 
 def cells_of(words: DataFrame, boxes: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Any, BinaryIO
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -186,9 +186,13 @@ class Wanted:
 
 
 def _filesystem(path: str):
+    """The store of a path or URI as Spark gives it (not percent-encoded), and the path there."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if re.match(r"[a-z0-9]+:", path) else f"file://{path}")
+    m = re.match(r"([a-z0-9+.-]+):(?://([^/]*))?(/.*)\Z", path, re.S)
+    if not m or m.group(1) == "file":
+        return fs.LocalFileSystem(), m.group(3) if m else path
+    return fs.FileSystem.from_uri(f"{m.group(1)}://{m.group(2) or ''}{quote(m.group(3))}")
 
 
 def _book_of(path: str) -> str:
