@@ -11,7 +11,11 @@
    marked article, one; inside it, where articles may quote each other, ARTICLE_SHARE of them and ARTICLE_VOTES at least.
 4. Of the lines left, those go that the markup itself says are not the article: outside of the marked article (or else
    main element), or in elements, roles or names for menus, headers, footers, sidebars, notices, adverts, forms and
-   comments. A class or id counts only if all its words are about such things: "related-posts", not "related-work".
+   comments. A class or id counts only if all its words are about such things: "related-posts", not "related-work". A form
+   that holds the article, a main part, a first heading or several paragraphs is the page's frame and no form; an aside
+   inside the article is part of it, unless its names say otherwise; an article inside the article is a comment.
+
+Alignments of long pages are found by halving, in memory that grows with their lengths; their time grows with the product.
 
 Pages are parsed twice, for the hashes and for the texts: texts that wait on disk for the deletions cost more disk than
 a second pass costs time (README). Positions in a host come from a range partitioning and partition sums, so one large
@@ -59,6 +63,9 @@ _BLOCKS = frozenset(
 #: Elements without any running text, and elements whose text is not the article's.
 _SILENT = frozenset("audio canvas datalist embed head iframe input map noscript object option script select style svg template textarea title video".split())
 _BESIDE = frozenset("aside button dialog fieldset footer form menu nav".split())
+#: Elements in foreign content, and how many paragraphs make a form the frame of a page.
+_FOREIGN = frozenset(("svg", "math"))
+FRAME_PARAGRAPHS = 3
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu menubar".split())
 #: Words of class and id names for what is not the article, and words that may stand beside them.
@@ -76,7 +83,7 @@ _NEUTRAL = frozenset(
 )
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
-_RAW = re.compile(r"<(script|style|noscript|template|textarea|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_RAW = re.compile(r"<(script|style|noscript|template|textarea|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"""(<[!?][^>]*>|</?[a-zA-Z](?>[^>"']|"[^"]*"|'[^']*'|["'])*(?:>|\Z))""")
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""")
@@ -95,6 +102,15 @@ def names_other_than_article(value: str) -> bool:
     return False
 
 
+def _says(tag: str, names: bool = True) -> bool:
+    """Whether an element's attributes say that it is not the article."""
+    for key, value in _ATTRIBUTE.findall(tag):
+        key, value = key.lower(), value.strip("\"'")
+        if key in ("class", "id") and names and names_other_than_article(value) or key == "role" and value.lower() in _ROLES:
+            return True
+    return False
+
+
 def _kind(name: str, tag: str) -> int:
     if name in _SILENT:
         return SILENT
@@ -103,13 +119,25 @@ def _kind(name: str, tag: str) -> int:
         return kind
     if _HIDDEN.search(tag):
         return SILENT
-    for key, value in _ATTRIBUTE.findall(tag):
-        key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("html", "body", "main") and names_other_than_article(value):
-            return BESIDE
-        if key == "role" and value.lower() in _ROLES:
-            return BESIDE
-    return kind
+    return BESIDE if _says(tag, name not in ("html", "body", "main")) else kind
+
+
+def _frames(tokens: list[str]) -> set[int]:
+    """Places of the forms that hold the page rather than questions to its reader: those with an article, a main part, a
+    first heading or several paragraphs."""
+    out: set[int] = set()
+    open_, paragraphs = None, 0
+    for k in range(1, len(tokens), 2):
+        found = _NAME.match(tokens[k])
+        name = found[1].lower() if found else ""
+        if name == "form":
+            open_, paragraphs = (None if tokens[k][1] == "/" else k), 0
+        elif open_ is not None and tokens[k][1] != "/":
+            paragraphs += name == "p"
+            if name in ("article", "main", "h1") or paragraphs >= FRAME_PARAGRAPHS:
+                out.add(open_)
+                open_ = None
+    return out
 
 
 def all_lines(html: str) -> list[tuple[int, int, str]]:
@@ -129,7 +157,9 @@ def all_lines(html: str) -> list[tuple[int, int, str]]:
                     lines.append((rank, own, text))
                 parts[own].clear()
 
-    for k, token in enumerate(_TAG.split(html)):
+    tokens = _TAG.split(html)
+    frames = _frames(tokens) if "<form" in html or "<FORM" in html or "<Form" in html else ()
+    for k, token in enumerate(tokens):
         if k % 2 == 0:
             if token and kind != SILENT:
                 parts[kind].append(token)
@@ -139,6 +169,9 @@ def all_lines(html: str) -> list[tuple[int, int, str]]:
             continue
         name = found[1].lower()
         block = name in _BLOCKS
+        if block and kind == SILENT and any(x[0] in _FOREIGN for x in stack):  # a block ends an icon that was left open
+            del stack[next(at for at, x in enumerate(stack) if x[0] in _FOREIGN) :]
+            kind, rank = (stack[-1][1], stack[-1][2]) if stack else (WANTED, 0)
         if block and kind != SILENT:
             close()
         elif name == "br" and kind != SILENT:
@@ -160,9 +193,14 @@ def all_lines(html: str) -> list[tuple[int, int, str]]:
                 if stack[at][0] in _BLOCKS:
                     break
         if kind != SILENT:
-            if kind == WANTED and name in ("article", "main"):
+            own = _kind(name, token)
+            if own == BESIDE and (k in frames or name == "aside" and rank == 2) and not _says(token):
+                own = WANTED  # the frame of the page, or a quotation set into the article
+            if name == "article" and rank == 2:
+                own = max(own, BESIDE)  # an article inside an article is a reader's comment
+            if max(kind, own) == WANTED and name in ("article", "main"):
                 rank = max(rank, 2 if name == "article" else 1)
-            kind = max(kind, _kind(name, token), BESIDE if name == "header" and not rank else WANTED)
+            kind = max(kind, own, BESIDE if name == "header" and not rank else WANTED)
         stack.append((name, kind, rank))
     if kind != SILENT:
         close()
@@ -262,25 +300,58 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     if both:
         at = [k for k in range(i, x) if a[k] in both]
         other = [k for k in range(j, y) if b[k] in both]
-        rows = [[0] * (len(other) + 1)]
-        for k in at:
-            last, row = rows[-1], [0]
-            for n, m in enumerate(other):
-                row.append(last[n] + 1 if a[k] == b[m] else max(last[n + 1], row[n]))
-            rows.append(row)
-        middle, p, q = [], len(at), len(other)
-        while p and q:
-            if a[at[p - 1]] == b[other[q - 1]]:
-                middle.append((at[p - 1], other[q - 1]))
-                p, q = p - 1, q - 1
-            elif rows[p - 1][q] >= rows[p][q - 1]:
-                p -= 1
-            else:
-                q -= 1
-        out += middle[::-1]
+        number = {h: n for n, h in enumerate(both)}
+        middle = _lcs([number[a[k]] for k in at], [number[b[k]] for k in other])
+        out += [(at[p], other[q]) for p, q in middle]
     return out + tail[::-1]
 
 
+#: Cells up to which a table of all lengths is kept; longer pairs are halved until they are as small.
+TABLE_CELLS = 40_000
+
+
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of a and each beginning of b: one row at a time."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
+    return row
+
+
+def _by_table(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        last, row = rows[-1], [0]
+        for n, y in enumerate(b):
+            row.append(last[n] + 1 if x == y else max(last[n + 1], row[n]))
+        rows.append(row)
+    out, p, q = [], len(a), len(b)
+    while p and q:
+        if a[p - 1] == b[q - 1]:
+            p, q = p - 1, q - 1
+            out.append((p, q))
+        elif rows[p - 1][q] >= rows[p][q - 1]:
+            p -= 1
+        else:
+            q -= 1
+    return out[::-1]
+
+
+def _lcs(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, in memory that grows with the lengths (Hirschberg's halving)."""
+    out, parts = [], [(0, len(a), 0, len(b))]
+    x, y = np.array(a, np.int64), np.array(b, np.int64)
+    while parts:
+        i, k, j, m = parts.pop()
+        if (k - i) * (m - j) <= TABLE_CELLS or k - i == 1:
+            out += [(i + p, j + q) for p, q in _by_table(a[i:k], b[j:m])]
+            continue
+        half = (i + k) // 2
+        cut = j + int(np.argmax(_lengths(x[i:half], y[j:m]) + _lengths(x[half:k][::-1], y[j:m][::-1])[::-1]))
+        parts += [(half, k, cut, m), (i, half, j, cut)]  # the first half is taken next
+    return out
+
+
 def common_lines(a: list[int], b: list[int]) -> list[int]:
     """Places in a of a longest common subsequence of a and b."""
     return [k for k, _ in aligned(a, b)]
