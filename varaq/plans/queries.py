@@ -182,10 +182,19 @@ def q_blocks(spark, sf):
     return _blocks(spark, sf).drop("rows", "top", "source")
 
 
+#: The library that the last query has made: its caches go when the next one is made.
+_OPEN: list[engine.Library] = []
+
+
 def _library(spark, sf) -> engine.Library:
     """The books of the documents: whole pages, short ones, tables, recognition of what is short, pages that fail."""
+    while _OPEN:
+        last = _OPEN.pop()
+        if last.requests.sparkSession is spark:
+            last.release()
     names = inputs.read(spark, sf, "documents").select(F.col("source").alias("book")).distinct()
-    return engine.Library(_meta(names), inputs.words(spark, sf), inputs.page_cells(spark, sf), inputs.page_ocr, listed=inputs.listed(spark, sf))
+    _OPEN.append(engine.Library(_meta(names), inputs.words(spark, sf), inputs.page_cells(spark, sf), inputs.page_ocr, listed=inputs.listed(spark, sf)))
+    return _OPEN[0]
 
 
 def _pages(spark, sf) -> engine.Library:
