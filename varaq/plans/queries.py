@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varaq.functions import rules, text
-from varaq.operators import blocks, graph, jobs, lessons, lines, outline, pages, render, requests, tables
+from varaq.operators import blocks, canonical, graph, jobs, lessons, lines, outline, pages, render, requests, tables
 from varaq.plans import duck as d
 from varaq.plans import engine, inputs, staged
 from varaq.sources import book_pages, files
@@ -684,3 +684,22 @@ def q_job_table(spark, sf):
         job_table.apply(mine.unionByName(again), folder, k, most_deltas=2)
         job_table.apply(mine, folder, k, most_deltas=2)
     return job_table.read(spark, folder)
+
+
+#: Titles of the given parts as concepts of many books: pairs of all names, and what is reached over them.
+_CANONICAL = (
+    "named as (select p_brand as book, p_partkey, p_name as title, (p_partkey % 100) / 1e2 as confidence, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda w: w <> ''))), ' ') as name from part), "
+    "names as (select distinct name, string_split(name, ' ') as w from named), "
+    "near as (select a.name as a, b.name as b from names a join names b on a.name <> b.name and 5 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w)))), "
+    "reach as (select name as a, name as b from names union select r.a, n.b from reach r join near n on n.a = r.b), "
+    "least as (select a as name, min(b) as least from reach group by 1) "
+)
+
+
+@register(
+    "q_canonical_concepts",
+    f"with recursive {_CANONICAL} select 'concept-' || sha256(least)[1 : 16] as concept, count(*) as vertices, count(distinct book) as books, arg_min(title, (-confidence, title)) as title, max(confidence) as confidence from named join least using (name) group by least",
+)
+def q_canonical_concepts(spark, sf):
+    p = inputs.read(spark, sf, "part").select(F.col("p_brand").alias("book"), F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.expr("(p_partkey % 100) / 1e2").alias("confidence"))
+    return canonical.concepts(canonical.assigned(p)).select("concept", "vertices", "books", "title", "confidence")

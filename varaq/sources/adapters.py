@@ -147,7 +147,7 @@ def pdf_reader() -> Callable[[bytes], Opened]:
             got = book.read(number, True, True)
             if "error" in got:
                 raise ValueError(got["error"])
-            return got
+            return {"boxes": [], **got}
 
         return len(book.numbers), read
 
