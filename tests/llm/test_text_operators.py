@@ -184,9 +184,9 @@ def test_terms_of_rare_values_are_weighed_by_their_counts(spark):
     rows += [(100 + k, f"{far} w{k % 9} number {k} " + "shared " * (k % 200 == 0)) for k in range(2000)] + [(5000, f"shared {far} third@x.example.com")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r.doc_id: {(r.text[s.start : s.end], pii.KINDS[s.k]) for s in r._all if s.k >= pii.BASE_KINDS} for r in pii.with_spans(df).collect()}
-    assert got[0] == {("quorlin", "term"), ("vastrel", "term")}
+    assert got[0] == set()  # every word stands beside it in its one document
     assert got[1] == {("zoltun", "term")} == got[2] and got[5000] == set()
-    assert got[10] == got[13] == {("dupli", "term"), ("same", "term")}
+    assert got[10] == got[13] == set()
     assert not any(v for k, v in got.items() if 100 <= k < 5000)
 
 

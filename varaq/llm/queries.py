@@ -13,7 +13,7 @@ from varaq.llm.graph_dedup import OP1_SQL, op1_graph_dedup
 from varaq.llm.html_extract import op10_html
 from varaq.llm.minhash import OP9_SQL, op9_minhash
 from varaq.llm.mixing import OP2_SQL, op2_mixing
-from varaq.llm.pii import op4_pii
+from varaq.llm.pii import OP4_SQL, op4_pii
 from varaq.llm.point_in_time import OP13_SQL, op13_point_in_time
 from varaq.llm.quality import op8_quality
 from varaq.llm.secret_scan import OP11_SQL, op11_secrets
@@ -31,5 +31,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Of those whose every column SQL can express. Tests hold the others against brute force, the tokenizer libraries
-    and held-out labels, and the base columns of op4 and op8 against BASE_SQL."""
-    return {"op1_graph_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op7_sharding": OP7_SQL, "op9_minhash": OP9_SQL, "op11_secrets": OP11_SQL, "op12_divergence": OP12_SQL, "op13_point_in_time": OP13_SQL}
+    and held-out labels, and the base columns of op8 against BASE_SQL."""
+    return {"op1_graph_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op4_pii": OP4_SQL, "op7_sharding": OP7_SQL, "op9_minhash": OP9_SQL, "op11_secrets": OP11_SQL, "op12_divergence": OP12_SQL, "op13_point_in_time": OP13_SQL}
