@@ -50,7 +50,7 @@ def blocks_of(lines: DataFrame, tables: DataFrame) -> DataFrame:
     starts = ~(F.col("flowing") & F.coalesce(F.lag("flowing").over(order), F.lit(False)))
     items = items.withColumn("flowing", flowing).withColumn("starts", starts)
     items = items.withColumn("block_index", F.sum(F.col("starts").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("top", "kind", "seq", "text"))), lambda x: x["text"]), "\n")
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("top", "kind", "seq", "text"))), lambda x: x["text"]), "\n")
     one = lambda c: F.first(c).alias(c)  # noqa: E731  every column but the text is the same in a block, or not shown
     out = items.groupBy(*PAGE, "block_index").agg(text.alias("raw"), one("flowing"), one("kind"), one("type"), one("confidence"), one("reason"), one("rows"), one("fill_ratio"), F.min("top").alias("top"))
     bordered = F.col("kind") == 1

@@ -21,7 +21,7 @@ def table_stats(cells: DataFrame) -> DataFrame:
     cells = cells.withColumn("cell", F.coalesce("text", F.lit("")))
     newlines = F.length("cell") - F.length(F.replace("cell", F.lit("\n"), F.lit("")))
     rows = cells.groupBy(*TABLE, "row_no").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("col_no", "cell"))), lambda x: x["cell"]).alias("row"),
+        F.transform(F.sort_array(F.collect_list(F.struct("col_no", "cell"))), lambda x: x["cell"]).alias("row"),
         F.count("*").alias("width"),
         F.count_if(~is_blank(F.col("cell"))).alias("filled"),
         F.max(newlines).alias("newlines"),
@@ -31,7 +31,7 @@ def table_stats(cells: DataFrame) -> DataFrame:
     area = F.greatest(F.col("table_x1") - F.col("table_x0"), F.lit(0.0)) * F.greatest(F.col("table_bottom") - F.col("table_top"), F.lit(0.0))
     page = F.coalesce("page_w", F.lit(0.0)) * F.coalesce("page_h", F.lit(0.0))
     tables = rows.groupBy(*TABLE).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("row_no", "row"))), lambda x: x["row"]).alias("rows"),
+        F.transform(F.sort_array(F.collect_list(F.struct("row_no", "row"))), lambda x: x["row"]).alias("rows"),
         F.count("*").alias("n_rows"),
         F.max("width").alias("n_cols"),
         F.sum("width").alias("n_cells"),

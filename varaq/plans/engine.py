@@ -25,6 +25,8 @@ class Library:
     #: All pages, as operators.pages.with_all_pages() takes them; without it those that have words.
     listed: DataFrame | None = None
     relations: dict[str, DataFrame] = field(default_factory=dict)
+    #: What stages keep for themselves until release().
+    held: list[DataFrame] = field(default_factory=list)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.relations[name]
@@ -33,6 +35,8 @@ class Library:
         for name in SHARED:
             if name in self.relations:
                 self.relations[name].unpersist()
+        while self.held:
+            self.held.pop().unpersist()
 
 
 Stage = Callable[[Library], dict[str, DataFrame]]
@@ -44,13 +48,19 @@ class Cancelled(RuntimeError):
     pass
 
 
-def extract_pages(lib: Library) -> dict[str, DataFrame]:
-    styled = lines.classify(lines.lines_of(lib.words)).persist()
-    texts = lines.page_texts(styled)
+def read_pages(lib: Library) -> DataFrame:
+    """The pages with their texts and status; of the lines only the texts are kept, as recognition asks for them too."""
+    texts = lines.page_texts(lines.lines_of(lib.words)).persist()
+    lib.held.append(texts)
     if lib.listed is not None:
         texts = pages.with_all_pages(texts, lib.listed)
     ocr = lib.ocr(pages.needs_ocr(texts)) if callable(lib.ocr) else lib.ocr
-    status = pages.page_status(texts, ocr, lib.use_ocr)
+    return pages.page_status(texts, ocr, lib.use_ocr)
+
+
+def extract_pages(lib: Library) -> dict[str, DataFrame]:
+    status = read_pages(lib)
+    styled = lines.classify(lines.lines_of(lib.words)).persist()
     boxes = tables.labelled(tables.accepted(tables.table_stats(lib.cells)))
     return {"lines": styled, "pages": status, "blocks": pages.page_blocks(status, blocks.blocks_of(styled, boxes))}
 

@@ -170,6 +170,8 @@ def run(
             for df in made.values():
                 if df.is_cached:
                     df.unpersist()
+            while lib.held:
+                lib.held.pop().unpersist()
             done = _Marker(uuid.uuid4().hex, key, before, tuple(made))
             files.write_text(spark, f"{place}/_DONE", done.text())
         lib.relations |= {r: spark.read.parquet(f"{place}/{r}") for r in done.relations}
