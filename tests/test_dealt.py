@@ -1,5 +1,7 @@
 """What is dealt out by page before it grows stays where it is; what tasks hold does not grow with the input."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from varaq.operators import lines
@@ -31,3 +33,12 @@ def test_tasks_grow_in_number(spark):
     t = spark.range(1000).select("id", F.lit("x" * 100).alias("text"))
     assert inputs.dealt(t, ("id",), "length(text)", 1000).rdd.getNumPartitions() == 100
     assert inputs.dealt(t.where("false"), ("id",), "length(text)", 1000).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_rows_that_are_spelled_out_do_not_carry_a_book_or_a_page(spark, sf):
+    """What a Generate passes on with each of its rows: names and numbers, never all edges of a book or the text of a page."""
+    for name, of in (("q_graph_json", "concepts"), ("q_json_document", "blocks")):
+        p = plan(queries.QUERIES[name](spark, sf))
+        spelled = [x for x in p.split("\n") if re.search(rf"Generate explode\w*\([^ ]*{of}", x)]
+        carried = {c.split("#")[0].strip().removeprefix("_extract_") for x in spelled for c in re.search(r", \[([^\]]*)\], (?:true|false), \[", x)[1].split(",")}
+        assert spelled and carried <= {"book", "page", "book_title", "version"} and "Join" in p, (name, spelled)

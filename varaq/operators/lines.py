@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from varaq.config import SETTINGS
 from varaq.functions.rules import classified, is_grey
 from varaq.functions.text import clean, fix_glyphs, is_blank
-from varaq.sources.files import shared_folder
+from varaq.sources.files import sized
 
 PAGE = ("book", "page")
 
@@ -70,9 +70,7 @@ def classify(lines: DataFrame) -> DataFrame:
     Baselines are written out first: by the size of the file Spark sends a few to all tasks, so that lines stay where they
     are and are not gathered by book; many are joined by a shuffle.
     """
-    spark, folder = lines.sparkSession, shared_folder(lines.sparkSession, "baselines")
-    baselines(lines).write.parquet(folder)
-    found = spark.read.parquet(folder)
+    found = sized(baselines(lines), "baselines")
     kind = classified(F.col("text"), F.col("avg_size"), F.col("is_colored"), F.col("is_bold"), F.col("baseline"))
     return lines.join(found, "book").withColumn("c", kind).select(*lines.columns, "baseline", "c.*")
 
