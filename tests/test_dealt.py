@@ -42,3 +42,8 @@ def test_rows_that_are_spelled_out_do_not_carry_a_book_or_a_page(spark, sf):
         spelled = [x for x in p.split("\n") if re.search(rf"Generate explode\w*\([^ ]*{of}", x)]
         carried = {c.split("#")[0].strip().removeprefix("_extract_") for x in spelled for c in re.search(r", \[([^\]]*)\], (?:true|false), \[", x)[1].split(",")}
         assert spelled and carried <= {"book", "page", "book_title", "version"} and "Join" in p, (name, spelled)
+
+
+def test_grids_are_dealt_out_by_page_and_their_cells_stay(spark, sf):
+    p = plan(queries.QUERIES["q_table_stats"](spark, sf))
+    assert p.count("Exchange") == 1 and "hashpartitioning(book" in p and p.index("Exchange") > p.rindex("Generate")

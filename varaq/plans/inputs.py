@@ -81,6 +81,8 @@ def page_cells(spark, sf) -> DataFrame:
 
 #: Characters of texts that one task spells into words: what it sorts of them stays in its memory.
 TASK_CHARS = 6_000_000
+#: Parts whose grids one task spells into cells.
+TASK_PARTS = 20_000
 
 
 def dealt(df: DataFrame, keys: tuple[str, ...], size: str, most: int) -> DataFrame:
@@ -125,7 +127,8 @@ def _spelled(pages: DataFrame) -> DataFrame:
 
 def cells(spark, sf) -> DataFrame:
     """A grid for each part, on a page of its own in its brand's book; some of them sparse, empty, flat or false."""
-    p = read(spark, sf, "part")
+    p = read(spark, sf, "part").select("p_partkey", "p_name", F.col("p_brand").alias("book"), F.col("p_partkey").cast("int").alias("page"))
+    p = dealt(p, ("book", "page"), "1", TASK_PARTS)
     g = p.select("*", F.explode(F.expr("sequence(1, cast(1 + p_partkey % 4 as int))")).alias("row_no"))
     g = g.select("*", F.explode(F.expr("sequence(1, cast(1 + (p_partkey div 4) % 3 as int))")).alias("col_no"))
     text = (
@@ -133,8 +136,8 @@ def cells(spark, sf) -> DataFrame:
         f"when p_partkey % 10 = 6 and row_no = 1 and col_no = 1 then repeat('x\n', 17) else translate(p_name, '{AZ}', '{FA}') end"
     )
     return g.select(
-        F.col("p_brand").alias("book"),
-        F.col("p_partkey").cast("int").alias("page"),
+        "book",
+        "page",
         F.lit(1).alias("table_no"),
         "row_no",
         "col_no",
