@@ -47,3 +47,11 @@ def test_rows_that_are_spelled_out_do_not_carry_a_book_or_a_page(spark, sf):
 def test_grids_are_dealt_out_by_page_and_their_cells_stay(spark, sf):
     p = plan(queries.QUERIES["q_table_stats"](spark, sf))
     assert p.count("Exchange") == 1 and "hashpartitioning(book" in p and p.index("Exchange") > p.rindex("Generate")
+
+
+def test_books_of_lines_may_be_compressed(spark, sf, tmp_path):
+    from varaq.sources import book_pages
+
+    folder = queries._line_books(spark, sf)
+    got = book_pages.read_pages(spark, folder, "words", opener="lines", max_pages=1 << 30)
+    assert got.count() == inputs.words(spark, sf).count() and all(".gz" in x for x in spark.read.text(folder).inputFiles())

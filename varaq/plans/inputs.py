@@ -3,7 +3,7 @@ expressions. Texts are made Persian letter by letter, so that every operator mee
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varaq.functions.text import CHAPTER, LESSON, ORDINALS
@@ -56,8 +56,9 @@ SHORT = 1_000_000
 _SHORT_OF = "page % 9 = 0 and word_no < page % 7"
 
 
-def words(spark, sf) -> DataFrame:
-    return _spelled(_page_texts(spark, sf))
+def words(spark, sf, volume: Column | None = None) -> DataFrame:
+    """volume: of pages that are to lie together; it is a further column then."""
+    return _spelled(_page_texts(spark, sf, volume))
 
 
 def listed(spark, sf) -> DataFrame:
@@ -92,24 +93,27 @@ def dealt(df: DataFrame, keys: tuple[str, ...], size: str, most: int) -> DataFra
     return df.repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-total // most)), *keys)
 
 
-def _page_texts(spark, sf) -> DataFrame:
+def _page_texts(spark, sf, volume: Column | None = None) -> DataFrame:
     """book, page, text of the whole pages and of the short ones, of which the first line is enough; own is the number of
     the whole page. Texts are dealt out by page before they are words, which are many times larger."""
     d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"), "text")
     d = d.select("*", F.col("page").alias("own"), F.lit(False).alias("short"))
     short = d.where("page % 9 = 0").withColumns({"page": (F.col("page") + SHORT).cast("int"), "text": F.substring_index("text", "\n", 1), "short": F.lit(True)})
-    return dealt(d.unionByName(short), ("book", "page"), "length(text)", TASK_CHARS)
+    both = d.unionByName(short)
+    if volume is not None:
+        return dealt(both.withColumn("volume", volume), ("book", "volume"), "length(text)", TASK_CHARS)
+    return dealt(both, ("book", "page"), "length(text)", TASK_CHARS)
 
 
 def _spelled(pages: DataFrame) -> DataFrame:
-    t = pages.select("book", "page", "own", "short", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
-    t = t.select("book", "page", "own", "short", "ln", F.posexplode(F.split("line", " ")).alias("tok", "w")).where("w <> '' and (not short or ln * 100000 + tok < own % 7)")
+    keys = [c for c in ("book", "volume", "page") if c in pages.columns]
+    t = pages.select(*keys, "own", "short", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
+    t = t.select(*keys, "own", "short", "ln", F.posexplode(F.split("line", " ")).alias("tok", "w")).where("w <> '' and (not short or ln * 100000 + tok < own % 7)")
     t = t.withColumn("vl", F.expr("ln * 2000 + tok div 12"))
     top = F.expr("vl * 12e0 + (tok % 3) / 2e0")
     x0 = F.expr("500e0 - (tok % 12) * 7e0")
     return t.select(
-        "book",
-        "page",
+        *keys,
         F.expr("ln * 100000 + tok").alias("word_no"),
         F.expr(_WORD).alias("text"),
         x0.alias("x0"),

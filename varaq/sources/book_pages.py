@@ -23,6 +23,7 @@ as partitioned writes lay them out; any other is a book of its own.
 
 from __future__ import annotations
 
+import gzip
 import importlib
 import io
 import json
@@ -69,9 +70,13 @@ def _said(e: Exception) -> str:
 
 def open_lines() -> Callable[[BinaryIO], Book]:
     """Books that another tool has taken apart: a line a page, {"page": n, "page_w":, "page_h":, "words": [...], "boxes":
-    [...]}, in any order. Only the places of the lines are kept in memory."""
+    [...]}, in any order, compressed by gzip or not. Only the places of the lines are kept in memory."""
 
     def opened(file: BinaryIO) -> Book:
+        if file.read(2) == b"\x1f\x8b":
+            file.seek(0)
+            file = gzip.GzipFile(fileobj=file)
+        file.seek(0)
         places, at = {}, 0
         for line in file:
             m = re.match(rb'\s*\{\s*"page"\s*:\s*(\d+)', line)
@@ -124,7 +129,7 @@ def open_pdf() -> Callable[[BinaryIO], Book]:
 
 
 OPENERS: dict[str, Opener] = {"pdf": open_pdf, "lines": open_lines}
-_SUFFIX = {"pdf": r"(?i)\.pdf\Z", "lines": r"\.(jsonl|txt)\Z"}
+_SUFFIX = {"pdf": r"(?i)\.pdf\Z", "lines": r"\.(jsonl|txt)(\.gz)?\Z"}
 
 
 def _opener(name: str) -> Opener:
@@ -197,7 +202,7 @@ def _filesystem(path: str):
 
 def _book_of(path: str) -> str:
     inner = re.search(r"/book=([^/]*)/[^/]*\Z", path)
-    return unquote(inner.group(1)) if inner else re.sub(r"(?<=.)\.[^.]*\Z", "", path.rsplit("/", 1)[-1])
+    return unquote(inner.group(1)) if inner else re.sub(r"(?<=.)\.[^.]*(\.gz)?\Z", "", path.rsplit("/", 1)[-1])
 
 
 class BookPagesReader(DataSourceReader):
