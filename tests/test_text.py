@@ -102,3 +102,24 @@ def test_file_names_and_lists(spark):
     lists = values(spark, ["1, 2,1", "1,x", "", "0,1", "5,,6", None, "+3"], rules.allow_list)
     assert lists == [[1, 2], [], [], [], [], [], [3]]
     assert spark.range(1).select(rules.mean_confidence(F.array(F.lit("80"), F.lit("-1"), F.lit("invalid")))).first()[0] == 80.0
+
+
+def test_a_text_is_cleaned_in_few_passes_with_the_rows_of_all_its_steps(spark):
+    """Each pass over the pages of a library costs as much as spelling them; clean() took three translations and ten
+    replacements. Lines of white space in every place, and double spaces, come out as from one step after the other."""
+    steps = lambda c: text.strip(text.normalise_spaces(text.drop_noise_lines(text.normalise_spaces(text.fix_brackets(text.normalise_letters(c))))))
+    pieces = ["ab", "ك", "ـ", "۱", " ", "  ", "\t", "\r", "\n", "\xa0", "　", " ", ")", "(", "]x[", "}y{", "-", "😀"]
+    rng = random.Random(5)
+    items = samples(seed=6) + ["".join(rng.choices(pieces, k=rng.randint(0, 40))) for _ in range(3000)]
+    assert values(spark, items, text.clean) == values(spark, items, steps)
+    p = spark.range(1).select(text.clean(F.col("id").cast("string")).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("translate(") == 3, p  # one, told again in the question and its branches, done once
+    assert len(re.findall(r"regexp_replace\(", p)) == 4, p
+
+
+def test_bands_need_no_decimals(spark):
+    from varaq.operators.lines import band
+
+    df = spark.range(40000).select(((F.col("id") - 20000) / F.lit(4e0)).alias("y")).union(spark.createDataFrame([(None,)], "y double"))
+    assert df.where(~band(F.col("y")).eqNullSafe(F.bround(F.col("y") / 3e0) * 3e0)).count() == 0
+    assert "bround" not in df.select(band(F.col("y")))._jdf.queryExecution().optimizedPlan().toString()

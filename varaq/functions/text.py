@@ -84,39 +84,53 @@ def digits_to_int(c: Column) -> Column:
 
 
 def fix_glyphs(c: Column) -> Column:
-    """Words in Arabic script were stored mirrored; numbers and others were not."""
-    return F.when(is_number(c), c).when(contains_script(c), F.reverse(c)).otherwise(c)
+    """Words in Arabic script were stored mirrored; numbers and others were not. Most words fail the first question."""
+    return F.when(contains_script(c) & ~is_number(c), F.reverse(c)).otherwise(c)
 
 
 def fix_brackets(c: Column) -> Column:
+    """Brackets that stand the wrong way round; most texts have none and are looked through once."""
     inner = r"([^()\[\]{}]{1,6})"
-    c = F.regexp_replace(c, rf"\){inner}\(", "($1)")
-    c = F.regexp_replace(c, rf"\]{inner}\[", "[$1]")
-    return F.regexp_replace(c, rf"\}}{inner}\{{", "{$1}")
+    wrong = (rf"\){inner}\(", rf"\]{inner}\[", rf"\}}{inner}\{{")
+    fixed = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, wrong[0], "($1)"), wrong[1], "[$1]"), wrong[2], "{$1}")
+    return F.when(c.rlike("|".join(wrong)), fixed).otherwise(c)
 
 
-def normalise_letters(c: Column) -> Column:
-    kept = {k: v for k, v in LETTERS.items() if v}  # translate drops what has no counterpart, at the end
-    return F.translate(c, "".join([*kept, *(k for k in LETTERS if k not in kept)]), "".join(kept.values()))
+def normalise_letters(c: Column, further: dict[str, str] | None = None) -> Column:
+    letters = LETTERS | (further or {})
+    kept = {k: v for k, v in letters.items() if v}  # translate drops what has no counterpart, at the end
+    return F.translate(c, "".join([*kept, *(k for k in letters if k not in kept)]), "".join(kept.values()))
+
+
+_BREAKS = {"\r": "\n", "\t": " "}
 
 
 def normalise_spaces(c: Column) -> Column:
-    c = F.translate(c, "\r\t", "\n ")
+    c = F.translate(c, "".join(_BREAKS), "".join(_BREAKS.values()))
     return F.regexp_replace(F.regexp_replace(c, " {2,}", " "), "\n{3,}", "\n\n")
 
 
-def drop_noise_lines(c: Column) -> Column:
-    """Lines of one character, or of digits, white space and rules only, go; the rest is stripped line by line.
+#: What goes of a text's lines, found in one pass: lines of one character, or of digits, white space and rules only, with
+#: their ends; white space where a line begins; and where it ends, in possessive runs that begin where a run begins.
+_NOISE = (
+    rf"(?md)^(?:(?:[\p{{Nd}}{_IN_LINE}\x{{2013}}\x{{2014}}_.:|/\\-]*+|[{_IN_LINE}]*+[^\n][{_IN_LINE}]*+)(?:\n|\z)|[{_IN_LINE}]++)"
+    rf"|[{_IN_LINE}](?<![{_IN_LINE}][{_IN_LINE}])[{_IN_LINE}]*+(?![^\n])"
+)
 
-    Three replacements over the whole text, each in one pass: possessive runs that begin where a run begins."""
-    stripped = F.regexp_replace(c, rf"(?<![^\n])[{_IN_LINE}]++|(?<![{_IN_LINE}])[{_IN_LINE}]++(?![^\n])", "")
-    noise = rf"(?<![^\n])(?:[\p{{Nd}}{_IN_LINE}\x{{2013}}\x{{2014}}_.:|/\\-]*+|[^\n])(?:\n|\z)"
-    return F.regexp_replace(F.regexp_replace(stripped, noise, ""), r"\n\z", "")
+
+def drop_noise_lines(c: Column) -> Column:
+    """Lines of one character, or of digits, white space and rules only, go; the rest is stripped line by line."""
+    return F.rtrim(F.regexp_replace(c, _NOISE, ""), F.lit("\n"))
 
 
 def clean(c: Column) -> Column:
-    c = normalise_spaces(fix_brackets(normalise_letters(F.coalesce(c, F.lit("")))))
-    return strip(normalise_spaces(drop_noise_lines(c)))
+    """Letters, brackets, spaces and noise, each as its function above has it.
+
+    The steps share their passes over the text, the costliest of a page: letters and breaks are translated at once; spaces
+    after a space go with the noise; and where no line is blank or has white space at its ends, none of a text's is left.
+    """
+    c = fix_brackets(normalise_letters(F.coalesce(c, F.lit("")), _BREAKS))
+    return F.rtrim(F.regexp_replace(c, rf"{_NOISE}| (?<=  ) *+", ""), F.lit("\n"))
 
 
 def fix_first(c: Column) -> Column:

@@ -17,8 +17,8 @@ PAGE = ("book", "page")
 
 
 def band(top: Column) -> Column:
-    """Words of one line share a band; halves go to the even band."""
-    return F.bround(top / SETTINGS.line_band) * SETTINGS.line_band
+    """Words of one line share a band; halves go to the even band. rint() rounds the double itself, without a decimal."""
+    return F.rint(top / SETTINGS.line_band) * SETTINGS.line_band + 0.0  # no negative zero
 
 
 #: Bits of a word's looks.
