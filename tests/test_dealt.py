@@ -55,3 +55,13 @@ def test_books_of_lines_may_be_compressed(spark, sf, tmp_path):
     folder = queries._line_books(spark, sf)
     got = book_pages.read_pages(spark, folder, "words", opener="lines", max_pages=1 << 30)
     assert got.count() == inputs.words(spark, sf).count() and all(".gz" in x for x in spark.read.text(folder).inputFiles())
+
+
+def test_texts_and_blocks_read_the_same_lines(spark, sf, monkeypatch):
+    """Words are put together to lines in one place of the plan, and kept; texts made them anew."""
+    made, whole = [], lines.lines_of
+    monkeypatch.setattr(lines, "lines_of", lambda *a: made.append(whole(*a)) or made[-1])
+    lib = queries._pages(spark, sf)
+    assert len(made) == 1 and lib["lines"].is_cached
+    assert "InMemoryTableScan" in plan(lines.page_texts(lib["lines"]))
+    lib.release()

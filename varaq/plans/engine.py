@@ -48,9 +48,12 @@ class Cancelled(RuntimeError):
     pass
 
 
-def read_pages(lib: Library) -> DataFrame:
-    """The pages with their texts and status; of the lines only the texts are kept, as recognition asks for them too."""
-    texts = lines.page_texts(lines.lines_of(lib.words)).persist()
+def read_pages(lib: Library, found: DataFrame | None = None) -> DataFrame:
+    """The pages with their texts and status; of the lines only the texts are kept, as recognition asks for them too.
+
+    found: the lines of all words, where they are at hand.
+    """
+    texts = lines.page_texts(lines.lines_of(lib.words) if found is None else found).persist()
     lib.held.append(texts)
     if lib.listed is not None:
         texts = pages.with_all_pages(texts, lib.listed)
@@ -59,8 +62,9 @@ def read_pages(lib: Library) -> DataFrame:
 
 
 def extract_pages(lib: Library) -> dict[str, DataFrame]:
-    status = read_pages(lib)
+    """Texts and blocks read the same kept lines; only baselines, which come before those, are of words once more."""
     styled = lines.classify(lines.lines_of(lib.words)).persist()
+    status = read_pages(lib, styled)
     boxes = tables.labelled(tables.accepted(tables.table_stats(lib.cells)))
     return {"lines": styled, "pages": status, "blocks": pages.page_blocks(status, blocks.blocks_of(styled, boxes))}
 
