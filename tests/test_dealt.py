@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from varaq.operators import lines
-from varaq.plans import inputs, queries
+from varaq.plans import engine, inputs, queries
 
 
 def plan(df):
@@ -65,3 +65,12 @@ def test_texts_and_blocks_read_the_same_lines(spark, sf, monkeypatch):
     assert len(made) == 1 and lib["lines"].is_cached
     assert "InMemoryTableScan" in plan(lines.page_texts(lib["lines"]))
     lib.release()
+
+
+def test_no_join_holds_the_text_of_a_book(spark, sf):
+    """A book's Markdown is put together by the last step of its plan, and nothing is added to it after that."""
+    lib = engine.run(queries._library(spark, sf))
+    p = plan(lib["markdown"]).split("\n")
+    last = next(k for k, x in enumerate(p) if "Aggregate" in x)
+    assert not any("Join" in x or "concat(" in x for x in p[:last]) and not any("Exchange" in x for x in p[:last])
+    lib.release()
