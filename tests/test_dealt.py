@@ -12,6 +12,19 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def moved(spark, df):
+    """Bytes that a run of df shuffles, and that it spills, by Spark's own counts of its stages."""
+    def counts():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return {(s.stageId(), s.attemptId()): (s.shuffleWriteBytes(), s.diskBytesSpilled()) for s in map(stages.apply, range(stages.size()))}
+
+    before = counts()
+    df.write.format("noop").mode("overwrite").save()
+    new = [v for k, v in counts().items() if k not in before]
+    return sum(x for x, _ in new), sum(x for _, x in new)
+
+
 def test_texts_are_dealt_out_and_words_stay(spark, sf):
     """One exchange in all, of texts by page, below the words; so for lines, page texts and regions."""
     for name in ("q_lines", "q_page_text", "q_region_text"):
@@ -19,6 +32,20 @@ def test_texts_are_dealt_out_and_words_stay(spark, sf):
         assert p.count("Exchange") == 1 and "hashpartitioning(book" in p and p.index("Exchange") > p.rindex("Generate")
 
 
+def test_regions_move_less_than_their_texts(spark, sf, tmp_path):
+    """Bytes shuffled are fewer than those of the texts, whatever the size."""
+    d = spark.read.parquet(f"{sf}/documents.parquet").cache()
+    volume = d.selectExpr("sum(octet_length(text))").first()[0]
+    for n in (1, 4):
+        copies = d.crossJoin(spark.range(n).withColumnRenamed("id", "copy")).selectExpr("doc_id + copy * 50000 as doc_id", "text", "lang", "source", "n_chars")
+        copies.write.parquet(f"{tmp_path}/{n}/documents.parquet")
+        df = queries.QUERIES["q_region_text"](spark, f"{tmp_path}/{n}")
+        assert df.count() >= n * d.count()
+        shuffled, spilled = moved(spark, df)
+        assert 0 < shuffled < n * volume and spilled == 0, (n, shuffled, volume, spilled)
+    d.unpersist()
+
+
 def test_lines_are_not_gathered_by_book(spark, sf):
     p = plan(queries.QUERIES["q_classify"](spark, sf))
     assert "BroadcastHashJoin" in p and p.count("Exchange hashpartitioning") == 1
