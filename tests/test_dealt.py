@@ -46,6 +46,19 @@ def test_regions_move_less_than_their_texts(spark, sf, tmp_path):
     d.unpersist()
 
 
+def test_words_meet_their_cells_where_they_are(spark, sf):
+    """Where boxes are too many for all tasks: texts and pages are dealt out alike, and neither words nor their lines move."""
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries.QUERIES["q_cell_words"](spark, sf)
+        p = plan(df)
+        assert p.count("Exchange") == p.count("Exchange hashpartitioning(book") == p.count("REPARTITION_BY_NUM") == 2 and "Join" in p
+        assert moved(spark, df)[0] < spark.read.parquet(f"{sf}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+
+
 def test_lines_are_not_gathered_by_book(spark, sf):
     p = plan(queries.QUERIES["q_classify"](spark, sf))
     assert "BroadcastHashJoin" in p and p.count("Exchange hashpartitioning") == 1

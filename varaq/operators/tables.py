@@ -83,16 +83,18 @@ def page_bands(top: Column, bottom: Column) -> Column:
 
 
 def words_in_cells(words: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Words with row_no and col_no of the cell that their centre lies in.
+    """Words with table_no, row_no and col_no of the cell that their centre lies in.
 
-    boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom. Cells are spelled into the bands of the page that they
-    cross, so that a word meets the cells at its height only.
+    boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom. A page's cells are listed by the bands that they cross,
+    so that a word meets the cells at its height only. They are joined by page alone: words that were dealt by page stay.
     """
-    b = boxes.select("book", "page", "table_no", "row_no", "col_no", *(F.col(c).alias(f"_{c}") for c in ("x0", "top", "x1", "bottom")))
-    b = b.select("*", page_bands(F.col("_top"), F.col("_bottom")).alias("_band"))
+    b = boxes.select("book", "page", page_bands(F.col("top"), F.col("bottom")).alias("_band"), F.struct("table_no", "row_no", "col_no", "x0", "top", "x1", "bottom").alias("_box"))
+    b = b.groupBy("book", "page", "_band").agg(F.collect_list("_box").alias("_boxes"))
+    b = b.groupBy("book", "page").agg(F.map_from_entries(F.collect_list(F.struct("_band", "_boxes"))).alias("_bands"))
     x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
-    inside = (x >= F.col("_x0")) & (x < F.col("_x1")) & (y >= F.col("_top")) & (y < F.col("_bottom"))
-    return words.withColumn("_band", page_band(y)).join(b, ["book", "page", "_band"]).where(inside).drop("_x0", "_top", "_x1", "_bottom", "_band")
+    met = words.join(b, ["book", "page"]).select(*words.columns, F.explode(F.element_at("_bands", page_band(y))).alias("_box"))
+    inside = (x >= F.col("_box.x0")) & (x < F.col("_box.x1")) & (y >= F.col("_box.top")) & (y < F.col("_box.bottom"))
+    return met.where(inside).select(*words.columns, "_box.table_no", "_box.row_no", "_box.col_no")
 
 
 def cells_of(words: DataFrame, boxes: DataFrame) -> DataFrame:

@@ -61,6 +61,13 @@ def words(spark, sf, volume: Column | None = None) -> DataFrame:
     return _spelled(_page_texts(spark, sf, volume))
 
 
+def words_and_boxes(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """words() and cell_boxes(), both dealt by page to the same tasks: words meet their cells where their texts are spelled."""
+    texts = _texts(spark, sf)
+    n = tasks_for(texts, "length(text)", TASK_CHARS)
+    return _spelled(texts.repartition(n, "book", "page")), cell_boxes(spark, sf, n)
+
+
 def listed(spark, sf) -> DataFrame:
     """All pages of the books; some without words, some whose words could not be read (with or without words that must
     not count), some whose tables could not, some of whose words no text could be made."""
@@ -86,20 +93,30 @@ TASK_CHARS = 6_000_000
 TASK_PARTS = 20_000
 
 
+def tasks_for(df: DataFrame, size: str, most: int) -> int:
+    """So many tasks that each has about `most` of the sum of `size`."""
+    total = df.agg(F.expr(f"sum({size})")).first()[0] or 0
+    return max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-total // most))
+
+
 def dealt(df: DataFrame, keys: tuple[str, ...], size: str, most: int) -> DataFrame:
     """Rows dealt out by keys, to so many tasks that each has about `most` of the sum of `size`, so that what a task holds
     does not grow with the input. What is grouped by these keys later on, by others beside them too, stays where it is."""
-    total = df.agg(F.expr(f"sum({size})")).first()[0] or 0
-    return df.repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-total // most)), *keys)
+    return df.repartition(tasks_for(df, size, most), *keys)
 
 
-def _page_texts(spark, sf, volume: Column | None = None) -> DataFrame:
+def _texts(spark, sf) -> DataFrame:
     """book, page, text of the whole pages and of the short ones, of which the first line is enough; own is the number of
-    the whole page. Texts are dealt out by page before they are words, which are many times larger."""
+    the whole page."""
     d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"), "text")
     d = d.select("*", F.col("page").alias("own"), F.lit(False).alias("short"))
     short = d.where("page % 9 = 0").withColumns({"page": (F.col("page") + SHORT).cast("int"), "text": F.substring_index("text", "\n", 1), "short": F.lit(True)})
-    both = d.unionByName(short)
+    return d.unionByName(short)
+
+
+def _page_texts(spark, sf, volume: Column | None = None) -> DataFrame:
+    """Texts dealt out by page before they are words, which are many times larger."""
+    both = _texts(spark, sf)
     if volume is not None:
         return dealt(both.withColumn("volume", volume), ("book", "volume"), "length(text)", TASK_CHARS)
     return dealt(both, ("book", "page"), "length(text)", TASK_CHARS)
@@ -242,9 +259,10 @@ def responses(spark, sf) -> DataFrame:
     return g.select("book", "lesson_order", F.concat(F.lit('{"concepts": ['), "c", F.lit('], "relationships": ['), "e", F.lit("]}")).alias("response"))
 
 
-def cell_boxes(spark, sf) -> DataFrame:
-    """Two by three cells over the top left of each page."""
+def cell_boxes(spark, sf, tasks: int | None = None) -> DataFrame:
+    """Two by three cells over the top left of each page. tasks: pages are dealt out to so many before they have cells."""
     d = read(spark, sf, "documents").select(F.col("source").alias("book"), (F.col("doc_id") + 1).cast("int").alias("page"))
+    d = d if tasks is None else d.repartition(tasks, "book", "page")
     g = d.select("*", F.lit(1).alias("table_no"), F.explode(F.expr("sequence(1, 2)")).alias("row_no")).select("*", F.explode(F.expr("sequence(1, 3)")).alias("col_no"))
     return g.select(
         "book", "page", "table_no", "row_no", "col_no", F.expr("400e0 + col_no * 30").alias("x0"), F.expr("430e0 + col_no * 30").alias("x1"), F.expr("(row_no - 1) * 24e0").alias("top"), F.expr("row_no * 24e0").alias("bottom")
