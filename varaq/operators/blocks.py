@@ -9,20 +9,21 @@ from pyspark.sql.window import Window
 from varaq.config import SETTINGS
 from varaq.functions.text import clean, is_blank
 from varaq.operators.lines import PAGE
-from varaq.operators.tables import page_band, page_bands
+from varaq.operators.tables import listed_by_band, page_band
 
 
 def outside_tables(lines: DataFrame, tables: DataFrame) -> DataFrame:
     """Lines that lie in no table's rows; where they stand across the page does not matter.
 
-    Tables are spelled into the bands of the page that they cross, so that a line meets those at its height only.
+    A page's tables are listed by the bands of the page that they cross, so that a line meets those at its height only. They
+    are joined by page alone: lines that were dealt by page stay.
     """
     slack = SETTINGS.exclusion_slack
     t, b = F.col("table_top") - slack, F.col("table_bottom") + slack
-    boxes = tables.select("book", "page", t.alias("t"), b.alias("b"), page_bands(t, b).alias("_band"))
-    lines = lines.withColumn("_band", page_band(F.col("top")))
-    on = [*(lines[c] == boxes[c] for c in ("book", "page", "_band")), lines["top"] >= boxes["t"], lines["bottom"] <= boxes["b"]]
-    return lines.join(boxes, on, "left_anti").drop("_band")
+    boxes = listed_by_band(tables, t, b, F.struct(t.alias("t"), b.alias("b")))
+    near = F.element_at("_bands", page_band(F.col("top")))
+    inside = F.exists(near, lambda x: (F.col("top") >= x["t"]) & (F.col("bottom") <= x["b"]))
+    return lines.join(boxes, [*PAGE], "left").where(~F.coalesce(inside, F.lit(False))).select(*lines.columns)
 
 
 def page_items(lines: DataFrame, tables: DataFrame) -> DataFrame:

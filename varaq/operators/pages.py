@@ -19,7 +19,10 @@ def with_all_pages(texts: DataFrame, listed: DataFrame) -> DataFrame:
     listed: book, page, error (its words could not be read), structure_error (its tables could not) and, if there is such
     a column, text_error (no text could be made of its words).
     """
-    return listed.select(*PAGE, *_WRONG.intersection(listed.columns)).join(texts, [*PAGE], "full").withColumn("text", F.coalesce("text", F.lit("")))
+    said = listed.select(*PAGE, *_WRONG.intersection(listed.columns))
+    # a full join in two: rows of both that were dealt out by page stay where they are
+    every = said.join(texts, [*PAGE], "left").unionByName(texts.join(said, [*PAGE], "left_anti"), allowMissingColumns=True)
+    return every.withColumn("text", F.coalesce("text", F.lit("")))
 
 
 _WRONG = {"error", "structure_error", "text_error"}

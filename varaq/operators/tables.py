@@ -82,15 +82,20 @@ def page_bands(top: Column, bottom: Column) -> Column:
     return F.explode(F.when(top <= bottom, F.sequence(page_band(top), page_band(bottom))))
 
 
+def listed_by_band(boxes: DataFrame, top: Column, bottom: Column, box: Column) -> DataFrame:
+    """book, page, _bands: the boxes of a page in a map by the bands that they cross, a row a page."""
+    b = boxes.select("book", "page", page_bands(top, bottom).alias("_band"), box.alias("_box"))
+    b = b.groupBy("book", "page", "_band").agg(F.collect_list("_box").alias("_boxes"))
+    return b.groupBy("book", "page").agg(F.map_from_entries(F.collect_list(F.struct("_band", "_boxes"))).alias("_bands"))
+
+
 def words_in_cells(words: DataFrame, boxes: DataFrame) -> DataFrame:
     """Words with table_no, row_no and col_no of the cell that their centre lies in.
 
     boxes: book, page, table_no, row_no, col_no, x0, top, x1, bottom. A page's cells are listed by the bands that they cross,
     so that a word meets the cells at its height only. They are joined by page alone: words that were dealt by page stay.
     """
-    b = boxes.select("book", "page", page_bands(F.col("top"), F.col("bottom")).alias("_band"), F.struct("table_no", "row_no", "col_no", "x0", "top", "x1", "bottom").alias("_box"))
-    b = b.groupBy("book", "page", "_band").agg(F.collect_list("_box").alias("_boxes"))
-    b = b.groupBy("book", "page").agg(F.map_from_entries(F.collect_list(F.struct("_band", "_boxes"))).alias("_bands"))
+    b = listed_by_band(boxes, F.col("top"), F.col("bottom"), F.struct("table_no", "row_no", "col_no", "x0", "top", "x1", "bottom"))
     x, y = (F.col("x0") + F.col("x1")) / 2, (F.col("top") + F.col("bottom")) / 2
     met = words.join(b, ["book", "page"]).select(*words.columns, F.explode(F.element_at("_bands", page_band(y))).alias("_box"))
     inside = (x >= F.col("_box.x0")) & (x < F.col("_box.x1")) & (y >= F.col("_box.top")) & (y < F.col("_box.bottom"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +14,8 @@ from varaq.operators import blocks, extraction, graph, lessons, lines, outline,
 
 @dataclass
 class Library:
-    """Relations of a run; each stage adds its own. Those that several later stages read are persisted (on memory and
-    disk, recomputed where an executor is lost) until release()."""
+    """Relations of a run; each stage adds its own. Those that several later stages read are persisted (on disk, so that
+    the memory is for the work; recomputed where an executor is lost) until release()."""
 
     requests: DataFrame
     words: DataFrame
@@ -40,8 +41,20 @@ class Library:
 
 
 Stage = Callable[[Library], dict[str, DataFrame]]
-#: Relations that more than one stage reads.
-SHARED = ("lines", "pages", "blocks", "outline")
+#: Relations that are costly to make, and the stages that read them: one that several stages of a run read is persisted.
+#: Pages are read from their kept texts and answers.
+SHARED = {"lines": (), "blocks": ("build_outline", "build_lessons", "export"), "outline": ("build_lessons", "export_outline")}
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, persisted on disk as its rows were dealt out: what is grouped or joined by page later on stays there. Spark tells
+    later plans how rows lie only if the plan of the persisted ones is settled, that is, not adaptive."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.persist(StorageLevel.DISK_ONLY)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
 
 
 class Cancelled(RuntimeError):
@@ -53,17 +66,20 @@ def read_pages(lib: Library, found: DataFrame | None = None) -> DataFrame:
 
     found: the lines of all words, where they are at hand.
     """
-    texts = lines.page_texts(lines.lines_of(lib.words) if found is None else found).persist()
+    texts = kept(lines.page_texts(lines.lines_of(lib.words) if found is None else found))
     lib.held.append(texts)
     if lib.listed is not None:
         texts = pages.with_all_pages(texts, lib.listed)
-    ocr = lib.ocr(pages.needs_ocr(texts)) if callable(lib.ocr) else lib.ocr
+    ocr = lib.ocr
+    if callable(ocr):  # recognition is not run again
+        ocr = kept(ocr(pages.needs_ocr(texts)))
+        lib.held.append(ocr)
     return pages.page_status(texts, ocr, lib.use_ocr)
 
 
 def extract_pages(lib: Library) -> dict[str, DataFrame]:
     """Texts and blocks read the same kept lines; only baselines, which come before those, are of words once more."""
-    styled = lines.classify(lines.lines_of(lib.words)).persist()
+    styled = kept(lines.classify(lines.lines_of(lib.words)))
     status = read_pages(lib, styled)
     boxes = tables.labelled(tables.accepted(tables.table_stats(lib.cells)))
     return {"lines": styled, "pages": status, "blocks": pages.page_blocks(status, blocks.blocks_of(styled, boxes))}
@@ -108,13 +124,14 @@ STAGES: tuple[tuple[str, Stage], ...] = (
 
 def run(lib: Library, stages=STAGES, progress: Callable[[str], None] | None = None, cancelled: Callable[[], bool] | None = None) -> Library:
     """Add every stage's relations. Before each stage it asks whether to stop, then reports the stage."""
+    read = {key: sum(name in by for name, _ in stages) for key, by in SHARED.items()}
     for name, stage in stages:
         if cancelled is not None and cancelled():
             raise Cancelled(name)
         if progress is not None:
             progress(name)
         for key, made in stage(lib).items():
-            lib.relations[key] = made.persist() if key in SHARED and not made.is_cached else made
+            lib.relations[key] = kept(made) if read.get(key, 0) > 1 and not made.is_cached else made
     return lib
 
 
