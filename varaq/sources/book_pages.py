@@ -28,13 +28,15 @@ import importlib
 import io
 import json
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Any, BinaryIO
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import json as arrow_json
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -46,6 +48,8 @@ _WORD = "word_no int, text string, x0 double, x1 double, top double, bottom doub
 _BOX = "table_no int, row_no int, col_no int, x0 double, top double, x1 double, bottom double, table_x0 double, table_top double, table_x1 double, table_bottom double"
 SCHEMAS = {"pages": PAGES, "words": f"book string, page int, {_WORD}", "boxes": f"book string, page int, page_w double, page_h double, {_BOX}"}
 SPLIT_BYTES = 16 << 20
+#: Bytes of JSON lines whose words are read at once.
+_AT_ONCE = 4 << 20
 
 
 @dataclass
@@ -59,6 +63,8 @@ class Book:
     numbers: Sequence[int]
     read: Callable[[int, bool, bool], dict]
     close: Callable[[], None] = lambda: None
+    #: The JSON line of a page, where pages are that.
+    line: Callable[[int], bytes] | None = None
 
 
 Opener = Callable[[], Callable[[BinaryIO], Book]]
@@ -85,11 +91,11 @@ def open_lines() -> Callable[[BinaryIO], Book]:
             places[int(m.group(1))] = at
             at += len(line)
 
-        def read(number: int, words: bool, boxes: bool) -> dict:
+        def line_of(number: int) -> bytes:
             file.seek(places[number])
-            return json.loads(file.readline())
+            return file.readline()
 
-        return Book(sorted(places), read)
+        return Book(sorted(places), lambda number, words, boxes: json.loads(line_of(number)), line=line_of)
 
     return opened
 
@@ -132,6 +138,32 @@ OPENERS: dict[str, Opener] = {"pdf": open_pdf, "lines": open_lines}
 _SUFFIX = {"pdf": r"(?i)\.pdf\Z", "lines": r"\.(jsonl|txt)(\.gz)?\Z"}
 
 
+def _words_of_lines(lines: list[bytes], book: str, numbers: list[int], schema: pa.Schema) -> pa.RecordBatch | None:
+    """The words of some pages' JSON lines, column by column; None where the lines hold anything but plain words, so that
+    each page must be looked at."""
+    data = b"".join(x if x.endswith(b"\n") else x + b"\n" for x in lines)
+    own = [f for f in schema if f.name not in ("book", "page")]
+    if data.count(b'"page"') != len(lines) or b'"book"' in data:  # words have pages or books of their own
+        return None
+    fields = pa.schema([*own, pa.field("words", pa.list_(pa.struct(own)))])  # a page's own values hold for words that lack them
+    try:
+        read = arrow_json.ReadOptions(use_threads=False, block_size=len(data) + 1)
+        t = arrow_json.read_json(io.BytesIO(data), read, arrow_json.ParseOptions(explicit_schema=fields, unexpected_field_behavior="ignore"))
+        t = t.combine_chunks()
+        if t.num_rows != len(lines) or any(t[f.name].null_count < len(lines) for f in own):
+            return None
+        listed = t["words"].chunk(0)
+        words, page = pc.list_flatten(listed), pa.array(numbers, pa.int32()).take(pc.list_parent_indices(listed))
+        if words.null_count:
+            return None
+        columns = {"book": pa.repeat(book, len(words)), "page": page, **dict(zip((f.name for f in own), words.flatten(), strict=True))}
+        batch = pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in schema], schema=schema)
+        batch.validate(full=True)
+        return batch
+    except (pa.ArrowException, ValueError):
+        return None
+
+
 def _opener(name: str) -> Opener:
     if name in OPENERS:
         return OPENERS[name]
@@ -205,6 +237,21 @@ def _book_of(path: str) -> str:
     return unquote(inner.group(1)) if inner else re.sub(r"(?<=.)\.[^.]*(\.gz)?\Z", "", path.rsplit("/", 1)[-1])
 
 
+def _together(book: Book, numbers: list[int]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Pages and their lines, as many as are read at once."""
+    some, lines, size = [], [], 0
+    for k in numbers:
+        line = book.line(k)
+        if some and size + len(line) > _AT_ONCE:
+            yield some, lines
+            some, lines, size = [], [], 0
+        some.append(k)
+        lines.append(line)
+        size += len(line)
+    if some:
+        yield some, lines
+
+
 class BookPagesReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.schema, self.options = schema, {k.lower(): v for k, v in options.items()}
@@ -260,7 +307,10 @@ class BookPagesReader(DataSourceReader):
         store, _ = _filesystem(self.options["path"])
         opened = _opener(self.options.get("opener", "pdf"))()
         for item in partition.items:
-            for row in self._pages(store, opened, item):
+            for row in self._pages(store, opened, item, schema):
+                if isinstance(row, pa.RecordBatch):
+                    yield row
+                    continue
                 rows = [row] if self.relation == "pages" else [{**row, **x} for x in row.get(self.relation) or ()]
                 if rows:
                     yield self._batch(rows, schema, row)
@@ -272,8 +322,8 @@ class BookPagesReader(DataSourceReader):
             bad = {"book": row["book"], "page": row["page"], "error": str(e)}
             return pa.RecordBatch.from_pylist([{f.name: bad.get(f.name) for f in schema}] if self.relation == "pages" else [], schema=schema)
 
-    def _pages(self, store, opened, item: Range) -> Iterator[dict]:
-        """The pages of a range as rows: what could be read, or an error."""
+    def _pages(self, store, opened, item: Range, schema: pa.Schema) -> Iterator[dict | pa.RecordBatch]:
+        """The pages of a range as rows: what could be read, or an error. Plain words come many pages at once."""
         names = set(self.schema.names)
         words = self.relation == "words" or self.relation == "pages" and bool(names & {"words", "error"})
         boxes = self.relation == "boxes" or self.relation == "pages" and bool(names & {"boxes", "structure_error"})
@@ -289,18 +339,19 @@ class BookPagesReader(DataSourceReader):
                     yield {"book": item.book, "page": 0, "error": _said(e)}
                 return
             mine = book.numbers[n * item.part // item.parts : n * (item.part + 1) // item.parts]
-            first = bisect_left(mine, self.pages.low)
+            asked = [k for k in mine[bisect_left(mine, self.pages.low) : bisect_right(mine, self.pages.high)] if k in self.pages]
             try:
-                for number in mine[first:]:
-                    if number > self.pages.high:
-                        break
-                    if number not in self.pages:
+                for numbers, lines in _together(book, asked) if self.relation == "words" and book.line else (([k], []) for k in asked):
+                    batch = _words_of_lines(lines, item.book, numbers, schema) if lines else None
+                    if batch is not None:
+                        yield batch
                         continue
-                    try:
-                        got = book.read(number, words, boxes)
-                    except Exception as e:
-                        got = {"error": _said(e)}
-                    yield {**got, "book": item.book, "page": number}
+                    for number in numbers:
+                        try:
+                            got = book.read(number, words, boxes)
+                        except Exception as e:
+                            got = {"error": _said(e)}
+                        yield {**got, "book": item.book, "page": number}
             finally:
                 book.close()
 
