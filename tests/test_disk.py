@@ -3,7 +3,7 @@
 import os
 
 from tests.test_dealt import plan
-from varaq.plans import inputs, queries
+from varaq.plans import engine, inputs, queries
 
 
 def exchanges(df):
@@ -31,3 +31,26 @@ def test_a_page_text_is_stored_once_not_with_each_block(spark, sf, tmp_path):
     queries.QUERIES["q_json_document"](spark, f"{tmp_path}/in").write.parquet(f"{tmp_path}/out")
     written = sum(e.stat().st_size for e in os.scandir(f"{tmp_path}/out") if e.name.endswith(".parquet"))
     assert written < 3 * texts, (written, texts)
+
+
+def test_concepts_are_dealt_out_before_they_meet_the_edges_of_their_book(spark, sf):
+    """All rows of a list that is spelled out are held until its step has joined them, each with all edges of its book."""
+    p = plan(queries.QUERIES["q_graph_json"](spark, sf)).split("\n")
+    at = {k: next(n for n, x in enumerate(p) if k in x) for k in ("Join [book", "Exchange rangepartitioning(book", "Generate explode")}
+    assert at["Join [book"] < at["Exchange rangepartitioning(book"] < at["Generate explode"] and "REPARTITION_BY_NUM" in p[at["Exchange rangepartitioning(book"]]
+
+
+def test_a_document_is_put_together_in_a_text_of_just_its_length(spark, sf):
+    """By the last aggregation, with no filter above it, which would copy the row."""
+    lib = engine.run(queries._library(spark, sf))
+    p = plan(lib["markdown"]).split("\n")
+    last = next(k for k, x in enumerate(p) if "Aggregate" in x)
+    assert not any("Filter" in x for x in p[:last]) and "concat_ws" in lib["markdown"]._jdf.queryExecution().optimizedPlan().toString()
+    lib.release()
+
+
+def test_blocks_that_one_stage_reads_are_not_kept(spark, sf):
+    lib = queries._pages(spark, sf)
+    assert not lib["blocks"].is_cached and not lib["pages"].is_cached and lib["lines"].is_cached
+    assert not lib["lines"].storageLevel.useMemory
+    lib.release()
