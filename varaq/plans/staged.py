@@ -166,7 +166,7 @@ def run(
                 for relation, df in made.items():
                     if watch.reason:
                         raise Stopped(name, watch.reason)
-                    _writable(df).write.mode("overwrite").parquet(f"{place}/{relation}")
+                    _writable(df).write.mode("overwrite").parquet(f"{place}/{relation}", compression="zstd")
             for df in made.values():
                 if df.is_cached:
                     df.unpersist()
